@@ -1,0 +1,86 @@
+"""Numbering rows inside groups when one group may hold much of the table.
+
+``row_number()`` over a key sorts each key's rows in one task. Here a hot key is
+first cut into slices of its own order column, so its rows are numbered by many
+tasks; the number of rows in earlier slices is then added. Which keys count as
+hot is only a hint: any choice gives the same numbers.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+MAX_HOT_KEYS = 500
+TRACKED_KEYS = 20_000
+HOT_ROWS = 2_000_000
+SLICES = 500
+
+
+def hot_keys(
+    df: DataFrame, key: str, min_rows: int = HOT_ROWS, limit: int = MAX_HOT_KEYS
+) -> DataFrame:
+    """Keys with about ``min_rows`` rows or more, ``limit`` at most. A mergeable
+    sketch finds them: one partial row per task, no shuffle of the keys."""
+    top = df.agg(F.expr(f"approx_top_k(`{key}`, {limit}, {TRACKED_KEYS})").alias("top"))
+    return (
+        top.select(F.explode("top").alias("t"))
+        .where((F.col("t.count") >= min_rows) & F.col("t.item").isNotNull())
+        .select(F.col("t.item").alias(key))
+    )
+
+
+def number_rows(
+    df: DataFrame,
+    key: str,
+    order: Sequence[str],
+    position: Column,
+    number: str,
+    total: str,
+    hot_rows: int = HOT_ROWS,
+    slices: int = SLICES,
+) -> DataFrame:
+    """Add ``number`` = place of a row in its key's ``order`` (1, 2, …, NULLs
+    first) and ``total`` = rows of that key.
+
+    ``position`` is a number that never decreases along ``order`` (say, the first
+    order column as microseconds); hot keys are sliced by its quantiles, so that
+    slices are even however the rows crowd. Broadcasts are of at most
+    ``MAX_HOT_KEYS`` keys and ``MAX_HOT_KEYS * (slices + 1)`` slices.
+    """
+    hot = F.broadcast(hot_keys(df, key, hot_rows))
+    cuts = [i / slices for i in range(1, slices)]
+    splits = (
+        df.join(hot, key, "left_semi")
+        .groupBy(key)
+        .agg(F.percentile_approx(position, cuts, max(10_000, 20 * slices)).alias("_splits"))
+    )
+    sliced = df.join(F.broadcast(splits), key, "left").withColumn(
+        "_slice",
+        F.when(F.col("_splits").isNull(), F.lit(-1)).otherwise(
+            F.size(F.filter("_splits", lambda s: s < F.coalesce(position, F.lit(-(2**63)))))
+        ),
+    )
+    slice_sizes = (
+        sliced.where(F.col("_slice") >= 0).groupBy(key, "_slice").agg(F.count("*").alias("_rows"))
+    )
+    before = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = slice_sizes.select(
+        key,
+        "_slice",
+        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
+        F.sum("_rows").over(Window.partitionBy(key)).alias("_all"),
+    )
+    inside = Window.partitionBy(key, "_slice")
+    numbered = sliced.select(
+        *df.columns,
+        "_slice",
+        F.row_number().over(inside.orderBy(*[F.col(c).asc_nulls_first() for c in order])).alias("_n"),
+        F.count("*").over(inside).alias("_size"),
+    )
+    return numbered.join(F.broadcast(offsets), [key, "_slice"], "left").select(
+        *df.columns,
+        (F.col("_n") + F.coalesce("_before", F.lit(0))).cast("int").alias(number),
+        F.coalesce("_all", "_size").cast("int").alias(total),
+    )
