@@ -87,9 +87,9 @@ def chunk_elements(
     """Cut elements into windows. Blank windows take no number; with
     ``positional`` every window is numbered, so that numbers have gaps.
 
-    Narrow and free of Python. A chunk is ``single`` if its element is no longer
+    Narrow and free of Python. Elements that are NULL or hold only spaces give
+    no chunk, so they need no filter of their own. A chunk is ``single`` if its element is no longer
     than the chunk size, even where the overlap makes two windows of it."""
-    elements = elements.where(tx.has_text(F.col("element_text")))
     cut = windows.all_windows if positional else windows.chunks
     rows = _explode(elements, cut(F.col("element_text"), spec))
     single = F.lit(True) if spec.mode == "none" else F.col("_chars") <= spec.size
@@ -137,8 +137,7 @@ def chunk_by_strategy(
     """Cut every document the way its path asks for. A CASE picks among the
     rules' window expressions, of which only the chosen one is evaluated."""
     rules = default_chunk_rules() if rules is None else rules
-    docs = whole_documents(_needed(silver)).where(tx.has_text(F.col("element_text")))
-    docs = docs.withColumn("_strategy", chunk_strategy(F.col("source_file"), rules))
+    docs = whole_documents(_needed(silver)).withColumn("_strategy", chunk_strategy(F.col("source_file"), rules))
     array = F
     for n, r in enumerate(rules, 1):
         array = array.when(

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 MAX_HOT_KEYS = 500
 TRACKED_KEYS = 20_000
 HOT_ROWS = 2_000_000
-SLICES = 500
+SLICE_BITS = 9
 
 
 def hot_keys(
@@ -31,6 +31,18 @@ def hot_keys(
     )
 
 
+def _count_below(splits: Column, at: Column, bits: int) -> Column:
+    """How many of ``2**bits - 1`` sorted numbers are below ``at``: a binary
+    search, in ``bits`` steps."""
+    steps = F.array(*[F.lit(2**b) for b in reversed(range(bits))])
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda found, step: found
+        + F.when(F.get(splits, found + step - 1) < at, step).otherwise(F.lit(0)),
+    )
+
+
 def number_rows(
     df: DataFrame,
     key: str,
@@ -39,27 +51,30 @@ def number_rows(
     number: str,
     total: str,
     hot_rows: int = HOT_ROWS,
-    slices: int = SLICES,
+    slice_bits: int = SLICE_BITS,
 ) -> DataFrame:
     """Add ``number`` = place of a row in its key's ``order`` (1, 2, …, NULLs
     first) and ``total`` = rows of that key.
 
-    ``position`` is a number that never decreases along ``order`` (say, the first
-    order column as microseconds); hot keys are sliced by its quantiles, so that
-    slices are even however the rows crowd. Broadcasts are of at most
-    ``MAX_HOT_KEYS`` keys and ``MAX_HOT_KEYS * (slices + 1)`` slices.
+    ``position`` is a whole number that never decreases along ``order`` (say, the
+    first order column as microseconds); hot keys are cut into ``2**slice_bits``
+    slices by its quantiles, so that slices are even however the rows crowd.
+    Broadcasts are of at most ``MAX_HOT_KEYS`` keys and that many times
+    ``2**slice_bits`` slices.
     """
     hot = F.broadcast(hot_keys(df, key, hot_rows))
+    slices = 2**slice_bits
     cuts = [i / slices for i in range(1, slices)]
     splits = (
         df.join(hot, key, "left_semi")
         .groupBy(key)
         .agg(F.percentile_approx(position, cuts, max(10_000, 20 * slices)).alias("_splits"))
     )
-    sliced = df.join(F.broadcast(splits), key, "left").withColumn(
+    placed = df.withColumn("_at", F.coalesce(position, F.lit(-(2**63))))
+    sliced = placed.join(F.broadcast(splits), key, "left").withColumn(
         "_slice",
-        F.when(F.col("_splits").isNull(), F.lit(-1)).otherwise(
-            F.size(F.filter("_splits", lambda s: s < F.coalesce(position, F.lit(-(2**63)))))
+        F.when(F.col("_splits").isNull(), -1).otherwise(
+            _count_below(F.col("_splits"), F.col("_at"), slice_bits)
         ),
     )
     slice_sizes = (

@@ -43,7 +43,7 @@ def document_versions(
     ledger: DataFrame,
     ties: Sequence[str] = (),
     hot_rows: int = hotkeys.HOT_ROWS,
-    slices: int = hotkeys.SLICES,
+    slice_bits: int = hotkeys.SLICE_BITS,
 ) -> DataFrame:
     """Number the arrivals of every file by time, with the total and a flag on
     the latest. Equal times are ordered by size, then by ``ties``."""
@@ -56,7 +56,7 @@ def document_versions(
         "version_number",
         "total_versions",
         hot_rows,
-        slices,
+        slice_bits,
     )
     return numbered.select(
         *LEDGER,

@@ -124,13 +124,13 @@ def text_preview(spark, d) -> DataFrame:
 
 @query
 def html_table_text(spark, d) -> DataFrame:
-    p = v.table(spark, d, "pages", wide=True)
+    p = v.table(spark, d, "pages", "page_id")
     return p.select("page_id", tx.html_document(F.col("html")).alias("page_text"))
 
 
 @query
 def html_element_text(spark, d) -> DataFrame:
-    p = v.table(spark, d, "pages", wide=True)
+    p = v.table(spark, d, "pages", "page_id")
     return p.select("page_id", tx.html_element(F.col("html")).alias("page_text"))
 
 
@@ -304,7 +304,7 @@ def index_sync_apply(spark, d) -> DataFrame:
 
 @query
 def vector_topk(spark, d) -> DataFrame:
-    vectors = v.table(spark, d, "embeddings", wide=True)
+    vectors = v.table(spark, d, "embeddings", "vec_id")
     return search.top_k(vectors, v.label_centres(spark, d), Scoring(k=10), id_column="vec_id")
 
 

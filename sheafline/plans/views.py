@@ -23,16 +23,16 @@ FIRST_DAY = "timestamp_ntz'2024-01-01 00:00:00'"
 LAST_RUN = "timestamp_ntz'2024-01-20 00:00:00'"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, wide: bool = False) -> DataFrame:
-    """A given table. ``wide`` is for costly rows: a small file is often one row
-    group and so one task, and is spread over the cores first. Inputs of more
+def table(spark: SparkSession, sf_dir: str, name: str, spread: str | None = None) -> DataFrame:
+    """A given table. ``spread`` is for costly rows: a small file is often one row
+    group and so one task, and is spread over the cores by that key first. Inputs of more
     than a few megabytes per core already come in enough splits and are left
     where they are read."""
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    if wide:
+    if spread:
         cores = spark.sparkContext.defaultParallelism
         if _bytes(df) < cores * SMALL_SPLIT:
-            df = df.repartition(cores)
+            df = df.repartition(cores, spread)
     return df
 
 
@@ -46,7 +46,7 @@ def _pick(names: list[str], number) -> F.Column:
 
 def landing(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
     """Documents as files (path, modificationTime, length, content)."""
-    d = table(spark, sf_dir, "documents", wide)
+    d = table(spark, sf_dir, "documents", "doc_id" if wide else None)
     kind = F.col("doc_id") % len(CATEGORIES)
     sub = _pick(UNDERWRITING, F.floor(F.col("doc_id") / len(CATEGORIES)) % 3)
     folder = F.concat(
@@ -56,7 +56,7 @@ def landing(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
         F.concat(F.lit(ROOT), folder, F.lit("/doc_"), F.col("doc_id").cast("string"), F.lit(".md")).alias("path"),
         F.expr(f"{FIRST_DAY} + make_dt_interval(0, 0, 0, doc_id)").alias("modificationTime"),
         F.octet_length("text").cast("bigint").alias("length"),
-        F.encode("text", "UTF-8").alias("content"),
+        F.col("text").cast("binary").alias("content"),
         "doc_id",
     )
 
@@ -117,7 +117,7 @@ def arrivals(spark, sf_dir) -> DataFrame:
 
 def strategy_silver(spark, sf_dir, wide=True) -> DataFrame:
     """Documents in folders that are cut in different ways."""
-    d = table(spark, sf_dir, "documents", wide)
+    d = table(spark, sf_dir, "documents", "doc_id" if wide else None)
     name = F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".pdf"))
     folder = _pick(STRATEGY_FOLDERS, F.col("doc_id") % 4)
     return d.select(
@@ -151,7 +151,7 @@ def snapshots(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 def parsed(spark, sf_dir) -> DataFrame:
     """Documents as a parser would return them: a line is an element, every
     fourth a figure, every tenth document an error."""
-    d = table(spark, sf_dir, "documents", wide=True)
+    d = table(spark, sf_dir, "documents", "doc_id")
     lines = F.split("text", "\n")
     element = F.transform(
         lines,
