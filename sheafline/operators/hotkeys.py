@@ -59,43 +59,56 @@ def number_rows(
     ``position`` is a whole number that never decreases along ``order`` (say, the
     first order column as microseconds); hot keys are cut into ``2**slice_bits``
     slices by its quantiles, so that slices are even however the rows crowd.
-    Broadcasts are of at most ``MAX_HOT_KEYS`` keys and that many times
-    ``2**slice_bits`` slices.
+    Finding hot keys is one pass over the key column, done when this is called;
+    where there are none, the plan is the plain window.
     """
-    hot = F.broadcast(hot_keys(df, key, hot_rows))
+    names = number, total
+    keys = [row[0] for row in hot_keys(df, key, hot_rows).collect()]
+    if not keys:
+        return _number_whole(df, key, order, *names)
+    is_hot = F.coalesce(F.col(key).isin(keys), F.lit(False))
+    cold = _number_whole(df.where(~is_hot), key, order, *names)
+    hot = _number_sliced(df.where(is_hot), key, order, position, slice_bits, *names)
+    return cold.unionByName(hot)
+
+
+def _row_number(key: Sequence[str], order: Sequence[str]) -> Column:
+    by = [F.col(c).asc_nulls_first() for c in order]
+    return F.row_number().over(Window.partitionBy(*key).orderBy(*by))
+
+
+def _number_whole(df, key, order, number, total) -> DataFrame:
+    """Both windows share one shuffle and one sort."""
+    return df.select(
+        "*",
+        _row_number([key], order).alias(number),
+        F.count("*").over(Window.partitionBy(key)).cast("int").alias(total),
+    )
+
+
+def _number_sliced(df, key, order, position, slice_bits, number, total) -> DataFrame:
+    """The broadcasts are of at most ``MAX_HOT_KEYS`` keys with their splits and
+    of ``2**slice_bits`` slice sizes for each."""
     slices = 2**slice_bits
     cuts = [i / slices for i in range(1, slices)]
-    splits = (
-        df.join(hot, key, "left_semi")
-        .groupBy(key)
-        .agg(F.percentile_approx(position, cuts, max(10_000, 20 * slices)).alias("_splits"))
-    )
+    # Placed below the join, so that the search does not work it out per step.
     placed = df.withColumn("_at", F.coalesce(position, F.lit(-(2**63))))
-    sliced = placed.join(F.broadcast(splits), key, "left").withColumn(
-        "_slice",
-        F.when(F.col("_splits").isNull(), -1).otherwise(
-            _count_below(F.col("_splits"), F.col("_at"), slice_bits)
-        ),
-    )
-    slice_sizes = (
-        sliced.where(F.col("_slice") >= 0).groupBy(key, "_slice").agg(F.count("*").alias("_rows"))
+    splits = placed.groupBy(key).agg(
+        F.percentile_approx("_at", cuts, max(10_000, 20 * slices)).alias("_splits")
     )
+    slice_of = _count_below(F.col("_splits"), F.col("_at"), slice_bits)
+    sliced = placed.join(F.broadcast(splits), key).withColumn("_slice", slice_of)
+    sizes = sliced.groupBy(key, "_slice").agg(F.count("*").alias("_rows"))
     before = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slice_sizes.select(
+    offsets = sizes.select(
         key,
         "_slice",
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
         F.sum("_rows").over(Window.partitionBy(key)).alias("_all"),
     )
-    inside = Window.partitionBy(key, "_slice")
-    numbered = sliced.select(
-        *df.columns,
-        "_slice",
-        F.row_number().over(inside.orderBy(*[F.col(c).asc_nulls_first() for c in order])).alias("_n"),
-        F.count("*").over(inside).alias("_size"),
-    )
-    return numbered.join(F.broadcast(offsets), [key, "_slice"], "left").select(
+    placed_rows = sliced.select(*df.columns, "_slice", _row_number([key, "_slice"], order).alias("_n"))
+    return placed_rows.join(F.broadcast(offsets), [key, "_slice"]).select(
         *df.columns,
-        (F.col("_n") + F.coalesce("_before", F.lit(0))).cast("int").alias(number),
-        F.coalesce("_all", "_size").cast("int").alias(total),
+        (F.col("_n") + F.col("_before")).cast("int").alias(number),
+        F.col("_all").cast("int").alias(total),
     )
