@@ -9,7 +9,7 @@ of queries meet buckets of the corpus in a grid of tasks of bounded size.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,6 +22,7 @@ from sheafline.functions.embedding import Embedder, embed
 
 MAX_QUERIES = 4096
 MAX_QUERY_VALUES = 8_000_000
+MAX_SCORES = 4_000_000
 BUCKET_ROWS = 200_000
 
 
@@ -54,12 +55,12 @@ class Scoring:
             out = -np.sqrt(np.maximum(squares, 0))
         return np.round(out, self.decimals)
 
-    def best(self, scores: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Positions of the ``k`` best, ties by id."""
-        found = np.flatnonzero(scores > -np.inf)
+    def best(self, scores: np.ndarray, ids: np.ndarray, bar: float = -np.inf) -> np.ndarray:
+        """Positions of the ``k`` best of at least ``bar``, ties by id."""
+        found = np.flatnonzero((scores >= bar) & (scores > -np.inf))
         if len(found) > self.k:
-            bar = np.partition(scores[found], -self.k)[-self.k]
-            found = found[scores[found] >= bar]
+            some = scores[found]
+            found = found[some >= np.partition(some, -self.k)[-self.k]]
         return found[np.lexsort((ids[found], -scores[found]))][: self.k]
 
 
@@ -72,21 +73,31 @@ class _Best:
         self.vectors = _matrix(queries["embedding"])
         self.allowed = _values(queries[group_column]) if group_column else None
         self.found: list = [None] * len(self.query_ids)
+        self.bars = np.full(len(self.query_ids), -np.inf)
 
     def add(self, batch: pa.RecordBatch, id_column: str, group_column: str | None):
+        """Take in corpus rows, so many at a time that the scores stay small."""
+        rows = max(1, MAX_SCORES // max(1, len(self.query_ids)))
+        for start in range(0, batch.num_rows, rows):
+            self._add(batch.slice(start, rows), id_column, group_column)
+
+    def _add(self, batch: pa.RecordBatch, id_column: str, group_column: str | None):
         ids = _values(batch[id_column])
         scores = self.scoring.scores(_matrix(batch["embedding"]), self.vectors)
         if self.allowed is not None:
             scores[self.allowed[:, None] != _values(batch[group_column])[None, :]] = -np.inf
-        for q, row in enumerate(scores):
-            new = self.scoring.best(row, ids)
-            some_ids, some = ids[new], row[new]
+        # Only queries with a row that is as good as their k-th best are looked at.
+        for q in np.flatnonzero(scores.max(axis=1) >= self.bars):
+            new = self.scoring.best(scores[q], ids, self.bars[q])
+            some_ids, some = ids[new], scores[q][new]
             if self.found[q] is not None:
                 some_ids = np.concatenate([self.found[q][0], some_ids])
                 some = np.concatenate([self.found[q][1], some])
                 keep = self.scoring.best(some, some_ids)
                 some_ids, some = some_ids[keep], some[keep]
             self.found[q] = some_ids, some
+            if len(some) == self.scoring.k:
+                self.bars[q] = some[-1]
 
     def hits(self, schema: pa.Schema) -> pa.RecordBatch:
         got = [(q, *f) for q, f in zip(self.query_ids, self.found) if f is not None]
@@ -277,3 +288,24 @@ def search_texts(
 ) -> DataFrame:
     """Nearest chunks of query texts (query_id, text, and the group column)."""
     return top_k(corpus, texts.withColumn("embedding", embed(F.col("text"), embedder)), scoring, **kw)
+
+
+def similarity_search(
+    index: DataFrame,
+    query_text: str,
+    embedder: Embedder,
+    columns: Sequence[str],
+    num_results: int = fv.SEARCH_RESULTS,
+    filters: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """The nearest index rows of one text, best first, with the columns asked for
+    and the score. ``filters`` are metadata fields and the values they must have,
+    ``doc_path`` or ``agent_id``; they are applied before the ranking."""
+    rows = index
+    for name, value in (filters or {}).items():
+        rows = rows.where(F.get_json_object("metadata", f"$.{name}") == value)
+    asked = index.sparkSession.createDataFrame([(0, query_text)], "query_id int, text string")
+    hits = search_texts(rows, asked, embedder, Scoring(num_results))
+    extra = [c for c in columns if c != "chunk_id"]
+    found = attach(hits, rows, extra, few_hits=True)
+    return found.orderBy("rank").select(*columns, "score")

@@ -25,13 +25,24 @@ def row_hash(columns: Sequence[str]) -> Column:
     return F.xxhash64(*columns, *[F.isnull(c) for c in columns])
 
 
-def index_changes(source: DataFrame, index: DataFrame, columns: Sequence[str], key: str = KEY) -> DataFrame:
-    """Keys to insert, update or delete to make ``index`` equal ``source`` in
-    ``columns``. Keys must be unique on both sides. Only keys and row hashes are
-    shuffled, never texts or vectors; unchanged keys do not appear."""
-    columns = [c for c in columns if c != key]
-    new = source.select(key, row_hash(columns).alias("_new"))
-    old = index.select(key, row_hash(columns).alias("_old"))
+def index_changes(
+    source: DataFrame,
+    index: DataFrame,
+    columns: Sequence[str],
+    order: Sequence[str] = (),
+    key: str = KEY,
+) -> DataFrame:
+    """What makes ``index`` equal ``source`` in ``columns``: (<key>, op, row_hash)
+    with op insert, update or delete; unchanged keys do not appear.
+
+    Only keys and row hashes are shuffled, never texts or vectors. Keys must be
+    unique in the index. Where they may repeat in the source, ``order`` says which
+    row counts: the last one by it."""
+    values = [c for c in columns if c != key]
+    new = source.select(key, *order, row_hash(values).alias("_new"))
+    if order:
+        new = latest_per_key(new, order, key).select(key, "_new")
+    old = index.select(key, row_hash(values).alias("_old"))
     op = (
         F.when(F.col("_old").isNull(), "insert")
         .when(F.col("_new").isNull(), "delete")
@@ -40,20 +51,30 @@ def index_changes(source: DataFrame, index: DataFrame, columns: Sequence[str], k
     return (
         new.join(old, key, "full_outer")
         .where(~F.col("_new").eqNullSafe(F.col("_old")))
-        .select(key, op.alias("op"))
+        .select(key, op.alias("op"), F.col("_new").alias("row_hash"))
     )
 
 
 def apply_changes(
-    index: DataFrame, source: DataFrame, changes: DataFrame, columns: Sequence[str], key: str = KEY
+    index: DataFrame,
+    source: DataFrame,
+    changes: DataFrame,
+    columns: Sequence[str],
+    order: Sequence[str] = (),
+    key: str = KEY,
 ) -> DataFrame:
-    """The index after the changes: rows not updated or deleted stay, inserted
-    and updated ones come from the source. Applying again changes nothing."""
-    gone = changes.where(F.col("op") != "insert").select(key)
-    came = changes.where(F.col("op") != "delete").select(key)
-    kept = index.select(*columns).join(gone, key, "left_anti")
-    taken = source.select(*columns).join(came, key, "left_semi")
-    return kept.select(*columns).unionByName(taken.select(*columns))
+    """The index after the changes: rows of keys without a change stay, inserted
+    and updated ones come from the source, found by key and hash. Applying again
+    changes nothing. With changes read from a table, Spark knows their size: a
+    small set goes to the rows, and neither index nor source is shuffled."""
+    values = [c for c in columns if c != key]
+    came = changes.where(F.col("op") != "delete").select(key, "row_hash")
+    taken = source.withColumn("row_hash", row_hash(values)).join(came, [key, "row_hash"], "left_semi")
+    taken = taken.select(*columns)
+    if order:
+        taken = taken.dropDuplicates([key])
+    kept = index.select(*columns).join(changes.select(key), key, "left_anti")
+    return kept.select(*columns).unionByName(taken)
 
 
 def tally(status: DataFrame, good: Sequence[str], column: str = "status") -> DataFrame:

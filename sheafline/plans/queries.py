@@ -289,7 +289,7 @@ def run_tally(spark, d) -> DataFrame:
 @query
 def index_sync_changes(spark, d) -> DataFrame:
     index, source = v.snapshots(spark, d)
-    return sync.index_changes(source, index, source.columns)
+    return sync.index_changes(source, index, source.columns).select("chunk_id", "op")
 
 
 @query

@@ -149,19 +149,20 @@ def refresh_unified(spark: SparkSession, settings: Settings, at: Tables) -> Data
 
 INDEX = """chunk_id STRING, document_id STRING, chunk_content STRING, source_file_name STRING,
     chunk_idx INT, chunk_type STRING, metadata STRING, embedding ARRAY<FLOAT>"""
-CHANGES = "chunk_id STRING, op STRING"
+CHANGES = "chunk_id STRING, op STRING, row_hash BIGINT"
 
 
 def refresh_index(spark: SparkSession, at: Tables, source: DataFrame) -> DataFrame:
     """Bring the index up to date with gold rows, and return the changes made.
     Of rows with the same key the latest counts. The changes are written before
-    they are applied, so that they are worked out once."""
-    newest = sync.latest_per_key(source.select("chunked_at", *gold.INDEX), ["chunked_at"])
+    they are applied: they are worked out once, and their size is known."""
     index = tables.read_snapshot(spark, at.index, INDEX)
-    tables.write_snapshot(sync.index_changes(newest, index, gold.INDEX), at.index_changes)
+    found = sync.index_changes(source, index, gold.INDEX, ["chunked_at"])
+    tables.write_snapshot(found, at.index_changes)
     changes = tables.read_snapshot(spark, at.index_changes, CHANGES)
     if not changes.isEmpty():
-        tables.write_snapshot(sync.apply_changes(index, newest, changes, gold.INDEX), at.index)
+        after = sync.apply_changes(index, source, changes, gold.INDEX, ["chunked_at"])
+        tables.write_snapshot(after, at.index)
     return changes
 
 

@@ -1,0 +1,199 @@
+import os
+import tempfile
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from sheafline.functions import paths
+from sheafline.functions.embedding import CharacterCounts
+from sheafline.operators import chunks, documents, gold, ledger, search
+from sheafline.settings import Settings
+from sheafline.sources import files, landing, names, tables
+from sheafline.streaming import runs
+from sheafline.streaming.runs import Tables
+
+EMBEDDER = CharacterCounts(8)
+
+
+class Landing:
+    """A landing folder in a scratch directory, and the tables made from it."""
+
+    def __init__(self, spark):
+        self.spark = spark
+        self.top = tempfile.mkdtemp(prefix="run-")
+        self.root = os.path.join(self.top, "보험")
+        self.at = Tables(os.path.join(self.top, "tables"))
+        self.settings = Settings(self.root, path_base=self.top)
+        self.clock = time.time() - 10_000
+        os.makedirs(os.path.join(self.root, "빈폴더"))
+
+    def put(self, path, text):
+        full = os.path.join(self.root, path)
+        os.makedirs(os.path.dirname(full), exist_ok=True)
+        with open(full, "w") as f:
+            f.write(text)
+        self.clock += 10
+        os.utime(full, (self.clock, self.clock))
+
+    def run(self, **kw):
+        runs.run(self.spark, self.settings, self.at, EMBEDDER, **kw)
+
+    def table(self, name):
+        return tables.read(self.spark, getattr(self.at, name), getattr(tables, name.upper()))
+
+    def rows(self, name, *columns):
+        return sorted(tuple(r) for r in self.table(name).select(*columns).collect())
+
+
+@pytest.fixture
+def land(spark):
+    place = Landing(spark)
+    place.put("상품/개인/a.md", "first text")
+    place.put("CRM/b c%20d.md", "x" * 1500)
+    place.put("at_root.md", "ignored below the ledger")
+    place.put("CRM/blank.md", "   ")
+    return place
+
+
+def test_runs_take_only_what_is_new(land):
+    land.run()
+    assert land.table("ledger").count() == 4
+    assert land.rows("bronze", "document_id", "category") == [("a", "상품"), ("b c%20d", "CRM"), ("blank", "CRM")]
+    assert land.rows("silver", "document_id") == [("a",), ("b c%20d",)]
+    assert land.rows("gold", "document_id", "chunk_idx", F.length("chunk_content")) == [
+        ("a", 0, 10), ("b c%20d", 0, 1000), ("b c%20d", 1, 700)]
+    agents = land.table("gold").select("document_id", F.get_json_object("metadata", "$.agent_id")).distinct()
+    assert sorted(map(tuple, agents.collect())) == [("a", "상품"), ("b c%20d", "Default")]
+    before = land.rows("gold", "chunk_id", "chunk_content")
+
+    land.run()
+    assert land.rows("gold", "chunk_id", "chunk_content") == before and land.table("ledger").count() == 4
+
+    land.put("상품/개인/a.md", "second text, longer")
+    land.put("새폴더/n.md", "new")
+    land.run()
+    assert land.table("ledger").count() == 6
+    assert land.rows("silver", "document_id", "full_text")[:2] == [("a", "first text"), ("a", "second text, longer")]
+    assert ("n", "새폴더") in land.rows("bronze", "document_id", "category")
+    versions = tables.read_snapshot(land.spark, land.at.versions, runs.VERSIONS)
+    a = versions.where("source_file_name = 'a.md'").orderBy("version_number").collect()
+    assert [(r.version_number, r.total_versions, r.is_latest_version) for r in a] == [(1, 2, False), (2, 2, True)]
+
+
+def test_stream_gives_what_batch_gives(land):
+    now = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    land.run(now=now, files_per_batch=1)
+    spark, s = land.spark, land.settings
+    root = runs.landing_root(spark, s)
+    arrivals = ledger.file_ledger(landing.listing(spark, root), now)
+    arrivals = arrivals.withColumn("category", paths.category(F.col("source_file"), root)).where("category is not null")
+    bronze = documents.bronze_documents(arrivals, landing.contents(spark, root))
+    silver = runs.silver_layer(bronze, s, now)
+    batch = runs.gold_layer(runs.chunk_layer(silver, s, now), s, EMBEDDER, runs._base(spark, s))
+    assert sorted(map(str, batch.collect())) == sorted(map(str, land.table("gold").select(*batch.columns).collect()))
+    assert batch.count() == 3
+
+
+def test_a_file_added_between_batches_is_not_lost(land):
+    runs.append_ledger(land.spark, land.settings, land.at)
+    land.put("CRM/late.md", "late")
+    runs.append_ledger(land.spark, land.settings, land.at)
+    runs.run_bronze(land.spark, land.settings, land.at, files_per_batch=1)
+    assert ("late",) in land.rows("bronze", "document_id")
+
+
+def test_a_batch_done_again_replaces_itself(land):
+    runs.append_ledger(land.spark, land.settings, land.at)
+    rows = land.table("ledger")
+    root = runs.landing_root(land.spark, land.settings)
+    for _ in range(2):
+        runs._bronze_batch(rows, 0, root, land.at)
+    assert land.table("bronze").count() == 3
+
+
+def test_arrivals_whose_category_is_gone_drop_out(land):
+    rows = land.spark.createDataFrame(
+        [(runs.landing_root(land.spark, land.settings) + "gone/x.md", "x.md", 1, None, None)], tables.LEDGER)
+    runs._bronze_batch(rows, 0, runs.landing_root(land.spark, land.settings), land.at)
+    assert not files.exists(land.spark, land.at.bronze)
+
+
+def test_full_refresh_starts_over(land):
+    land.run()
+    land.put("상품/개인/a.md", "second")
+    land.run()
+    fresh = Tables(os.path.join(land.top, "fresh"))
+    runs.full_refresh(land.spark, land.settings, fresh, EMBEDDER)
+    texts = tables.read(land.spark, fresh.silver, tables.SILVER).select("full_text").collect()
+    assert sorted(r[0][:6] for r in texts) == ["second", "xxxxxx"]
+    with pytest.raises(ValueError):
+        runs.full_refresh(land.spark, land.settings, fresh, EMBEDDER)
+
+
+def test_unified_and_index_follow_gold(land):
+    land.run()
+    unified = runs.refresh_unified(land.spark, land.settings, land.at)
+    assert unified.count() == 3
+    assert {r.op for r in runs.refresh_index(land.spark, land.at, unified).collect()} == {"insert"}
+    assert runs.refresh_index(land.spark, land.at, unified).isEmpty()
+
+    land.put("상품/개인/a.md", "second")
+    land.run()
+    unified = runs.refresh_unified(land.spark, land.settings, land.at)
+    assert unified.count() == 4
+    changes = runs.refresh_index(land.spark, land.at, unified)
+    assert [r.op for r in changes.collect()] == ["update"]
+    index = {r.document_id: r for r in runs.read_index(land.spark, land.at).where("chunk_idx = 0").collect()}
+    assert index["a"].chunk_content == "second" and sum(index["a"].embedding) == 6
+
+
+def test_tables_by_name(land):
+    land.run()
+    spark = land.spark
+    runs.refresh_index(spark, land.at, runs.refresh_unified(spark, land.settings, land.at))
+    made = names.publish(spark, land.at, landing.discover_categories(spark, land.root))
+    assert len(made) == 4 + 4 * 2
+    assert spark.table("gold.crm_gold_document_embeddings").count() == 2
+    assert spark.table("gold.crm_gold_document_embeddings").columns == gold.GOLD
+    assert spark.table("silver.product_silver_documents").columns == documents.SILVER
+    assert spark.table("bronze.product_bronze_documents").columns == documents.BRONZE
+    assert spark.table("silver.crm_silver_document_chunks").columns == chunks.CHUNK
+    assert spark.table("staging.staging_documents").columns == ledger.LEDGER
+    count = "select count(distinct document_id) d, count(distinct source_file_name) f from silver.crm_silver_document_chunks"
+    assert tuple(spark.sql(count).first()) == (1, 1)
+    assert spark.sql("select count(*) from gold.gold_embeddings").first()[0] == 3
+    found = search.similarity_search(
+        spark.table("gold.gold_embeddings_index"), "first text", EMBEDDER, ["document_id", "metadata"], 1)
+    assert found.first().document_id == "a"
+
+
+def test_copy_by_category(land):
+    land.run()
+    categories = land.spark.createDataFrame([(c,) for c in landing.discover_categories(land.spark, land.root)], "category string")
+    status = tables.copy_by_category(land.table("gold"), categories, os.path.join(land.top, "copy"))
+    assert sorted((r.category, r.table_slug, r.row_count, r.status) for r in status.collect()) == [
+        ("CRM", "crm", 2, "copied"), ("빈폴더", "빈폴더", 0, "empty"), ("상품", "product", 1, "copied")]
+
+
+def test_discovery_and_listing(land):
+    assert landing.discover_categories(land.spark, land.root) == ["CRM", "빈폴더", "상품"]
+    assert landing.discover_categories(land.spark, land.root + "/nowhere") == []
+    names = landing.listing(land.spark, land.root, ["CRM"]).collect()
+    assert sorted(os.path.basename(r.path) for r in names) == ["b c%20d.md", "blank.md"]
+    newest = max(r.modificationTime for r in landing.listing(land.spark, land.root).collect())
+    assert landing.contents(land.spark, land.root, modified_from=newest).count() == 1
+    assert landing.listing(land.spark, land.root, modified_after=newest).count() == 0
+
+
+def test_a_snapshot_may_replace_its_own_source(spark):
+    root = os.path.join(tempfile.mkdtemp(prefix="run-"), "t")
+    schema = "n bigint"
+    assert tables.read_snapshot(spark, root, schema).count() == 0
+    tables.write_snapshot(spark.range(3).withColumnRenamed("id", "n"), root)
+    grown = tables.read_snapshot(spark, root, schema).selectExpr("n + 10 n")
+    tables.write_snapshot(grown, root)
+    os.makedirs(root + "/version=9")
+    assert sorted(r.n for r in tables.read_snapshot(spark, root, schema).collect()) == [10, 11, 12]
+    tables.write_snapshot(grown, root)
+    assert tables.snapshot_path(spark, root).endswith("version=10")
