@@ -1,9 +1,10 @@
 """Numbering rows inside groups when one group may hold much of the table.
 
-``row_number()`` over a key sorts each key's rows in one task. Here a hot key is
-first cut into slices of its own order column, so its rows are numbered by many
-tasks; the number of rows in earlier slices is then added. Which keys count as
-hot is only a hint: any choice gives the same numbers.
+``row_number()`` over a key sorts each key's rows in one task. The rows of a hot
+key are instead cut into slices along their order, each numbered by a task of its
+own, and the number of rows in earlier slices is added. Exact copies are counted
+rather than carried. Which keys count as hot, and where the slices lie, are only
+hints: any choice gives the same numbers.
 """
 
 from __future__ import annotations
@@ -16,30 +17,22 @@ MAX_HOT_KEYS = 500
 TRACKED_KEYS = 20_000
 HOT_ROWS = 2_000_000
 SLICE_BITS = 9
+SAMPLE_PER_SLICE = 20
+COPIES_PER_BLOCK = 10_000
+_MILLION = 1_000_000
 
 
 def hot_keys(
     df: DataFrame, key: str, min_rows: int = HOT_ROWS, limit: int = MAX_HOT_KEYS
 ) -> DataFrame:
-    """Keys with about ``min_rows`` rows or more, ``limit`` at most. A mergeable
-    sketch finds them: one partial row per task, no shuffle of the keys."""
+    """Keys with about ``min_rows`` rows or more, ``limit`` at most, and their
+    estimated rows. A mergeable sketch finds them: one partial row per task, no
+    shuffle of the keys."""
     top = df.agg(F.expr(f"approx_top_k(`{key}`, {limit}, {TRACKED_KEYS})").alias("top"))
     return (
         top.select(F.explode("top").alias("t"))
         .where((F.col("t.count") >= min_rows) & F.col("t.item").isNotNull())
-        .select(F.col("t.item").alias(key))
-    )
-
-
-def _count_below(splits: Column, at: Column, bits: int) -> Column:
-    """How many of ``2**bits - 1`` sorted numbers are below ``at``: a binary
-    search, in ``bits`` steps."""
-    steps = F.array(*[F.lit(2**b) for b in reversed(range(bits))])
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda found, step: found
-        + F.when(F.get(splits, found + step - 1) < at, step).otherwise(F.lit(0)),
+        .select(F.col("t.item").alias(key), F.col("t.count").alias("row_count"))
     )
 
 
@@ -47,58 +40,56 @@ def number_rows(
     df: DataFrame,
     key: str,
     order: Sequence[str],
-    position: Column,
     number: str,
     total: str,
     hot_rows: int = HOT_ROWS,
     slice_bits: int = SLICE_BITS,
 ) -> DataFrame:
     """Add ``number`` = place of a row in its key's ``order`` (1, 2, …, NULLs
-    first) and ``total`` = rows of that key.
+    first) and ``total`` = rows of that key. The columns must be sortable.
 
-    ``position`` is a whole number that never decreases along ``order`` (say, the
-    first order column as microseconds); hot keys are cut into ``2**slice_bits``
-    slices by its quantiles, so that slices are even however the rows crowd.
     Finding hot keys is one pass over the key column, done when this is called;
     where there are none, the plan is the plain window.
     """
-    names = number, total
-    keys = [row[0] for row in hot_keys(df, key, hot_rows).collect()]
-    if not keys:
-        return _number_whole(df, key, order, *names)
-    is_hot = F.coalesce(F.col(key).isin(keys), F.lit(False))
-    cold = _number_whole(df.where(~is_hot), key, order, *names)
-    hot = _number_sliced(df.where(is_hot), key, order, position, slice_bits, *names)
+    found = hot_keys(df, key, hot_rows).collect()
+    if not found:
+        return _number_whole(df, key, order, number, total)
+    is_hot = F.coalesce(F.col(key).isin([row[0] for row in found]), F.lit(False))
+    # A share of each key's rows that gives about as many samples for all.
+    wanted = SAMPLE_PER_SLICE * 2**slice_bits
+    shares = df.sparkSession.createDataFrame(
+        [(row[0], max(1, min(_MILLION, wanted * _MILLION // row.row_count))) for row in found],
+        f"`{key}` {dict(df.dtypes)[key]}, _share bigint",
+    )
+    cold = _number_whole(df.where(~is_hot), key, order, number, total)
+    hot = _number_sliced(df.where(is_hot), key, order, shares, slice_bits, number, total)
     return cold.unionByName(hot)
 
 
-def _row_number(key: Sequence[str], order: Sequence[str]) -> Column:
-    by = [F.col(c).asc_nulls_first() for c in order]
-    return F.row_number().over(Window.partitionBy(*key).orderBy(*by))
+def _ascending(columns: Sequence[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_first() for c in columns]
 
 
 def _number_whole(df, key, order, number, total) -> DataFrame:
     """Both windows share one shuffle and one sort."""
+    rows = Window.partitionBy(key)
     return df.select(
         "*",
-        _row_number([key], order).alias(number),
-        F.count("*").over(Window.partitionBy(key)).cast("int").alias(total),
+        F.row_number().over(rows.orderBy(*_ascending(order))).alias(number),
+        F.count("*").over(rows).cast("int").alias(total),
     )
 
 
-def _number_sliced(df, key, order, position, slice_bits, number, total) -> DataFrame:
-    """The broadcasts are of at most ``MAX_HOT_KEYS`` keys with their splits and
-    of ``2**slice_bits`` slice sizes for each."""
-    slices = 2**slice_bits
-    cuts = [i / slices for i in range(1, slices)]
-    # Placed below the join, so that the search does not work it out per step.
-    placed = df.withColumn("_at", F.coalesce(position, F.lit(-(2**63))))
-    splits = placed.groupBy(key).agg(
-        F.percentile_approx("_at", cuts, max(10_000, 20 * slices)).alias("_splits")
+def _number_sliced(df, key, order, shares, slice_bits, number, total) -> DataFrame:
+    """The broadcasts are of at most ``MAX_HOT_KEYS`` keys with ``2**slice_bits``
+    splits or slice sizes each."""
+    distinct = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    placed = distinct.withColumn("_at", F.struct(*order))
+    splits = _splits(placed.select(key, "_at"), key, shares, 2**slice_bits)
+    sliced = placed.join(F.broadcast(splits), key, "left").withColumn(
+        "_slice", _count_below(F.col("_splits"), F.col("_at"), slice_bits)
     )
-    slice_of = _count_below(F.col("_splits"), F.col("_at"), slice_bits)
-    sliced = placed.join(F.broadcast(splits), key).withColumn("_slice", slice_of)
-    sizes = sliced.groupBy(key, "_slice").agg(F.count("*").alias("_rows"))
+    sizes = sliced.groupBy(key, "_slice").agg(F.sum("_copies").alias("_rows"))
     before = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         key,
@@ -106,9 +97,54 @@ def _number_sliced(df, key, order, position, slice_bits, number, total) -> DataF
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
         F.sum("_rows").over(Window.partitionBy(key)).alias("_all"),
     )
-    placed_rows = sliced.select(*df.columns, "_slice", _row_number([key, "_slice"], order).alias("_n"))
-    return placed_rows.join(F.broadcast(offsets), [key, "_slice"]).select(
-        *df.columns,
-        (F.col("_n") + F.col("_before")).cast("int").alias(number),
-        F.col("_all").cast("int").alias(total),
+    rest = [c for c in df.columns if c not in order]
+    up_to_here = (
+        Window.partitionBy(key, "_slice")
+        .orderBy(*_ascending([*order, *rest]))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    ends = sliced.select(*df.columns, "_slice", "_copies", F.sum("_copies").over(up_to_here).alias("_end"))
+    last = (F.col("_before") + F.col("_end")).alias("_last")
+    counted = ends.join(F.broadcast(offsets), [key, "_slice"]).select(
+        *df.columns, last, F.col("_all").cast("int").alias(total), "_copies"
+    )
+    return _give_numbers(counted, key, df.columns, number, total)
+
+
+def _give_numbers(counted, key, columns, number, total) -> DataFrame:
+    """One row per copy, numbered up to ``_last``. Copies are first cut into blocks
+    that are shuffled, so that a row with very many is not written out by one
+    task."""
+    first = F.col("_last") - F.col("_copies") + 1
+    blocks = counted.select(
+        "*", F.explode(F.sequence(first, F.col("_last"), F.lit(COPIES_PER_BLOCK))).alias("_first")
+    ).repartition(key, "_first")
+    until = F.least(F.col("_last"), F.col("_first") + (COPIES_PER_BLOCK - 1))
+    rows = blocks.select(*columns, total, F.explode(F.sequence("_first", until)).alias("_number"))
+    return rows.select(*columns, F.col("_number").cast("int").alias(number), total)
+
+
+def _splits(placed: DataFrame, key: str, shares: DataFrame, slices: int) -> DataFrame:
+    """Per key, ``slices - 1`` places in order that cut its rows evenly, from a
+    sample. The sample goes by a hash of the place, so it is the same on a retry."""
+    sampled = placed.join(F.broadcast(shares), key).where(
+        F.pmod(F.xxhash64("_at"), F.lit(_MILLION)) < F.col("_share")
+    )
+    sorted_ = sampled.groupBy(key).agg(F.array_sort(F.collect_set("_at")).alias("_seen"))
+    pick = F.transform(
+        F.sequence(F.lit(1), F.lit(slices - 1)),
+        lambda i: F.get("_seen", F.floor(i * F.size("_seen") / slices).cast("int")),
+    )
+    return sorted_.select(key, pick.alias("_splits"))
+
+
+def _count_below(splits: Column, at: Column, bits: int) -> Column:
+    """How many of ``2**bits - 1`` sorted values are below ``at``: a binary
+    search, in ``bits`` steps. 0 where there are no splits."""
+    steps = F.array(*[F.lit(2**b) for b in reversed(range(bits))])
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda found, step: found
+        + F.when(F.get(splits, found + step - 1) < at, step).otherwise(F.lit(0)),
     )

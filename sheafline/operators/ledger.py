@@ -32,13 +32,6 @@ def ledger_increment(found: DataFrame, ledger: DataFrame) -> DataFrame:
     return found.join(known, ARRIVAL, "left_anti").select(*found.columns)
 
 
-def _micros(name: str) -> Column:
-    """A timestamp, with or without time zone, as a whole number that grows with
-    it. No zone conversion takes part, so clock changes cannot reverse it."""
-    fraction = F.date_part(F.lit("SECOND"), F.col(name)) % 1
-    return F.unix_timestamp(F.col(name)) * 1_000_000 + (fraction * 1_000_000).cast("bigint")
-
-
 def document_versions(
     ledger: DataFrame,
     ties: Sequence[str] = (),
@@ -52,7 +45,6 @@ def document_versions(
         ledger.select(*LEDGER, *ties),
         "source_file",
         order,
-        _micros("file_modified_at"),
         "version_number",
         "total_versions",
         hot_rows,

@@ -33,3 +33,10 @@ def folders(spark: SparkSession, path: str) -> list[str]:
         return []
     names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
     return sorted(n for n in names if n[0] not in "._")
+
+
+def files_at(spark: SparkSession, path: str) -> list[str]:
+    """Files right at a folder, not those in folders below."""
+    fs, p = _at(spark, path)
+    found = [s.getPath() for s in fs.listStatus(p) if s.isFile()]
+    return sorted(f.toString() for f in found if f.getName()[0] not in "._")

@@ -7,6 +7,7 @@ gives an overwritten file again.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -37,11 +38,32 @@ def landing_root(spark: SparkSession, settings: Settings) -> str:
     return files.qualified(spark, settings.landing_root.rstrip("/")).rstrip("/") + "/"
 
 
-def append_ledger(spark: SparkSession, settings: Settings, at: Tables, now: Column | None = None) -> None:
-    """Record new and overwritten files. Running again adds nothing."""
-    found = ledger.file_ledger(landing.listing(spark, settings.landing_root), now)
-    known = tables.read(spark, at.ledger, tables.LEDGER)
-    ledger.ledger_increment(found, known).write.mode("append").parquet(at.ledger)
+def append_ledger(
+    spark: SparkSession,
+    settings: Settings,
+    at: Tables,
+    now: Column | None = None,
+    by_category: bool = False,
+) -> None:
+    """Record new and overwritten files. Running again adds nothing. A listing is
+    held by the driver; ``by_category`` lists one category after the other, so
+    that it holds the files of one category at a time."""
+    for found in _listings(spark, settings.landing_root, by_category):
+        known = tables.read(spark, at.ledger, tables.LEDGER)
+        new = ledger.ledger_increment(ledger.file_ledger(found, now), known)
+        new.write.mode("append").parquet(at.ledger)
+
+
+def _listings(spark: SparkSession, root: str, by_category: bool) -> Iterator[DataFrame]:
+    if not by_category:
+        yield landing.listing(spark, root)
+        return
+    for category in landing.discover_categories(spark, root):
+        yield landing.listing(spark, root, [category])
+    loose = files.files_at(spark, root)
+    if loose:
+        found = spark.read.format("binaryFile").load([p.replace(" ", "\\ ") for p in loose])
+        yield found.select("path", "modificationTime", "length")
 
 
 def run_bronze(spark: SparkSession, settings: Settings, at: Tables, files_per_batch: int | None = None) -> None:
@@ -107,9 +129,10 @@ def run(
     embedder: Embedder,
     now: Column | None = None,
     files_per_batch: int | None = None,
+    by_category: bool = False,
 ) -> None:
     """One triggered run through all layers."""
-    append_ledger(spark, settings, at, now)
+    append_ledger(spark, settings, at, now, by_category)
     run_bronze(spark, settings, at, files_per_batch)
     bronze = tables.stream(spark, at.bronze, tables.BRONZE)
     tables.append_stream(silver_layer(bronze, settings, now), at.silver, at.checkpoint("silver"))

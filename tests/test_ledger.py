@@ -51,17 +51,36 @@ def test_versions_are_the_same_however_keys_are_split(spark, hot_rows, bits):
     assert as_set(got) == brute(rows)
 
 
-def test_hot_key_is_spread_over_slices(spark):
-    rows = [("hot", n, n, n) for n in range(4000)]
-    sliced = hotkeys._number_sliced(
-        arrivals(spark, rows), "source_file", ["file_modified_at"], ledger._micros("file_modified_at"), 4, "n", "t"
-    )
-    assert [r.n for r in sliced.orderBy("file_size_bytes").collect()] == list(range(1, 4001))
-    splits = F.array(*[F.lit(x) for x in (10, 20, 30)])
-    below = spark.createDataFrame([(5,), (10,), (11,), (25,), (31,)], "at bigint").select(
+def test_hot_key_is_spread_evenly(spark):
+    """Also when all its rows are of one moment and differ in a later column only."""
+    df = arrivals(spark, [("hot", n, 7, 0) for n in range(4000)])
+    order = ["file_modified_at", "ingested_at", "file_size_bytes"]
+    shares = spark.createDataFrame([("hot", 500_000)], "source_file string, _share bigint")
+    placed = df.withColumn("_at", F.struct(*order))
+    splits = hotkeys._splits(placed.select("source_file", "_at"), "source_file", shares, 16)
+    sliced = placed.join(splits, "source_file").select(
+        hotkeys._count_below(F.col("_splits"), F.col("_at"), 4).alias("slice"))
+    sizes = [r["count"] for r in sliced.groupBy("slice").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 400
+    numbered = hotkeys._number_sliced(df, "source_file", order, shares, 4, "n", "t")
+    assert [r.n for r in numbered.orderBy("file_size_bytes").collect()] == list(range(1, 4001))
+
+
+@pytest.mark.parametrize("block", [10_000, 7])
+def test_exact_copies_are_all_kept(spark, block, monkeypatch):
+    monkeypatch.setattr(hotkeys, "COPIES_PER_BLOCK", block)
+    rows = [("hot", 1, 5, 0)] * 500 + [("hot", 2, 5, 0)] * 3 + [("hot", 1, 4, 0)]
+    got = ledger.document_versions(arrivals(spark, rows), hot_rows=100, slice_bits=2)
+    pairs = sorted((r.version_number, r.file_size_bytes, r.total_versions) for r in got.collect())
+    assert pairs == [(n, 2 if 501 < n else 1, 504) for n in range(1, 505)]
+
+
+def test_binary_search(spark):
+    splits = F.array(*[F.lit(x) for x in (10, 20, 20)])
+    below = spark.createDataFrame([(5,), (10,), (11,), (20,), (31,)], "at int").coalesce(1).select(
         hotkeys._count_below(splits, F.col("at"), 2).alias("n")
     )
-    assert [r.n for r in below.collect()] == [0, 0, 1, 2, 3]
+    assert [r.n for r in below.collect()] == [0, 0, 1, 1, 3]
 
 
 def test_hot_keys_finds_the_large_ones(spark):
@@ -69,12 +88,6 @@ def test_hot_keys_finds_the_large_ones(spark):
     assert [r[0] for r in hotkeys.hot_keys(df, "source_file", 100).collect()] == ["a"]
 
 
-def test_micros_keeps_order_for_both_kinds_of_timestamp(spark):
-    df = spark.sql("select timestamp'2024-03-10 02:30:00.000005' z, timestamp_ntz'2024-03-10 02:30:00.000005' n")
-    row = df.select(ledger._micros("z").alias("z"), ledger._micros("n").alias("n")).first()
-    assert row.z == row.n and row.z % 1_000_000 == 5
-
-
 def test_latest_equals_flagged_versions(spark):
     rows = [r for r in crowded_rows(8) if r[0] is not None]
     df = arrivals(spark, rows)

@@ -82,7 +82,7 @@ def test_search_does_not_shuffle_the_corpus(spark):
     text = plan(hits)
     tree = [line.strip(" +-:*") for line in text.split("\n\n")[0].split("\n")]
     nodes = [line.split("(")[0].strip() for line in tree if line]
-    assert nodes[nodes.index("MapInArrow") :] == ["MapInArrow", "Filter", "Scan parquet"]
+    assert nodes[nodes.index("MapInArrow") :] == ["MapInArrow", "Coalesce", "Filter", "Scan parquet"]
     assert "WindowGroupLimit" in nodes
 
 
