@@ -15,7 +15,7 @@ SILVER = [
     "file_size_bytes", "file_modified_at", "ingested_at", "processed_at", "silver_layer",
 ]
 
-MAX_BROADCAST_ARRIVALS = 1_000_000
+MAX_BROADCAST_ARRIVALS = 200_000
 
 
 def in_category(arrivals: DataFrame, root: str, category: str) -> DataFrame:
@@ -37,6 +37,24 @@ def bronze_documents(
     return label_bronze(arrivals.join(bytes_, "source_file"))
 
 
+def bronze_of_scan(files: DataFrame, skip: DataFrame, ingested_at: Column) -> DataFrame:
+    """Files that are their own arrivals, all of one ledger run: what they are
+    called, their size and time come with the bytes, so nothing is joined to them
+    and nothing shuffled. ``skip`` are the paths to leave out, checked by the
+    caller to be at most ``MAX_BROADCAST_ARRIVALS``."""
+    wanted = files.join(F.broadcast(skip.select("path")), "path", "left_anti")
+    return label_bronze(
+        wanted.select(
+            F.col("path").alias("source_file"),
+            paths.file_name(F.col("path")).alias("source_file_name"),
+            "content",
+            F.col("length").alias("file_size_bytes"),
+            F.col("modificationTime").alias("file_modified_at"),
+            ingested_at.alias("ingested_at"),
+        )
+    )
+
+
 def label_bronze(rows: DataFrame) -> DataFrame:
     """Arrivals with bytes, given their document id and layer."""
     return (

@@ -76,6 +76,20 @@ def embed_chunks(
     return out.select(*GOLD, *[c for c in out.columns if c not in GOLD])
 
 
+def embed_missing(
+    gold: DataFrame,
+    embedder: em.Embedder,
+    dimension: int,
+    batch: int = fv.EMBED_BATCH,
+    tasks: int | None = None,
+) -> DataFrame:
+    """Gold with the rows embedded again whose vector is missing or of another
+    length; the others go through untouched."""
+    good = F.coalesce(F.size("embedding") == dimension, F.lit(False))
+    again = embed_chunks(gold.where(~good).drop("embedding"), embedder, batch, tasks)
+    return gold.where(good).unionByName(again.select(*gold.columns))
+
+
 def index_rows(gold: DataFrame, columns: Sequence[str] = INDEX) -> DataFrame:
     """The columns that are kept in the index."""
     return gold.select(*columns)

@@ -56,13 +56,18 @@ class Scoring:
             out = -np.sqrt(np.maximum(squares, 0))
         return np.round(out, self.decimals)
 
-    def best(self, scores: np.ndarray, ids: np.ndarray, bar: float = -np.inf) -> np.ndarray:
-        """Positions of the ``k`` best of at least ``bar``, ties by id."""
+    def best(self, scores: np.ndarray, bar: float = -np.inf) -> np.ndarray:
+        """Positions of the ``k`` best scores of at least ``bar``, best first and
+        equal ones in their own order. However many rows tie, none is sorted that
+        cannot be among the best."""
         found = np.flatnonzero((scores >= bar) & (scores > -np.inf))
         if len(found) > self.k:
             some = scores[found]
-            found = found[some >= np.partition(some, -self.k)[-self.k]]
-        return found[np.lexsort((ids[found], -scores[found]))][: self.k]
+            least = np.partition(some, -self.k)[-self.k]
+            above = found[some > least]
+            ties = found[some == least][: self.k - len(above)]
+            found = np.sort(np.concatenate([above, ties]))
+        return found[np.argsort(-scores[found], kind="stable")]
 
 
 class _Best:
@@ -84,17 +89,21 @@ class _Best:
 
     def _add(self, batch: pa.RecordBatch, id_column: str, group_column: str | None):
         ids = _values(batch[id_column])
-        scores = self.scoring.scores(_matrix(batch["embedding"]), self.vectors)
+        by_id = np.argsort(ids, kind="stable")  # so that ties rank by id
+        ids = ids[by_id]
+        scores = self.scoring.scores(_matrix(batch["embedding"])[by_id], self.vectors)
         if self.allowed is not None:
-            scores[self.allowed[:, None] != _values(batch[group_column])[None, :]] = -np.inf
+            groups = _values(batch[group_column])[by_id]
+            scores[self.allowed[:, None] != groups[None, :]] = -np.inf
         # Only queries with a row that is as good as their k-th best are looked at.
         for q in np.flatnonzero(scores.max(axis=1) >= self.bars):
-            new = self.scoring.best(scores[q], ids, self.bars[q])
+            new = self.scoring.best(scores[q], self.bars[q])
             some_ids, some = ids[new], scores[q][new]
             if self.found[q] is not None:
                 some_ids = np.concatenate([self.found[q][0], some_ids])
                 some = np.concatenate([self.found[q][1], some])
-                keep = self.scoring.best(some, some_ids)
+                together = np.argsort(some_ids, kind="stable")
+                keep = together[self.scoring.best(some[together])]
                 some_ids, some = some_ids[keep], some[keep]
             self.found[q] = some_ids, some
             if len(some) == self.scoring.k:

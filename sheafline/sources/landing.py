@@ -20,16 +20,13 @@ def listing(
     spark: SparkSession,
     root: str,
     categories: Sequence[str] | None = None,
-    modified_after: datetime | None = None,
+    modified_from: datetime | None = None,
 ) -> DataFrame:
     """Path, size and time of all files below the root. No file is opened: the
     content column is not part of the plan. Spark keeps the list of paths on the
     driver, so a huge landing folder is listed some categories at a time, or from
     the time of the last run on."""
-    found = _scan(spark, root, categories).select("path", "modificationTime", "length")
-    if modified_after is not None:
-        found = found.where(F.col("modificationTime") > F.lit(modified_after))
-    return found
+    return contents(spark, root, categories, modified_from).select("path", "modificationTime", "length")
 
 
 def contents(

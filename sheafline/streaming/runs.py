@@ -19,6 +19,9 @@ from sheafline.settings import Settings
 from sheafline.sources import files, landing, tables
 
 
+SMALL_BATCH = documents.MAX_BROADCAST_ARRIVALS
+
+
 @dataclass(frozen=True)
 class Tables:
     """Where the tables of one pipeline lie: below one folder all executors see."""
@@ -89,6 +92,8 @@ def _bronze_batch(rows: DataFrame, number: int, root: str, at: Tables) -> None:
     seen = arrivals.agg(
         F.count("*").alias("rows"),
         F.min("file_modified_at").alias("oldest"),
+        F.min("ingested_at").alias("first_run"),
+        F.max("ingested_at").alias("last_run"),
         F.collect_set("category").alias("categories"),
     ).first()
     if not seen.rows:
@@ -97,12 +102,35 @@ def _bronze_batch(rows: DataFrame, number: int, root: str, at: Tables) -> None:
     categories = sorted(present.intersection(seen.categories))
     if not categories:
         return
-    current = landing.contents(rows.sparkSession, root, categories, seen.oldest)
-    few = seen.rows <= documents.MAX_BROADCAST_ARRIVALS
-    bronze = documents.bronze_documents(arrivals, current, few)
+    spark = rows.sparkSession
+    current = landing.contents(spark, root, categories, seen.oldest)
+    if seen.rows <= SMALL_BATCH:
+        bronze = documents.bronze_documents(arrivals, current, small_arrivals=True)
+    else:
+        listed = landing.listing(spark, root, categories, seen.oldest)
+        bronze = _large_bronze(arrivals, listed, current, root, seen.first_run == seen.last_run)
     bronze.write.mode("overwrite").partitionBy("category").parquet(f"{at.bronze}/batch={number}")
 
 
+def _large_bronze(arrivals: DataFrame, listed: DataFrame, current: DataFrame, root: str, one_run: bool) -> DataFrame:
+    """Pair many arrivals with their files without shuffling the bytes, where that
+    can be had. Comparing arrivals and listing moves paths, times and sizes only.
+    In a large load nearly every file is just as its arrival says; few are not of
+    this load, and few arrivals belong to files that have changed since. If either
+    is not few, or the load mixes ledger runs, both sides are shuffled by path."""
+    as_listed = ledger.file_ledger(listed, F.lit(None)).select(*ledger.ARRIVAL)
+    others = as_listed.join(arrivals, ledger.ARRIVAL, "left_anti")
+    changed = arrivals.join(as_listed, ledger.ARRIVAL, "left_anti")
+    limit = documents.MAX_BROADCAST_ARRIVALS
+    if not one_run or others.count() > limit or changed.count() > limit:
+        return documents.bronze_documents(arrivals, current)
+    run_at = arrivals.agg(F.max("ingested_at")).first()[0]
+    skip = others.select(F.col("source_file").alias("path"))
+    same = documents.bronze_of_scan(current, skip, F.lit(run_at))
+    same = same.withColumn("category", paths.category(F.col("source_file"), root))
+    return same.unionByName(documents.bronze_documents(changed, current, small_arrivals=True))
+
+
 def silver_layer(bronze: DataFrame, settings: Settings, now: Column | None = None) -> DataFrame:
     return documents.silver_documents(bronze.drop("batch"), now)
 
@@ -162,9 +190,18 @@ def refresh_versions(spark: SparkSession, at: Tables) -> DataFrame:
     return tables.read_snapshot(spark, at.versions, VERSIONS)
 
 
-def refresh_unified(spark: SparkSession, settings: Settings, at: Tables) -> DataFrame:
-    """Replace the table of all categories' gold rows."""
+def refresh_unified(
+    spark: SparkSession,
+    settings: Settings,
+    at: Tables,
+    embedder: Embedder | None = None,
+    dimension: int | None = None,
+) -> DataFrame:
+    """Replace the table of all categories' gold rows. With an embedder, rows
+    whose vector is missing or not of that dimension are embedded once more."""
     rows = tables.read(spark, at.gold, tables.GOLD)
+    if embedder is not None:
+        rows = gold.embed_missing(rows, embedder, dimension, settings.embed_batch, settings.embed_tasks)
     categories = landing.discover_categories(spark, settings.landing_root)
     tables.write_snapshot(unify.unify_partitions(rows, categories), at.unified, "category")
     return tables.read_snapshot(spark, at.unified, tables.GOLD)

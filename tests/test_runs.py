@@ -129,6 +129,46 @@ def test_arrivals_whose_category_is_gone_drop_out(land):
     assert not files.exists(land.spark, land.at.bronze)
 
 
+@pytest.mark.parametrize("limit", [200_000, 1, 0])
+def test_large_loads_give_the_same_rows(land, limit, monkeypatch):
+    """By scan (with few or too many files that are not as they arrived) and by
+    shuffle, as by broadcast."""
+    spark, root = land.spark, runs.landing_root(land.spark, land.settings)
+    runs.append_ledger(spark, land.settings, land.at)
+    land.put("상품/개인/a.md", "overwritten since")
+    land.put("CRM/not of this load.md", "later")
+    os.remove(os.path.join(land.root, "CRM/blank.md"))
+    rows = land.table("ledger")
+    small, large = Tables(land.at.root + "/small"), Tables(land.at.root + "/large")
+    runs._bronze_batch(rows, 0, root, small)
+    monkeypatch.setattr(runs, "SMALL_BATCH", 0)
+    monkeypatch.setattr(documents, "MAX_BROADCAST_ARRIVALS", limit)
+    runs._bronze_batch(rows, 0, root, large)
+    got = [sorted(map(str, tables.read(spark, at.bronze, tables.BRONZE).collect())) for at in (small, large)]
+    assert got[0] == got[1] and len(got[0]) == 2 and "overwritten since" in "".join(got[0])
+
+
+def test_large_loads_move_no_bytes(land, monkeypatch):
+    spark, root = land.spark, runs.landing_root(land.spark, land.settings)
+    runs.append_ledger(spark, land.settings, land.at)
+    arrivals = land.table("ledger").withColumn("category", paths.category(F.col("source_file"), root))
+    listed, current = landing.listing(spark, root), landing.contents(spark, root)
+    plan = runs._large_bronze(arrivals, listed, current, root, True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan
+    assert "strategy=broadcast" not in runs._large_bronze(
+        arrivals, listed, current, root, False)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_missing_vectors_are_made_when_unifying(land):
+    def down(texts):
+        raise OSError("service down")
+
+    runs.run(land.spark, land.settings, land.at, down)
+    assert land.table("gold").where("embedding is null").count() == 3
+    unified = runs.refresh_unified(land.spark, land.settings, land.at, EMBEDDER, 8)
+    assert unified.where("size(embedding) = 8").count() == 3 and unified.count() == 3
+
+
 def test_full_refresh_starts_over(land):
     land.run()
     land.put("상품/개인/a.md", "second")
@@ -193,7 +233,7 @@ def test_discovery_and_listing(land):
     assert sorted(os.path.basename(r.path) for r in names) == ["b c%20d.md", "blank.md"]
     newest = max(r.modificationTime for r in landing.listing(land.spark, land.root).collect())
     assert landing.contents(land.spark, land.root, modified_from=newest).count() == 1
-    assert landing.listing(land.spark, land.root, modified_after=newest).count() == 0
+    assert landing.listing(land.spark, land.root, modified_from=newest).count() == 1
 
 
 def test_a_snapshot_may_replace_its_own_source(spark):
