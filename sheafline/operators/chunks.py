@@ -69,7 +69,7 @@ def _finish(rows: DataFrame, idx: Column, single: Column, chunked_at: Column | N
     """Trim spaces, drop what is then empty, label, and order the columns."""
     out = (
         rows.withColumn("chunk_idx", idx)
-        .withColumn("chunk_content", F.trim("_w.chunk_text"))
+        .withColumn("chunk_content", F.trim("_w"))
         .where(F.length("chunk_content") > 0)
         .withColumn("chunk_type", F.when(single, F.lit("single")).otherwise(F.lit("overlap")))
         .withColumn("chunked_at", F.current_timestamp() if chunked_at is None else chunked_at)
@@ -90,7 +90,7 @@ def chunk_elements(
     Narrow and free of Python. Elements that are NULL or hold only spaces give
     no chunk, so they need no filter of their own. A chunk is ``single`` if its element is no longer
     than the chunk size, even where the overlap makes two windows of it."""
-    cut = windows.all_windows if positional else windows.chunks
+    cut = windows.texts if positional else windows.kept_texts
     rows = _explode(elements, cut(F.col("element_text"), spec))
     single = F.lit(True) if spec.mode == "none" else F.col("_chars") <= spec.size
     return _finish(rows, F.col("_pos"), single, chunked_at)
@@ -141,9 +141,9 @@ def chunk_by_strategy(
     array = F
     for n, r in enumerate(rules, 1):
         array = array.when(
-            F.col("_strategy.rule") == n, windows.chunks(F.col("element_text"), r.spec)
+            F.col("_strategy.rule") == n, windows.kept_texts(F.col("element_text"), r.spec)
         )
-    whole = windows.chunks(F.col("element_text"), ChunkSpec("none"))
+    whole = windows.kept_texts(F.col("element_text"), ChunkSpec("none"))
     rows = _explode(docs, whole if array is F else array.otherwise(whole))
     rows = rows.withColumn("chunk_mode", F.col("_strategy.mode"))
     single = (F.col("chunk_mode") == "none") | (F.col("_chars") <= F.col("_strategy.size"))

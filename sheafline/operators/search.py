@@ -24,7 +24,7 @@ MAX_QUERIES = 4096
 MAX_QUERY_VALUES = 8_000_000
 MAX_SCORES = 4_000_000
 BUCKET_ROWS = 200_000
-TASKS_PER_CORE = 4
+MAX_TASKS = 32_000
 
 
 @dataclass(frozen=True)
@@ -164,7 +164,7 @@ def _search(
     rows = corpus.select(id_column, "embedding", *extra).where(F.size("embedding") == dimension)
     # Every task gives k rows per query to the final ranking, so that there must
     # not be a task for every split of a very large corpus.
-    rows = rows.coalesce(TASKS_PER_CORE * corpus.sparkSession.sparkContext.defaultParallelism)
+    rows = rows.coalesce(MAX_TASKS)
     kinds, wanted = dict(corpus.dtypes), dict(queries.dtypes)
     hit = f"query_id {wanted['query_id']}, `{id_column}` {kinds[id_column]}, score double"
 

@@ -159,14 +159,15 @@ def run(
     files_per_batch: int | None = None,
     by_category: bool = False,
 ) -> None:
-    """One triggered run through all layers."""
+    """One triggered run through all layers. ``files_per_batch`` cuts a large
+    backlog into batches, so that a failure costs one batch."""
     append_ledger(spark, settings, at, now, by_category)
     run_bronze(spark, settings, at, files_per_batch)
-    bronze = tables.stream(spark, at.bronze, tables.BRONZE)
+    bronze = tables.stream(spark, at.bronze, tables.BRONZE, files_per_batch)
     tables.append_stream(silver_layer(bronze, settings, now), at.silver, at.checkpoint("silver"))
-    silver = tables.stream(spark, at.silver, tables.SILVER)
+    silver = tables.stream(spark, at.silver, tables.SILVER, files_per_batch)
     tables.append_stream(chunk_layer(silver, settings, now), at.chunks, at.checkpoint("chunks"))
-    cut = tables.stream(spark, at.chunks, tables.CHUNKS)
+    cut = tables.stream(spark, at.chunks, tables.CHUNKS, files_per_batch)
     rows = gold_layer(cut, settings, embedder, _base(spark, settings))
     tables.append_stream(rows, at.gold, at.checkpoint("gold"))
     refresh_versions(spark, at)
