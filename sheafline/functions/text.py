@@ -24,7 +24,7 @@ def tidy(text: Column) -> Column:
 
 def has_text(text: Column) -> Column:
     """Not NULL and more than spaces."""
-    return text.isNotNull() & (F.length(F.trim(text)) > 0)
+    return text.isNotNull() & (F.trim(text) != "")
 
 
 _TABLE_STEPS = (

@@ -70,7 +70,7 @@ def _finish(rows: DataFrame, idx: Column, single: Column, chunked_at: Column | N
     out = (
         rows.withColumn("chunk_idx", idx)
         .withColumn("chunk_content", F.trim("_w"))
-        .where(F.length("chunk_content") > 0)
+        .where(F.col("chunk_content") != "")
         .withColumn("chunk_type", F.when(single, F.lit("single")).otherwise(F.lit("overlap")))
         .withColumn("chunked_at", F.current_timestamp() if chunked_at is None else chunked_at)
     )

@@ -209,7 +209,7 @@ ORACLE = {
     "text_preview": f"WITH {SILVER} SELECT document_id, left(full_text, 500) AS text_preview FROM silver",
     "html_table_text": f"SELECT page_id, {_table_text('html', True)} AS page_text FROM pages",
     "html_element_text": f"SELECT page_id, {_table_text('html', False)} AS page_text FROM pages",
-    "parsed_ok": "SELECT 'doc_' || doc_id AS document_id FROM documents WHERE doc_id % 10 <> 9",
+    "parsed_ok": "SELECT 'doc_' || doc_id AS document_id FROM documents WHERE length(text) >= 100",
     "element_text": f"""WITH {PARSED} SELECT document_id,
         coalesce(string_agg(content, chr(10) || chr(10) ORDER BY i)
           FILTER (WHERE kind <> 'figure' AND length(trim(content, ' ')) > 0), '') AS full_text
