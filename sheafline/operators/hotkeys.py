@@ -83,13 +83,14 @@ def _number_whole(df, key, order, number, total) -> DataFrame:
 def _number_sliced(df, key, order, shares, slice_bits, number, total) -> DataFrame:
     """The broadcasts are of at most ``MAX_HOT_KEYS`` keys with ``2**slice_bits``
     splits or slice sizes each."""
-    distinct = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
-    placed = distinct.withColumn("_at", F.struct(*order))
-    splits = _splits(placed.select(key, "_at"), key, shares, 2**slice_bits)
-    sliced = placed.join(F.broadcast(splits), key, "left").withColumn(
-        "_slice", _count_below(F.col("_splits"), F.col("_at"), slice_bits)
+    at = F.struct(*order)
+    splits = F.broadcast(_splits(df.select(key, at.alias("_at")), key, shares, 2**slice_bits))
+    slice_of = _count_below(F.col("_splits"), at, slice_bits).alias("_slice")
+    sizes = df.join(splits, key, "left").select(key, slice_of).groupBy(key, "_slice").agg(
+        F.count("*").alias("_rows")
     )
-    sizes = sliced.groupBy(key, "_slice").agg(F.sum("_copies").alias("_rows"))
+    distinct = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    sliced = distinct.join(splits, key, "left").select(*df.columns, "_copies", slice_of)
     before = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         key,
@@ -105,7 +106,9 @@ def _number_sliced(df, key, order, shares, slice_bits, number, total) -> DataFra
     )
     ends = sliced.select(*df.columns, "_slice", "_copies", F.sum("_copies").over(up_to_here).alias("_end"))
     last = (F.col("_before") + F.col("_end")).alias("_last")
-    counted = ends.join(F.broadcast(offsets), [key, "_slice"]).select(
+    # Every slice has its offset. An inner join would say so with a test for NULL,
+    # which would work out the slice once more.
+    counted = ends.join(F.broadcast(offsets), [key, "_slice"], "left").select(
         *df.columns, last, F.col("_all").cast("int").alias(total), "_copies"
     )
     return _give_numbers(counted, key, df.columns, number, total)

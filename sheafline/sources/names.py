@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 from sheafline import fixed_values as fv
 from sheafline.sources import files, tables
-from sheafline.streaming.runs import Tables
+from sheafline.sources.tables import Tables
 
 # Layer -> table of it, schema and suffix of a category's view.
 LAYERS = {

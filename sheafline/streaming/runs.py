@@ -8,7 +8,6 @@ gives an overwritten file again.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -17,26 +16,12 @@ from sheafline.functions.embedding import Embedder
 from sheafline.operators import chunks, documents, gold, ledger, sync, unify
 from sheafline.settings import Settings
 from sheafline.sources import files, landing, tables
+from sheafline.sources.tables import Tables
 
 
 SMALL_BATCH = documents.MAX_BROADCAST_ARRIVALS
 
 
-@dataclass(frozen=True)
-class Tables:
-    """Where the tables of one pipeline lie: below one folder all executors see."""
-
-    root: str
-
-    def __getattr__(self, name: str) -> str:
-        if name.startswith("_"):
-            raise AttributeError(name)
-        return f"{self.root.rstrip('/')}/{name}"
-
-    def checkpoint(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/checkpoints/{name}"
-
-
 def landing_root(spark: SparkSession, settings: Settings) -> str:
     return files.qualified(spark, settings.landing_root.rstrip("/")).rstrip("/") + "/"
 
