@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 
+def literal(path: str) -> str:
+    """The path for a reader that takes patterns, with nothing in it a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def _at(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p

@@ -46,4 +46,17 @@ def contents(
 def _scan(spark, root, categories) -> DataFrame:
     root = as_root(root)
     where = [root] if categories is None else [as_root(root + c) for c in categories]
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(where)
+    return _binary(spark, where)
+
+
+def loose_files(spark: SparkSession, root: str) -> DataFrame | None:
+    """Path, size and time of the files right at the root."""
+    found = files.files_at(spark, root)
+    if not found:
+        return None
+    return _binary(spark, found).select("path", "modificationTime", "length")
+
+
+def _binary(spark: SparkSession, where: list[str]) -> DataFrame:
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    return reader.load([files.literal(p) for p in where])

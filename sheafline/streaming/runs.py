@@ -18,7 +18,6 @@ from sheafline.settings import Settings
 from sheafline.sources import files, landing, tables
 from sheafline.sources.tables import Tables
 
-
 SMALL_BATCH = documents.MAX_BROADCAST_ARRIVALS
 
 
@@ -48,10 +47,9 @@ def _listings(spark: SparkSession, root: str, by_category: bool) -> Iterator[Dat
         return
     for category in landing.discover_categories(spark, root):
         yield landing.listing(spark, root, [category])
-    loose = files.files_at(spark, root)
-    if loose:
-        found = spark.read.format("binaryFile").load([p.replace(" ", "\\ ") for p in loose])
-        yield found.select("path", "modificationTime", "length")
+    loose = landing.loose_files(spark, root)
+    if loose is not None:
+        yield loose
 
 
 def run_bronze(spark: SparkSession, settings: Settings, at: Tables, files_per_batch: int | None = None) -> None:

@@ -96,13 +96,14 @@ def test_stream_gives_what_batch_gives(land):
 
 
 def test_ledger_by_category_is_the_same(land):
-    land.put("loose one.md", "x")
+    land.put("loose [one].md", "x")
+    land.put("odd {name}* ?/a.md", "x")
     runs.append_ledger(land.spark, land.settings, land.at)
     apart = Tables(os.path.join(land.top, "apart"))
     for _ in range(2):
         runs.append_ledger(land.spark, land.settings, apart, by_category=True)
     names_ = lambda at: sorted(tables.read(land.spark, at.ledger, tables.LEDGER).drop("ingested_at").collect())
-    assert names_(apart) == names_(land.at) and len(names_(apart)) == 5
+    assert names_(apart) == names_(land.at) and len(names_(apart)) == 6
 
 
 def test_a_file_added_between_batches_is_not_lost(land):
