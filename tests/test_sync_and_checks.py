@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from sheafline.operators import checks, report, sync
 
 KIND = "chunk_id string, a string, b string, at int"
