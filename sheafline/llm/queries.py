@@ -1,14 +1,16 @@
 """The registered queries of this package and the SQL of those that SQL can express."""
 
-from sheafline.llm import exact_dedup, packing, set_join
+from sheafline.llm import exact_dedup, packing, set_join, windows_dedup
 
 QUERIES = {
     "op4_jaccard_join": set_join.op4_jaccard_join,
+    "op6_repeated_passages": windows_dedup.op6_repeated_passages,
     "op9_packing": packing.op9_packing,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
 ORACLE = {
     "op4_jaccard_join": set_join.OP4_SQL,
+    "op6_repeated_passages": windows_dedup.OP6_SQL,
     "op10_exact_dedup": exact_dedup.OP10_SQL,
 }
