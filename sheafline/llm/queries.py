@@ -1,8 +1,9 @@
 """The registered queries of this package and the SQL of those that SQL can express."""
 
-from sheafline.llm import exact_dedup, packing, set_join, windows_dedup
+from sheafline.llm import decontamination, exact_dedup, packing, set_join, windows_dedup
 
 QUERIES = {
+    "op3_decontamination": decontamination.op3_decontamination,
     "op4_jaccard_join": set_join.op4_jaccard_join,
     "op6_repeated_passages": windows_dedup.op6_repeated_passages,
     "op9_packing": packing.op9_packing,
