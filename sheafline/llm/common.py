@@ -58,3 +58,11 @@ def drop_staged(spark: SparkSession, path: str) -> None:
 def remainder_of_id(doc_id, n: int):
     """crc32 of the id as text, mod n: the fixed split into training and held-out rows."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
+
+
+def about(df: DataFrame, most: int, key: str) -> DataFrame:
+    """All rows if there are at most `most`; else about as many, those with the least hashes of `key`."""
+    n = df.count()
+    if n <= most:
+        return df
+    return df.filter(F.pmod(F.xxhash64(key), F.lit(1_000_003)) < F.lit(int(most / n * 1_000_003)))

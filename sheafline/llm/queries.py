@@ -1,11 +1,13 @@
 """The registered queries of this package and the SQL of those that SQL can express."""
 
-from sheafline.llm import decontamination, exact_dedup, packing, set_join, windows_dedup
+from sheafline.llm import decontamination, exact_dedup, packing, quality, set_join, toxicity, windows_dedup
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op3_decontamination": decontamination.op3_decontamination,
     "op4_jaccard_join": set_join.op4_jaccard_join,
     "op6_repeated_passages": windows_dedup.op6_repeated_passages,
+    "op8_quality": quality.op8_quality,
     "op9_packing": packing.op9_packing,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }

@@ -43,12 +43,16 @@ EDGE, OTHER, LETTERS = 26, 27, 28
 ORDER = 4
 GRAMS = LETTERS**ORDER
 
-#: Hashed features; beginnings of words of these lengths.
-FEATURES = 1 << 20
+#: Beginnings of words of these lengths are features.
 BEGINNINGS = (4, 5, 6)
-#: Features that may get a weight, and labelled documents of each label that these are fitted on.
-CANDIDATES = 2000
+#: Features are counted in so many buckets of their hashes first, and by themselves in the best of these.
+BUCKETS = 1 << 18
+GOOD_BUCKETS = 4096
+#: Features that may get a weight, and documents of each label, about, that the weights are fitted on.
+CANDIDATES = 400
 SAMPLE = 20_000
+#: Labelled documents, about, that are learned from at most; chosen by hash of the identifier.
+LABELLED = 400_000
 
 PART = re.compile(r"\S+")
 STRIP = "\"'.,;:?()[]{}<>-_/\\"
@@ -188,8 +192,8 @@ _EDGES[[ord(c) for c in STRIP + "!*&%#$|"]] = True
 
 
 def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(row, feature) of the distinct features of restored texts, sorted: words without marks around them, and
-    beginnings of words (in bytes that are characters, so an accent doesn't cut one)."""
+    """(row, feature) of the distinct features of restored texts, by row: words without marks around them,
+    beginnings of words (of whole characters), and either of these that the text has twice or three times."""
     column = pa.array([t.replace("\x00", " ") for t in texts], pa.large_string())
     words = Words(column)
     start, end = words.start.copy(), words.end.copy()
@@ -208,10 +212,19 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         words.start, words.end = start[longer], at[place[start[longer]] + n]
         rows.append(words.row[longer])
         found.append(mix(words.hashes(1) + np.uint64(n)))
-    key = np.concatenate(rows).astype(np.int64) * FEATURES
-    key += (np.concatenate(found) % np.uint64(FEATURES)).astype(np.int64)
-    key = np.unique(key)
-    return key // FEATURES, key % FEATURES
+    row, found = np.concatenate(rows), np.concatenate(found)
+    order = np.lexsort((found, row))
+    row, found = row[order], found[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (found[1:] != found[:-1])
+    times = np.diff(np.append(np.flatnonzero(new), len(row)))
+    row, found = row[new], found[new]
+    # A word that a text has by chance it seldom has again: two and three times are features of their own.
+    parts = [(row, found)]
+    parts += [(row[times >= n], mix(found[times >= n] + np.uint64(n))) for n in (2, 3)]
+    row, found = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(row, kind="stable")
+    return row[order], found[order]
 
 
 def model_of(docs: DataFrame) -> LanguageModel:
@@ -268,63 +281,88 @@ def logistic(x: np.ndarray, y: np.ndarray, steps: int = 300, l1: float = 2e-3) -
 
 
 def fit(labelled: DataFrame, model, candidates: int = CANDIDATES, sample: int = SAMPLE) -> Classifier:
-    """`labelled` has text and label (0, 1). Features are counted over all of it; weights are fitted on at most
-    `sample` documents of each label, those with the least hash of their text."""
-    spark = labelled.sparkSession
+    """`labelled` has text and label (0, 1). All of it is counted: first by bucket of the features' hashes, then
+    the features of the buckets that tell the labels apart best. Weights are fitted on at most `sample` documents
+    of each label."""
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def labelled_features(b: pa.RecordBatch, restore: Restorer):
+        row, found = features([restore(t or "") for t in b.column(0).to_pylist()])
+        return row, found, np.array(b.column(1).to_pylist(), np.int64)
+
+    def count_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restore = Restorer(model.value)
-        counts = np.zeros((2, FEATURES), np.int64)
+        counts = np.zeros((2, BUCKETS), np.int64)
         docs = np.zeros(2, np.int64)
         for b in batches:
-            label = np.array(b.column(1).to_pylist(), np.int64)
-            row, found = features([restore(t or "") for t in b.column(0).to_pylist()])
+            row, found, label = labelled_features(b, restore)
+            bucket = (found % np.uint64(BUCKETS)).astype(np.int64)
             for k in (0, 1):
-                counts[k] += np.bincount(found[label[row] == k], minlength=FEATURES)
+                counts[k] += np.bincount(bucket[label[row] == k], minlength=BUCKETS)
                 docs[k] += int((label == k).sum())
-        used = np.flatnonzero(counts[1])
+        used = np.flatnonzero(counts.any(axis=0))
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(used, -1)), *(pa.array(np.append(counts[k][used], docs[k])) for k in (0, 1))],
             names=["feature", "n0", "n1"],
         )
 
+    rows = labelled.select("text", "label")
     kind = "feature long, n0 long, n1 long"
-    # A task leaves out features that it met with label 0 alone, so these are counted again, below, for the best.
-    made = labelled.select("text", "label").mapInArrow(count, kind).groupBy("feature").agg(
-        F.sum("n0").alias("n0"), F.sum("n1").alias("n1")
-    )
-    total = made.filter("feature = -1").first()
-    if total is None or not total.n0 or not total.n1:
-        return Classifier(np.zeros(0, np.int64), np.zeros(0), 0.0)
-    least = max(2, total.n1 // 1000)
-    gain = F.col("n1") / total.n1 - F.col("n0") / total.n0
-    best = made.filter((F.col("feature") >= 0) & (F.col("n1") >= least)).withColumn("gain", gain).filter("gain > 0")
-    best = best.withColumn("lift", F.col("gain") / F.sqrt(F.col("n1") / total.n1 + F.col("n0") / total.n0))
-    chosen = np.array([r.feature for r in best.orderBy(F.desc("lift"), "feature").limit(candidates).collect()], np.int64)
-    chosen.sort()
+    sums = [F.sum("n0").alias("n0"), F.sum("n1").alias("n1")]
+    # At most BUCKETS rows and one.
+    made = rows.mapInArrow(count_buckets, kind).groupBy("feature").agg(*sums).toArrow()
+    bucket, n0, n1 = (made.column(c).to_numpy() for c in ("feature", "n0", "n1"))
+    all0, all1 = int(n0[bucket == -1].sum()), int(n1[bucket == -1].sum())
+    none = Classifier(np.zeros(0, np.uint64), np.zeros(0), 0.0)
+    if not all0 or not all1:
+        return none
+
+    def lift(n0, n1):
+        """How far apart a feature's shares are, in standard errors of an even split."""
+        a, b = n1 / all1, n0 / all0
+        return (a - b) / np.sqrt(a + b + 1e-12)
+
+    least = max(2, all1 // 1000)
+    told = lift(n0, n1) * ((bucket >= 0) & (n1 >= least))
+    good = np.sort(bucket[np.argsort(-told, kind="stable")[:GOOD_BUCKETS]])
+
+    def count_features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restore = Restorer(model.value)
+        for b in batches:
+            row, found, label = labelled_features(b, restore)
+            hit = np.isin((found % np.uint64(BUCKETS)).astype(np.int64), good)
+            key, place = np.unique(found[hit], return_inverse=True)
+            own = label[row[hit]]
+            part = [np.bincount(place[own == k], minlength=len(key)) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key.view(np.int64)), *(pa.array(x.astype(np.int64)) for x in part)],
+                names=["feature", "n0", "n1"],
+            )
+
+    each = rows.mapInArrow(count_features, kind).groupBy("feature").agg(*sums).filter(F.col("n1") >= least)
+    a, z = F.col("n1") / all1, F.col("n0") / all0
+    each = each.withColumn("lift", (a - z) / F.sqrt(a + z)).filter("lift > 0")
+    best = each.orderBy(F.desc("lift"), "feature").limit(candidates).collect()
+    chosen = np.sort(np.array([r.feature for r in best], np.int64).view(np.uint64))
     if not len(chosen):
-        return Classifier(chosen, np.zeros(0), 0.0)
-    known = spark.sparkContext.broadcast(chosen)
+        return none
 
     def pick(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restore = Restorer(model.value)
         for b in batches:
-            row, found = features([restore(t or "") for t in b.column(0).to_pylist()])
-            at = np.minimum(np.searchsorted(known.value, found), len(known.value) - 1)
-            hit = known.value[at] == found
+            row, found, label = labelled_features(b, restore)
+            at = np.minimum(np.searchsorted(chosen, found), len(chosen) - 1)
+            hit = chosen[at] == found
             bounds = np.searchsorted(row[hit], np.arange(b.num_rows + 1)).astype(np.int32)
             own = pa.ListArray.from_arrays(pa.array(bounds), pa.array(at[hit], pa.int64()))
-            yield pa.RecordBatch.from_arrays([own, b.column(1)], names=["own", "label"])
-
-    taken = None
-    for k in (0, 1):
-        part = labelled.filter(F.col("label") == k).orderBy(F.xxhash64("text")).limit(sample)
-        taken = part if taken is None else taken.unionByName(part)
-    rows = taken.select("text", "label").mapInArrow(pick, "own array<long>, label int").toArrow()
-    own, y = rows.column("own").to_pylist(), rows.column("label").to_numpy()
-    x = np.zeros((len(own), len(chosen)), np.float32)
-    for i, f in enumerate(own):
-        x[i, f] = 1
+            yield pa.RecordBatch.from_arrays([own, pa.array(label, pa.int64())], names=["own", "label"])
+
+    share = F.when(F.col("label") == 1, min(1.0, sample / all1)).otherwise(min(1.0, sample / all0))
+    taken = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < share * 1_000_003)
+    taken = taken.mapInArrow(pick, "own array<long>, label long").toArrow()
+    y = taken.column("label").to_numpy()
+    x = np.zeros((len(y), len(chosen)), np.float32)
+    for i, f in enumerate(taken.column("own")):
+        x[i, f.as_py()] = 1
     w, b = logistic(x, y.astype(np.float32))
     return Classifier(chosen[w > 0], w[w > 0].astype(np.float64), b)
 
@@ -347,10 +385,12 @@ def score(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
 
 
 def learning_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, label) of the documents with a label, less the held-out ones: crc32 of the id mod 4 is 2."""
+    """(text, label) of the documents with a label, less the held-out ones: crc32 of the id mod 4 is 2.
+
+    At most about LABELLED labels are used, so they go to the tasks and no text is shuffled."""
     known = labels.filter(common.remainder_of_id(F.col("doc_id"), 4) != 2).filter("toxic in (0, 1)")
-    known = known.select("doc_id", F.col("toxic").cast("int").alias("label"))
-    return docs.select("doc_id", "text").join(known, "doc_id").select("text", "label")
+    known = common.about(known, LABELLED, "doc_id").select("doc_id", F.col("toxic").cast("int").alias("label"))
+    return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "label")
 
 
 #: Documents with this score or a higher one are toxic.
