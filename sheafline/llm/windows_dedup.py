@@ -166,7 +166,7 @@ def travel(rows: DataFrame, size: int, buckets: int) -> DataFrame:
 FOUND = "window binary, doc long, mark long, start long, windows long"
 
 
-def settle(travelled: DataFrame, size: int) -> DataFrame:
+def settle(travelled: DataFrame, size: int, part_bytes: int = PART_BYTES) -> DataFrame:
     """Repeats (without `window`); and each window of a bucket that was too large for one part."""
     kind = pa.schema([(c.split()[0], pa.binary() if "binary" in c else pa.int64()) for c in FOUND.split(", ")])
 
@@ -223,7 +223,7 @@ def settle(travelled: DataFrame, size: int) -> DataFrame:
             for name, packed in zip(b.column(0).to_pylist(), b.column(2), strict=True):
                 if not packed.is_valid:
                     continue
-                if name != bucket or held >= PART_BYTES:
+                if name != bucket or held >= part_bytes:
                     if bodies:
                         yield from finish(bodies, whole=name != bucket and not parts)
                     parts = parts + 1 if name == bucket else 0
@@ -236,7 +236,9 @@ def settle(travelled: DataFrame, size: int) -> DataFrame:
     return travelled.mapInArrow(task, FOUND)
 
 
-def repeated_windows(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+def repeated_windows(
+    docs: DataFrame, size: int, id_col: str, text_col: str, part_bytes: int = PART_BYTES
+) -> DataFrame:
     """(doc, mark, repeats): for each text with repeated windows, their starts as (start, windows), staged."""
     spark = docs.sparkSession
     common.small_batches(spark, 512)
@@ -244,7 +246,7 @@ def repeated_windows(docs: DataFrame, size: int, id_col: str, text_col: str) ->
     total = rows.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
     moved = travel(rows, size, buckets).repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    found = common.stage(settle(moved, size), "windows")
+    found = common.stage(settle(moved, size, part_bytes), "windows")
 
     here = found.filter("window is null").drop("window")
     open_ = found.filter("window is not null")
@@ -259,10 +261,15 @@ KEPT = "doc_id long, n_words long, n_removed long, kept string"
 
 
 def without_repeats(
-    docs: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text", sha256: bool = False
+    docs: DataFrame,
+    size: int = SIZE,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    sha256: bool = False,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """For each row: doc_id, n_words, n_removed, and the words kept, joined by a blank (or sha-256 of that)."""
-    marked = repeated_windows(docs, size, id_col, text_col)
+    marked = repeated_windows(docs, size, id_col, text_col, part_bytes)
 
     def marks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
