@@ -49,10 +49,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_staged(spark: SparkSession, path: str) -> None:
-    """Delete a staged folder by Spark's own file system for it."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def unstage(df: DataFrame) -> None:
+    """Delete a staged table that nothing reads any more, by Spark's own file system for it."""
+    spark = df.sparkSession
+    folders = {f.rpartition("/")[0] for f in df.inputFiles()}
+    for folder in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def remainder_of_id(doc_id, n: int):

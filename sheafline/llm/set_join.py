@@ -7,14 +7,15 @@ for each set the position of the shingle in it.
 
 * Shingles of a single set can't link anything. They stay out of the index, but count as
   positions; a set with too many of them is out altogether.
-* Each block has a pivot, the set that starts with the fewest such shingles. The answers of
-  the pivot to all sets of its blocks are computed: overlap, and what the other set lacks
-  and has besides.
+* Each block has a pivot, the set that stands in most lists. The answers of the pivot to all
+  sets of its blocks (its star) are computed: overlap, and what the other set lacks and has
+  besides.
 * Answers of the other sets are derived from those. A set linked to the pivot is in its
-  class, so pairs within a class are skipped, and so are blocks of one class. Of the
-  remaining pairs, block by block, those are skipped whose sizes, positions or answers to
-  the pivot rule a link out; the overlap of the rest follows from the two differences
-  to the pivot, without looking at the sets again.
+  class, so pairs within a class are skipped, and so are blocks of one class. Sets that have
+  something in common which the pivot lacks are tried next, each with the best of them.
+  Of the remaining pairs of a star those are skipped whose sizes, positions or answers to the
+  pivot rule a link out. All overlaps follow from the two differences to the pivot,
+  without looking at the sets again.
 
 The order: shingles of a fixed quarter of the hash space first, by the number of sets that
 have them, then all others by hash. Only that quarter is ever counted.
@@ -141,12 +142,15 @@ def blocks(entries: DataFrame) -> DataFrame:
     return entries.withColumn("block", F.explode(F.array(level, level - 1)))
 
 
-def with_pivots(placed: DataFrame) -> DataFrame:
-    """Blocks of two or more sets, each row with the block's pivot and its size."""
-    best = F.min(F.struct(F.col("position") / F.col("n"), "n", "set")).alias("best")
+def with_pivots(entries: DataFrame) -> DataFrame:
+    """Blocks of two or more sets, each row with the block's pivot: the set that stands in most lists, so that
+    few sets are pivots of many blocks."""
+    lists = entries.groupBy("set").agg(F.count(F.lit(1)).alias("lists"))
+    placed = blocks(entries.join(lists, "set"))
+    best = F.min(F.struct(-F.col("lists"), "n", "set")).alias("best")
     pivots = placed.groupBy("shingle", "block").agg(best, F.count(F.lit(1)).alias("sets")).filter("sets > 1")
-    pivots = pivots.select("shingle", "block", F.col("best.set").alias("pivot"), F.col("best.n").alias("pivot_n"))
-    return placed.join(pivots, ["shingle", "block"])
+    pivots = pivots.select("shingle", "block", F.col("best.set").alias("pivot"))
+    return placed.drop("lists").join(pivots, ["shingle", "block"])
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
@@ -165,7 +169,9 @@ def texts_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, siz
     found = rows.join(wanted.select("doc_id", F.col("set").alias("want")), "doc_id").select("want", "text")
     made = found.mapInArrow(task, "want long, set long, shingles array<long>")
     # Rows that repeat an identifier may bring other sets, or the same one again.
-    return made.filter("want = set").dropDuplicates(["set"]).select("set", "shingles")
+    made = common.stage(made.filter("want = set").select("set", "shingles"), "shingles")
+    repeated = made.groupBy("set").count().filter("count > 1")
+    return made if repeated.isEmpty() else common.stage(made.dropDuplicates(["set"]), "shingles")
 
 
 ANSWERS = "pivot long, set long, pivot_n long, n long, overlap long, lacks array<long>, adds array<long>"
@@ -235,31 +241,60 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def derived_pairs(index: DataFrame, found: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (pivot, a, b) of sets of one block whose link is still open after all that can be skipped."""
+def open_stars(index: DataFrame, found: DataFrame, classes: DataFrame) -> DataFrame:
+    """(pivot, set, n, root, first, overlap, adds) of the sets, other than pivots, of blocks of several classes;
+    first is the least position at which the set stands in such a block. Staged."""
     label = classes.select(F.col("node").alias("set"), "root")
     rows = index.join(label, "set", "left").withColumn("root", F.coalesce("root", "set"))
     several = rows.groupBy("shingle", "block").agg(F.min("root").alias("x"), F.max("root").alias("y"))
     several = several.filter("x <> y").select("shingle", "block")
     rows = rows.join(several, ["shingle", "block"], "left_semi").filter("set <> pivot")
-    rows = rows.join(found.select("pivot", "set", "overlap"), ["pivot", "set"])
-    names = ["set", "n", "position", "root", "overlap"]
-    a = rows.select("shingle", "block", "pivot", *[F.col(c).alias(f"a_{c}") for c in names])
-    b = rows.select("shingle", "block", *[F.col(c).alias(f"b_{c}") for c in names])
+    rows = rows.groupBy("pivot", "set", "n", "root").agg(F.min("position").alias("first"))
+    return common.stage(rows.join(found.select("pivot", "set", "overlap", "adds"), ["pivot", "set"]), "open")
+
+
+def additions(stars: DataFrame) -> DataFrame:
+    """What sets of a star have besides the pivot, where another of its sets has that too: pivot, shingle, set, root,
+    and of those sets the one with the most of the pivot (best)."""
+    each = stars.select("pivot", "set", "root", "overlap", F.explode("adds").alias("shingle"))
+    best = F.min(F.struct(-F.col("overlap"), "set", "root")).alias("best")
+    again = each.groupBy("pivot", "shingle").agg(best, F.count(F.lit(1)).alias("sets")).filter("sets > 1")
+    return each.join(again.drop("sets"), ["pivot", "shingle"]).select("pivot", "shingle", "set", "root", "best")
+
+
+def pairs_by_additions(shared: DataFrame) -> DataFrame:
+    """Pairs (pivot, a, b) of a set and the best of those that share something the pivot lacks: a link to that one,
+    found from the differences to the pivot, makes all other links of the set to its class needless."""
+    pairs = shared.filter((F.col("set") != F.col("best.set")) & (F.col("root") != F.col("best.root")))
+    return pairs.select("pivot", F.col("set").alias("a"), F.col("best.set").alias("b")).distinct()
+
+
+def derived_pairs(stars: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """Pairs (pivot, a, b) of sets of one star whose link is still open after all that can be skipped.
+
+    Two sets of a star share at most the lesser overlap with the pivot and the lesser of what they have besides
+    it in common with any other (`more`). So a set shares at most its `reach` with any, and a link needs
+    a `reach` that suffices, for a partner of equal size, of the smaller one: only such sets
+    look for partners, and only among larger ones.
+    """
+    more = shared.groupBy("pivot", "set").agg(F.count(F.lit(1)).alias("more"))
+    rows = stars.drop("adds").join(more, ["pivot", "set"], "left").withColumn("more", F.coalesce("more", F.lit(0)))
+    both, reach = 100 + percent, F.least(F.col("overlap") + F.col("more"), F.col("n") - F.col("first"))
+    rows = common.stage(rows.withColumn("reach", reach).filter(100 * reach >= percent * F.col("n")), "reach")
+    names = ["set", "n", "root", "overlap", "more", "reach"]
+    strong = rows.filter(both * F.col("reach") >= 2 * percent * F.col("n"))
+    a = strong.select("pivot", *[F.col(c).alias(f"a_{c}") for c in names])
+    b = rows.select("pivot", *[F.col(c).alias(f"b_{c}") for c in names])
     c = F.col
-    both = 100 + percent
     need = percent * (c("a_n") + c("b_n"))
     open_ = (
-        (c("a_set") < c("b_set"))
+        ((c("a_n") < c("b_n")) | ((c("a_n") == c("b_n")) & (c("a_set") < c("b_set"))))
         & (c("a_root") != c("b_root"))
-        & (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
-        & (both * F.least(c("a_n") - c("a_position"), c("b_n") - c("b_position")) >= need)
-        & (
-            both * (F.least("a_overlap", "b_overlap") + F.least(c("a_n") - c("a_overlap"), c("b_n") - c("b_overlap")))
-            >= need
-        )
+        & (100 * c("a_n") >= percent * c("b_n"))
+        & (both * F.least("a_reach", "b_reach") >= need)
+        & (both * (F.least("a_overlap", "b_overlap") + F.least("a_more", "b_more")) >= need)
     )
-    pairs = a.join(b, ["shingle", "block"]).filter(open_)
+    pairs = a.join(b, ["pivot"]).filter(open_)
     return pairs.groupBy(c("a_set").alias("a"), c("b_set").alias("b")).agg(F.min("pivot").alias("pivot"))
 
 
@@ -287,22 +322,33 @@ def classes_of(
 ) -> DataFrame:
     """A row for each row of `docs`: doc_id, n_shingles, component_id (smallest doc_id reached by links)."""
     common.small_batches(docs.sparkSession)
-    sets = common.stage(sets_of(docs, id_col, text_col, size, percent), "sets")
+    whole = common.stage(sets_of(docs, id_col, text_col, size, percent), "sets")
+    entries = common.stage(index_entries(whole, percent), "entries")
+    sets = common.stage(whole.select("doc_id", "n", "set"), "sets")
+    common.unstage(whole)
     names = sets.filter("n > 0").groupBy("set").agg(F.min("doc_id").alias("doc_id"))
 
-    entries = common.stage(index_entries(sets, percent), "entries")
-    index = common.stage(with_pivots(blocks(entries)), "index")
+    index = common.stage(with_pivots(entries), "index")
     pairs = common.stage(index.filter("pivot <> set").select("pivot", "set").distinct(), "pairs")
     nodes = pairs.select("set").union(pairs.select(F.col("pivot").alias("set"))).distinct()
-    shingles = common.stage(texts_of(docs, names.join(nodes, "set"), id_col, text_col, size), "shingles")
+    shingles = texts_of(docs, names.join(nodes, "set"), id_col, text_col, size)
     found = common.stage(answers(pairs, shingles), "answers")
+    common.unstage(shingles)
 
     links = found.filter(linked(F.col("overlap"), F.col("pivot_n"), F.col("n"), percent))
     links = links.select(F.col("pivot").alias("a"), F.col("set").alias("b"))
     classes = components(links)
-    more = common.stage(derived_links(derived_pairs(index, found, classes, percent), found, percent), "links")
-    if not more.isEmpty():
-        classes = components(links.unionByName(more))
+    stars = open_stars(index, found, classes)
+    near = derived_links(pairs_by_additions(common.stage(additions(stars), "additions")), found, percent)
+    near = common.stage(near, "links")
+    if not near.isEmpty():
+        links = links.unionByName(near)
+        classes = components(links)
+        stars = open_stars(index, found, classes)
+    rest = derived_pairs(stars, common.stage(additions(stars), "additions"), percent)
+    rest = common.stage(derived_links(rest, found, percent), "links")
+    if not rest.isEmpty():
+        classes = components(links.unionByName(rest))
     classes = common.stage(classes, "classes").withColumnRenamed("node", "set")
 
     named = names.join(classes, "set", "left").withColumn("root", F.coalesce("root", "set"))
