@@ -69,3 +69,16 @@ def about(df: DataFrame, most: int, key: str) -> DataFrame:
     if n <= most:
         return df
     return df.filter(F.pmod(F.xxhash64(key), F.lit(1_000_003)) < F.lit(int(most / n * 1_000_003)))
+
+
+def marked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text, mark): mark is a hash of the text, by which rows that repeat an identifier are told apart."""
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("mark"))
+
+
+def without(docs: DataFrame, gone: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, with their own columns, whose (doc_id, mark) isn't in `gone`."""
+    gone = stage(gone.select(F.col("doc_id").alias("__doc_id"), F.col("mark").alias("__mark")).distinct(), name)
+    same = docs[id_col].cast("long").eqNullSafe(gone["__doc_id"])
+    return docs.join(gone, same & (F.xxhash64(docs[text_col].cast("string")) == gone["__mark"]), "left_anti")

@@ -40,7 +40,7 @@ BLOCK_ITEMS = 10_000
 BLOCK_WORDS = 1_000_000
 
 WORD = re.compile(r"[^\W_]+")
-FOUND = "doc_id long, item_id long, score double, start long, end long"
+FOUND = "doc_id long, mark long, item_id long, score double, start long, end long"
 
 
 def word_ids(text: str | None) -> np.ndarray:
@@ -171,7 +171,9 @@ def align(docs: DataFrame, items: Items, threshold: float) -> DataFrame:
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for row, text in zip(
+                zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True), b.column(1).to_pylist(), strict=True
+            ):
                 ids = word_ids(text)
                 at, found = items.hits(ids)
                 if not len(at):
@@ -188,9 +190,9 @@ def align(docs: DataFrame, items: Items, threshold: float) -> DataFrame:
                         best = max(best, (score, -a, a + end))
                     score = best[0] / (MATCH * len(words))
                     if score >= threshold:
-                        out.append((doc_id, items.ids[k], score, -best[1], best[2]))
+                        out.append((*row, items.ids[k], score, -best[1], best[2]))
             if out:
-                kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
                 part = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(part, names=[c.split()[0] for c in FOUND.split(", ")])
 
@@ -223,11 +225,11 @@ def contaminated(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """(doc_id, item_id, score, start, end) of every text and item that align well enough; the last two are the
-    words of the text between which the item lies."""
+    """(doc_id, mark, item_id, score, start, end) of every text and item that align well enough; mark is a hash of the text, and the
+    last two are the words of the text between which the item lies."""
     spark = docs.sparkSession
     common.small_batches(spark)
-    rows = docs.selectExpr(f"cast(`{id_col}` as bigint) doc_id", f"cast(`{text_col}` as string) text")
+    rows = common.marked(docs, id_col, text_col)
     out = None
     for block in item_blocks(items, item_id_col, item_text_col):
         known = Items(block, seed)
@@ -237,13 +239,14 @@ def contaminated(
     return out if out is not None else spark.createDataFrame([], FOUND)
 
 
-def without_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of `docs` whose identifier is not that of a contaminated text; rows without one stay."""
-    gone = contaminated(docs, items, id_col=id_col, **options).select("doc_id").distinct()
-    gone = common.stage(gone, "contaminated").withColumnRenamed("doc_id", id_col)
-    return docs.join(gone, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+def without_contaminated(
+    docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
+) -> DataFrame:
+    """The rows of `docs` that hold no copy of an item."""
+    gone = contaminated(docs, items, id_col=id_col, text_col=text_col, **options)
+    return common.without(docs, gone, "contaminated", id_col, text_col)
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a copy of a benchmark item, with the item and the alignment."""
-    return contaminated(common.documents(spark, sf_dir), common.read(spark, sf_dir, "benchmark"))
+    return contaminated(common.documents(spark, sf_dir), common.read(spark, sf_dir, "benchmark")).drop("mark")

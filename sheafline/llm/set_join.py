@@ -71,7 +71,7 @@ def slack(n, percent: int):
     return n - (n * percent + 99) // 100
 
 
-SETS = "doc_id long, n long, set long, counted array<long>, beyond array<long>"
+SETS = "doc_id long, mark long, n long, set long, counted array<long>, beyond array<long>"
 
 
 def sets_of(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
@@ -100,16 +100,16 @@ def sets_of(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column(0),
+                    b.column(2),
                     pa.array(n, pa.int64()),
                     pa.array(key, pa.int64()),
                     lists(join(low), np.array(low_n), pa.int64()),
                     lists(join(more), np.array(more_n), pa.int64()),
                 ],
-                names=["doc_id", "n", "set", "counted", "beyond"],
+                names=["doc_id", "mark", "n", "set", "counted", "beyond"],
             )
 
-    rows = docs.selectExpr(f"cast(`{id_col}` as bigint) doc_id", f"cast(`{text_col}` as string) text")
-    return rows.mapInArrow(task, SETS)
+    return common.marked(docs, id_col, text_col).mapInArrow(task, SETS)
 
 
 def index_entries(sets: DataFrame, percent: int) -> DataFrame:
@@ -320,11 +320,12 @@ def derived_links(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame
 def classes_of(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, percent: int = PERCENT
 ) -> DataFrame:
-    """A row for each row of `docs`: doc_id, n_shingles, component_id (smallest doc_id reached by links)."""
+    """A row for each row of `docs`: doc_id, mark (hash of the text), n_shingles, component_id (smallest
+    doc_id reached by links)."""
     common.small_batches(docs.sparkSession)
     whole = common.stage(sets_of(docs, id_col, text_col, size, percent), "sets")
     entries = common.stage(index_entries(whole, percent), "entries")
-    sets = common.stage(whole.select("doc_id", "n", "set"), "sets")
+    sets = common.stage(whole.select("doc_id", "mark", "n", "set"), "sets")
     common.unstage(whole)
     names = sets.filter("n > 0").groupBy("set").agg(F.min("doc_id").alias("doc_id"))
 
@@ -354,9 +355,10 @@ def classes_of(
     named = names.join(classes, "set", "left").withColumn("root", F.coalesce("root", "set"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of_set = named.join(least, "root").select("set", "component_id")
-    rows = sets.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("set")).alias("set"))
+    rows = sets.select("doc_id", "mark", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("set")).alias("set"))
     return rows.join(of_set, "set", "left").select(
         "doc_id",
+        "mark",
         "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
     )
@@ -364,14 +366,13 @@ def classes_of(
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` less those whose class has a row with a smaller doc_id; rows without an id stay."""
-    gone = classes_of(docs, id_col, text_col).filter("component_id < doc_id").select("doc_id").distinct()
-    gone = common.stage(gone, "near-copies").withColumnRenamed("doc_id", id_col)
-    return docs.join(gone, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = classes_of(docs, id_col, text_col).filter("component_id < doc_id")
+    return common.without(docs, gone, "near-copies", id_col, text_col)
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents."""
-    return classes_of(common.documents(spark, sf_dir))
+    return classes_of(common.documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
 
 OP4_SQL = r"""

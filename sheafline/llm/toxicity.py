@@ -368,10 +368,10 @@ def fit(labelled: DataFrame, model, candidates: int = CANDIDATES, sample: int =
 
 
 def score(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, score) of every row of `docs`; `labelled` has text and label."""
+    """(doc_id, mark, score) of every row of `docs`, mark a hash of the text; `labelled` has text and label."""
     spark = docs.sparkSession
     common.small_batches(spark)
-    rows = docs.selectExpr(f"cast(`{id_col}` as bigint) doc_id", f"cast(`{text_col}` as string) text")
+    rows = common.marked(docs, id_col, text_col)
     model = spark.sparkContext.broadcast(model_of(rows))
     classifier = spark.sparkContext.broadcast(fit(labelled, model))
 
@@ -379,9 +379,9 @@ def score(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
         restore = Restorer(model.value)
         for b in batches:
             found = classifier.value.scores([restore(t or "") for t in b.column(1).to_pylist()])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found)], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(found)], names=["doc_id", "mark", "score"])
 
-    return rows.mapInArrow(task, "doc_id long, score double")
+    return rows.mapInArrow(task, "doc_id long, mark long, score double")
 
 
 def learning_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -398,10 +398,9 @@ REJECT = 0.3
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of `docs` with a score below REJECT; rows without an identifier stay."""
-    gone = score(docs, learning_rows(docs, labels)).filter(F.col("score") >= REJECT).select("doc_id").distinct()
-    gone = common.stage(gone, "toxic")
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of `docs` with a score below REJECT."""
+    gone = score(docs, learning_rows(docs, labels)).filter(F.col("score") >= REJECT)
+    return common.without(docs, gone, "toxic")
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,11 +35,11 @@ from sheafline.llm import common
 from sheafline.llm.words import Words, rolling, within_row
 
 SIZE = 20
-MINIMISER = 4
+MINIMISER = 3
 #: Bytes of text for which there is a bucket.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 #: Bytes of strings that a task has in memory at once.
-PART_BYTES = 48 << 20
+PART_BYTES = 32 << 20
 
 NULL_ID = -(1 << 63)
 
@@ -75,17 +75,16 @@ def later_ones(h0: np.ndarray, h1: np.ndarray, doc: np.ndarray, start: np.ndarra
     return later
 
 
-def runs_of(mask_or_key: np.ndarray, position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def runs_of(key: np.ndarray, position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bounds of the runs of consecutive positions with equal keys."""
     if not len(position):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    cut = np.flatnonzero((np.diff(position) != 1) | (mask_or_key[1:] != mask_or_key[:-1])) + 1
+    cut = np.flatnonzero((np.diff(position) != 1) | (key[1:] != key[:-1])) + 1
     begin = np.concatenate([[0], cut])
     return begin, np.concatenate([cut, [len(position)]])
 
 
 #: A super-k-mer in a packed row: identifier, mark of the text, first window's start, bytes of the string.
-HEAD = struct.Struct("<qqqi")
 HEAD_TYPE = np.dtype([("doc", "<i8"), ("mark", "<i8"), ("start", "<i8"), ("bytes", "<i4")])
 
 TRAVEL = "bucket long, raw long, packed binary, doc long, mark long, start long, windows long"
@@ -102,7 +101,7 @@ def travel(rows: DataFrame, size: int, buckets: int) -> DataFrame:
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        squeeze = zstandard.ZstdCompressor(level=1).compress
+        squeeze = zstandard.ZstdCompressor(level=3).compress
         kind = pa.schema([(c.split()[0], pa.binary() if "binary" in c else pa.int64()) for c in TRAVEL.split(", ")])
         for b in batches:
             words = Words(b.column(1))
@@ -121,11 +120,10 @@ def travel(rows: DataFrame, size: int, buckets: int) -> DataFrame:
             known = np.flatnonzero(later)
             begin, end = runs_of(row[known], at[known])
             first = known[begin]
-            settled = [np.zeros(len(begin), np.int64)] * 2
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(len(begin)) % buckets, pa.int64()),
-                    pa.array(settled[0]),
+                    pa.array(np.zeros(len(begin), np.int64)),
                     pa.nulls(len(begin), pa.binary()),
                     pa.array(ids[row[first]]),
                     pa.array(marks[row[first]]),
@@ -179,27 +177,28 @@ def settle(travelled: DataFrame, size: int, part_bytes: int = PART_BYTES) -> Dat
         for body in bodies:
             (n,) = struct.unpack_from("<q", body)
             heads.append(np.frombuffer(body, HEAD_TYPE, n, 8))
-            at = 8 + n * HEAD_TYPE.itemsize
-            ends = at + np.cumsum(heads[-1]["bytes"], dtype=np.int64)
-            strings.append((body[at:], heads[-1]["bytes"]))
+            strings.append(body[8 + n * HEAD_TYPE.itemsize :])
         head = np.concatenate(heads)
         bounds = np.zeros(len(head) + 1, np.int64)
         np.cumsum(head["bytes"], dtype=np.int64, out=bounds[1:])
         column = pa.Array.from_buffers(
             pa.large_string(),
             len(head),
-            [None, pa.py_buffer(bounds), pa.py_buffer(b"".join(s for s, _ in strings))],
+            [None, pa.py_buffer(bounds), pa.py_buffer(b"".join(strings))],
         )
         words = Words(column)
         at, h0, h1 = occurrences(words, size)
         row = words.row[at]
-        return head["doc"][row], head["mark"][row], head["start"][row] + at - words.first[row], h0, h1
+        return at, row, head["doc"][row], head["mark"][row], head["start"][row] + at - words.first[row], h0, h1
 
     def finish(bodies: list[bytes], whole: bool) -> Iterator[pa.RecordBatch]:
-        doc, mark, start, h0, h1 = part_of(bodies)
+        at, row, doc, mark, start, h0, h1 = part_of(bodies)
         later = later_ones(h0, h1, doc, start)
         if later.any():
-            yield repeats(doc[later], mark[later], start[later], np.ones(int(later.sum()), np.int64))
+            known = np.flatnonzero(later)
+            begin, end = runs_of(row[known], at[known])
+            first = known[begin]
+            yield repeats(doc[first], mark[first], start[first], end - begin)
         if whole:
             return
         keys = np.stack([h0[~later], h1[~later]], 1)
@@ -241,7 +240,7 @@ def repeated_windows(
 ) -> DataFrame:
     """(doc, mark, repeats): for each text with repeated windows, their starts as (start, windows), staged."""
     spark = docs.sparkSession
-    common.small_batches(spark, 512)
+    common.small_batches(spark, 1024)
     rows = docs.selectExpr(f"cast(`{id_col}` as bigint) doc_id", f"cast(`{text_col}` as string) text")
     total = rows.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
