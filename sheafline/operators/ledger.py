@@ -28,8 +28,7 @@ def file_ledger(listing: DataFrame, ingested_at: Column | None = None) -> DataFr
 def ledger_increment(found: DataFrame, ledger: DataFrame) -> DataFrame:
     """Arrivals that the ledger does not hold yet. An overwritten file differs in
     time or size and so counts as a new arrival; running twice adds nothing."""
-    known = ledger.select(*ARRIVAL).distinct()
-    return found.join(known, ARRIVAL, "left_anti").select(*found.columns)
+    return found.join(ledger.select(*ARRIVAL), ARRIVAL, "left_anti").select(*found.columns)
 
 
 def document_versions(

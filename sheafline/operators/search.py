@@ -14,7 +14,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import DataFrame, Window, functions as F
 
 from sheafline import fixed_values as fv
@@ -54,7 +53,8 @@ class Scoring:
         else:
             squares = (queries**2).sum(1)[:, None] + (rows**2).sum(1)[None, :] - 2 * dots
             out = -np.sqrt(np.maximum(squares, 0))
-        return np.round(out, self.decimals)
+        # Products that are too large for a number rank last.
+        return np.round(np.where(np.isnan(out), -np.inf, out), self.decimals)
 
     def best(self, scores: np.ndarray, bar: float = -np.inf) -> np.ndarray:
         """Positions of the ``k`` best scores of at least ``bar``, best first and
@@ -75,9 +75,13 @@ class _Best:
 
     def __init__(self, queries: pa.Table, group_column: str | None, scoring: Scoring):
         self.scoring = scoring
-        self.query_ids = queries["query_id"].to_pylist()
-        self.vectors = _matrix(queries["embedding"])
-        self.allowed = _values(queries[group_column]) if group_column else None
+        vectors = _matrix(queries["embedding"])
+        usable = np.isfinite(vectors).all(axis=1)
+        if group_column:
+            usable &= _present(queries[group_column])
+        self.vectors = vectors[usable]
+        self.query_ids = [q for q, ok in zip(queries["query_id"].to_pylist(), usable) if ok]
+        self.allowed = _values(queries[group_column])[usable] if group_column else None
         self.found: list = [None] * len(self.query_ids)
         self.bars = np.full(len(self.query_ids), -np.inf)
 
@@ -88,12 +92,20 @@ class _Best:
             self._add(batch.slice(start, rows), id_column, group_column)
 
     def _add(self, batch: pa.RecordBatch, id_column: str, group_column: str | None):
-        ids = _values(batch[id_column])
+        vectors = _matrix(batch["embedding"])
+        # One bad vector leaves itself out, not the rows read with it.
+        usable = np.isfinite(vectors).all(axis=1)
+        if group_column:
+            usable &= _present(batch[group_column])
+        usable = np.flatnonzero(usable)
+        if not len(usable):
+            return
+        ids = _values(batch[id_column])[usable]
         by_id = np.argsort(ids, kind="stable")  # so that ties rank by id
-        ids = ids[by_id]
-        scores = self.scoring.scores(_matrix(batch["embedding"])[by_id], self.vectors)
+        ids, usable = ids[by_id], usable[by_id]
+        scores = self.scoring.scores(vectors[usable], self.vectors)
         if self.allowed is not None:
-            groups = _values(batch[group_column])[by_id]
+            groups = _values(batch[group_column])[usable]
             scores[self.allowed[:, None] != groups[None, :]] = -np.inf
         # Only queries with a row that is as good as their k-th best are looked at.
         for q in np.flatnonzero(scores.max(axis=1) >= self.bars):
@@ -123,6 +135,11 @@ def _values(column) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False) if isinstance(column, pa.Array) else column.to_numpy()
 
 
+def _present(column) -> np.ndarray:
+    """Which values are not NULL: as in SQL, NULL is in no group, its own neither."""
+    return column.is_valid().to_numpy(zero_copy_only=False) if isinstance(column, pa.Array) else column.is_valid().to_numpy()
+
+
 def _matrix(lists) -> np.ndarray:
     if isinstance(lists, pa.ChunkedArray):
         lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], lists.type)
@@ -142,9 +159,11 @@ def top_k(
     """The nearest corpus rows of every query: (query_id, rank, <id>, score).
 
     ``corpus`` holds the id and ``embedding``, ``queries`` hold query_id and
-    ``embedding`` of the same length; rows of another length or NULL are left
-    out. With ``group_column`` both hold that column too, and a query only sees
-    rows of its own group: the filter comes before the ranking.
+    ``embedding``. Query vectors of different lengths are an error. Corpus rows of
+    another length are left out, and on both sides so are vectors that are NULL or
+    hold a number that is NULL, NaN or infinite. With ``group_column`` both hold
+    that column too, and a query only sees rows of its own group, NULL being no
+    group: the filter comes before the ranking.
     """
     return _search(corpus, queries, scoring, id_column, group_column, max_queries, bucket_rows)[0]
 
@@ -156,11 +175,12 @@ def _search(
     """The hits, and whether the queries were few enough to be sent along."""
     extra = [group_column] if group_column else []
     queries = queries.select("query_id", "embedding", *extra).where("embedding IS NOT NULL")
-    fetched = queries.limit(max_queries + 1).toArrow()
-    sizes = pa.compute.list_value_length(fetched["embedding"]).unique().to_pylist()
-    if len(sizes) > 1:
+    length = F.size("embedding")
+    seen = queries.agg(F.min(length).alias("least"), F.max(length).alias("most"), F.count("*").alias("rows")).first()
+    if seen.least != seen.most:
         raise ValueError("query vectors differ in length")
-    dimension = sizes[0] if sizes else 0
+    dimension = seen.most or 0
+    few = seen.rows <= min(max_queries, MAX_QUERY_VALUES // max(dimension, 1))
     rows = corpus.select(id_column, "embedding", *extra).where(F.size("embedding") == dimension)
     # Every task gives k rows per query to the final ranking, so that there must
     # not be a task for every split of a very large corpus.
@@ -168,15 +188,15 @@ def _search(
     kinds, wanted = dict(corpus.dtypes), dict(queries.dtypes)
     hit = f"query_id {wanted['query_id']}, `{id_column}` {kinds[id_column]}, score double"
 
-    few = min(max_queries, MAX_QUERY_VALUES // max(dimension, 1))
-    if fetched.num_rows <= few:
-        candidates = _send_queries(rows, fetched, scoring, id_column, group_column, hit)
+    if few:
+        candidates = _send_queries(rows, queries.toArrow(), scoring, id_column, group_column, hit)
     else:
-        candidates = _grid(rows, queries, scoring, id_column, group_column, hit, few, bucket_rows)
+        block = max(1, min(max_queries, MAX_QUERY_VALUES // max(dimension, 1)))
+        candidates = _grid(rows, queries, scoring, id_column, group_column, hit, block, bucket_rows)
     place = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc(id_column))
     ranked = candidates.withColumn("rank", F.row_number().over(place))
     hits = ranked.where(F.col("rank") <= scoring.k).select("query_id", "rank", id_column, "score")
-    return hits, fetched.num_rows <= few
+    return hits, few
 
 
 def _hit_schema(queries: pa.Schema, rows: pa.Schema, id_column: str) -> pa.Schema:
@@ -232,7 +252,7 @@ def _grid(rows, queries, scoring, id_column, group_column, hit, block_queries, b
     cell = ["_bucket", "_block", "_side"]
     cells = (
         query_side.unionByName(corpus_side)
-        .repartition(blocks * buckets, "_bucket", "_block")
+        .repartition("_bucket", "_block")
         .sortWithinPartitions(*cell)
     )
 

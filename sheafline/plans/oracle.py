@@ -179,12 +179,11 @@ def _best(source, k, id_column="chunk_id", where="true"):
 
 
 STATUS = f"""{CHUNKS},
-german AS (SELECT k.* FROM keyed k JOIN documents d USING (doc_id) WHERE d.lang = 'de'),
 status AS (
   SELECT category, {SLUG} AS table_slug, coalesce(row_count, 0) AS row_count,
     CASE WHEN row_count > 0 THEN 'unified' ELSE 'skipped' END AS status
-  FROM (SELECT DISTINCT category FROM files)
-  LEFT JOIN (SELECT category, count(*) AS row_count FROM german GROUP BY 1) USING (category)
+  FROM (SELECT DISTINCT category FROM files UNION ALL SELECT 'Archive')
+  LEFT JOIN (SELECT category, count(*) AS row_count FROM keyed GROUP BY 1) USING (category)
 )"""
 
 ORACLE = {

@@ -261,16 +261,10 @@ def rows_per_category(spark, d) -> DataFrame:
 
 @query
 def unify_sources(spark, d) -> DataFrame:
-    """Gold holds only German documents here, so that some categories may be
-    empty; the list of categories comes from all files."""
+    """The categories of all files and one whose folder has no file, over all of gold."""
     categories = unify.category_list(v.arrivals_of_files(spark, d), v.ROOT)
-    return unify.source_status(categories, _german(spark, d))
-
-
-def _german(spark, d) -> DataFrame:
-    german = v.table(spark, d, "documents").where("lang = 'de'")
-    ids = german.select(F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("document_id"))
-    return v.keyed(spark, d).join(ids, "document_id", "left_semi")
+    empty = categories.limit(1).select(F.lit(v.EMPTY_CATEGORY).alias("category"))
+    return unify.source_status(categories.union(empty), v.keyed(spark, d))
 
 
 @query

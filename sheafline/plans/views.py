@@ -13,6 +13,7 @@ from sheafline.operators import chunks, documents, gold, ledger
 
 ROOT = "s3://lake/보험/"
 CATEGORIES = list(fv.CATEGORY_SLUGS)
+EMPTY_CATEGORY = "Archive"
 UNDERWRITING = ["단체언더라이팅", "개인언더라이팅", "언더_공통"]
 STRATEGY_FOLDERS = ["summaries", "raw_text", "contracts", "other"]
 AGENTS = [*fv.AGENT_PATHS, fv.DEFAULT_AGENT]

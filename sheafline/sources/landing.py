@@ -24,8 +24,8 @@ def listing(
 ) -> DataFrame:
     """Path, size and time of all files below the root. No file is opened: the
     content column is not part of the plan. Spark keeps the list of paths on the
-    driver, so a huge landing folder is listed some categories at a time, or from
-    the time of the last run on."""
+    driver, whatever the time asked for, so a huge landing folder is listed some
+    categories at a time."""
     return contents(spark, root, categories, modified_from).select("path", "modificationTime", "length")
 
 

@@ -3,6 +3,7 @@ the partitioned tables, and the shared ones."""
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Mapping
 
@@ -28,10 +29,10 @@ def publish(
     slugs: Mapping[str, str] = fv.CATEGORY_SLUGS,
 ) -> list[str]:
     """Create the views and return their names. A category's view is a pruned
-    read of its partition. Layers without data yet are left out, and so are
-    categories without an ASCII name, which Spark's catalog does not take; they
-    are read by ``category`` from the layer's table."""
+    read of its partition, its comment names the category. Layers without data yet
+    are left out. No two categories share a view: see ``view_slugs``."""
     made = []
+    named = view_slugs(categories, slugs)
     for schema in ("staging", "bronze", "silver", "gold"):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
     shared = {
@@ -48,21 +49,41 @@ def publish(
         if not files.exists(spark, path):
             continue
         for category in categories:
-            slug = slugs.get(category, category.lower())
-            if re.fullmatch(r"\w+", slug, re.ASCII):
-                name = f"{schema}.{slug}_{suffix}"
-                made.append(_view(spark, name, path, f"category {category}", category))
+            name = f"{schema}.{named[category]}_{suffix}"
+            made.append(_view(spark, name, path, f"category {category}", category))
     return made
 
 
+def view_slugs(categories: list[str], slugs: Mapping[str, str] = fv.CATEGORY_SLUGS) -> dict[str, str]:
+    """The name of each category's tables. A name that Spark's catalog does not take
+    is replaced by the start of its digest, and one that an earlier category has
+    already gets that added; so a category's name may depend on the others only
+    where both would have the same one."""
+    out: dict[str, str] = {}
+    for category in sorted(categories, key=lambda c: (c not in slugs, c)):
+        slug = slugs.get(category, category.lower())
+        digest = hashlib.sha256(category.encode()).hexdigest()[:12]
+        if not re.fullmatch(r"\w+", slug, re.ASCII):
+            slug = f"category_{digest}"
+        out[category] = slug if slug not in out.values() else f"{slug}_{digest}"
+    return out
+
+
 def _view(spark, name: str, path: str, comment: str, category: str | None = None) -> str:
-    hidden = {"category", "batch"}.intersection(spark.read.parquet(path).columns)
-    drop = f"EXCEPT ({', '.join(sorted(hidden))})" if hidden else ""
-    where = "" if category is None else f"WHERE category = {_text(category)}"
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {name} COMMENT {_text(comment)} AS "
-        f"SELECT * {drop} FROM parquet.`{path}` {where}"
-    )
+    """A category's view reads its own folders, so nothing depends on how Spark would
+    understand the folders' names: 007 and 7 are two categories. Where a category
+    has no rows yet the view is empty until it is published again."""
+    found = spark.read.parquet(path).schema.names
+    columns = ", ".join(f"`{c}`" for c in found if c not in ("category", "batch"))
+    rows = f"parquet.`{path}`"
+    if category is not None:
+        folder = "category=" + spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(category)
+        within = [f"{path}/{b}" for b in files.folders(spark, path)] if "batch" in found else [path]
+        if any(folder in files.folders(spark, w) for w in within):
+            rows = f"parquet.`{files.literal(path)}/{'batch=*/' if 'batch' in found else ''}{files.literal(folder)}`"
+        else:
+            rows += " WHERE false"
+    spark.sql(f"CREATE OR REPLACE VIEW {name} COMMENT {_text(comment)} AS SELECT {columns} FROM {rows}")
     return name
 
 

@@ -66,15 +66,14 @@ def run_bronze(spark: SparkSession, settings: Settings, at: Tables, files_per_ba
 
 
 def _bronze_batch(rows: DataFrame, number: int, root: str, at: Tables) -> None:
-    """One batch of arrivals. The files are listed anew each time, as a listing
-    made once would miss files that came later, and only those of the batch's
-    categories and no older than its oldest arrival are read. A batch owns its
-    folder, so that doing it again after a failure replaces it."""
+    """One batch of arrivals, paired with files by path: no time of a file, as it is
+    now or was, can lose an arrival. The files are listed anew each time, as a listing
+    made once would miss files that came later, in the batch's categories alone. A
+    batch owns its folder, so that doing it again after a failure replaces it."""
     arrivals = rows.withColumn("category", paths.category(F.col("source_file"), root))
     arrivals = arrivals.where(F.col("category").isNotNull())
     seen = arrivals.agg(
         F.count("*").alias("rows"),
-        F.min("file_modified_at").alias("oldest"),
         F.min("ingested_at").alias("first_run"),
         F.max("ingested_at").alias("last_run"),
         F.collect_set("category").alias("categories"),
@@ -86,11 +85,11 @@ def _bronze_batch(rows: DataFrame, number: int, root: str, at: Tables) -> None:
     if not categories:
         return
     spark = rows.sparkSession
-    current = landing.contents(spark, root, categories, seen.oldest)
+    current = landing.contents(spark, root, categories)
     if seen.rows <= SMALL_BATCH:
         bronze = documents.bronze_documents(arrivals, current, small_arrivals=True)
     else:
-        listed = landing.listing(spark, root, categories, seen.oldest)
+        listed = landing.listing(spark, root, categories)
         bronze = _large_bronze(arrivals, listed, current, root, seen.first_run == seen.last_run)
     bronze.write.mode("overwrite").partitionBy("category").parquet(f"{at.bronze}/batch={number}")
 
@@ -98,18 +97,21 @@ def _bronze_batch(rows: DataFrame, number: int, root: str, at: Tables) -> None:
 def _large_bronze(arrivals: DataFrame, listed: DataFrame, current: DataFrame, root: str, one_run: bool) -> DataFrame:
     """Pair many arrivals with their files without shuffling the bytes, where that
     can be had. Comparing arrivals and listing moves paths, times and sizes only.
-    In a large load nearly every file is just as its arrival says; few are not of
-    this load, and few arrivals belong to files that have changed since. If either
-    is not few, or the load mixes ledger runs, both sides are shuffled by path."""
+    In a large load nearly every file is just as its one arrival says; few are not of
+    this load, and few arrivals belong to files that have changed since or are there
+    twice. If either is not few, or the load mixes ledger runs, both sides are
+    shuffled by path."""
     as_listed = ledger.file_ledger(listed, F.lit(None)).select(*ledger.ARRIVAL)
-    others = as_listed.join(arrivals, ledger.ARRIVAL, "left_anti")
-    changed = arrivals.join(as_listed, ledger.ARRIVAL, "left_anti")
+    once = arrivals.groupBy(*ledger.ARRIVAL).count().where("count = 1").select(*ledger.ARRIVAL)
+    others = as_listed.join(once, ledger.ARRIVAL, "left_anti")
+    changed = arrivals.join(as_listed.join(once, ledger.ARRIVAL), ledger.ARRIVAL, "left_anti")
     limit = documents.MAX_BROADCAST_ARRIVALS
     if not one_run or others.count() > limit or changed.count() > limit:
         return documents.bronze_documents(arrivals, current)
-    run_at = arrivals.agg(F.max("ingested_at")).first()[0]
+    # As a number: a time of day in Python would depend on the driver's time zone.
+    run_at = F.timestamp_micros(F.lit(arrivals.agg(F.unix_micros(F.max("ingested_at"))).first()[0]))
     skip = others.select(F.col("source_file").alias("path"))
-    same = documents.bronze_of_scan(current, skip, F.lit(run_at))
+    same = documents.bronze_of_scan(current, skip, run_at)
     same = same.withColumn("category", paths.category(F.col("source_file"), root))
     return same.unionByName(documents.bronze_documents(changed, current, small_arrivals=True))
 

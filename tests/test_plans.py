@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from sheafline.operators import ledger, search
+from sheafline.plans.queries import QUERIES
 from sheafline.plans import views as v
 from sheafline.sources import landing, tables
 
@@ -22,7 +23,7 @@ def plan(df):
     return out.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_rows_go_to_python_but_for_vectors(spark, name):
     text = plan(entry.queries()[name](spark, SMALL))
     assert "BatchEvalPython" not in text and "CartesianProduct" not in text and "NestedLoop" not in text

@@ -3,6 +3,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, difference
+from sheafline.plans.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -12,7 +13,7 @@ def con() -> duckdb.DuckDBPyConnection:
     return connect(SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert difference(entry.queries()[name](spark, SMALL), con, entry.oracle_sql()[name]) == ""
 

@@ -149,6 +149,35 @@ def test_large_loads_give_the_same_rows(land, limit, monkeypatch):
     assert got[0] == got[1] and len(got[0]) == 2 and "overwritten since" in "".join(got[0])
 
 
+@pytest.mark.parametrize("small_batch", [200_000, 0])
+def test_no_arrival_is_lost(land, small_batch, monkeypatch):
+    """A file whose time is set back after it was recorded, and an arrival that the ledger has twice."""
+    monkeypatch.setattr(runs, "SMALL_BATCH", small_batch)
+    spark, root = land.spark, runs.landing_root(land.spark, land.settings)
+    runs.append_ledger(spark, land.settings, land.at)
+    os.utime(os.path.join(land.root, "상품/개인/a.md"), (10**9, 10**9))
+    rows = land.table("ledger")
+    twice = rows.union(rows.where("source_file_name = 'blank.md'"))
+    runs._bronze_batch(twice, 0, root, land.at)
+    got = sorted(r.source_file_name for r in tables.read(spark, land.at.bronze, tables.BRONZE).collect())
+    assert got == sorted(["a.md", "b c%20d.md", "blank.md", "blank.md"])
+
+
+def test_folders_that_look_like_numbers_or_dates(land):
+    for name in ("007", "7", "2024-01-01", "자유 폴더", "Crm"):
+        land.put(f"{name}/{name}.md", f"text of {name}")
+    land.run()
+    spark = land.spark
+    categories = landing.discover_categories(spark, land.root)
+    names.publish(spark, land.at, categories)
+    slugs = names.view_slugs(categories)
+    assert len(set(slugs.values())) == len(categories)
+    for layer, suffix in (("bronze", "bronze_documents"), ("silver", "silver_documents"), ("gold", "gold_document_embeddings")):
+        for name in ("007", "7", "2024-01-01", "자유 폴더", "Crm"):
+            found = spark.table(f"{layer}.{slugs[name]}_{suffix}").select("source_file_name").collect()
+            assert [r[0] for r in found] == [f"{name}.md"], (layer, name)
+
+
 def test_large_loads_move_no_bytes(land, monkeypatch):
     spark, root = land.spark, runs.landing_root(land.spark, land.settings)
     runs.append_ledger(spark, land.settings, land.at)
@@ -204,7 +233,7 @@ def test_tables_by_name(land):
     spark = land.spark
     runs.refresh_index(spark, land.at, runs.refresh_unified(spark, land.settings, land.at))
     made = names.publish(spark, land.at, landing.discover_categories(spark, land.root))
-    assert len(made) == 4 + 4 * 2
+    assert len(made) == 4 + 4 * 3
     assert spark.table("gold.crm_gold_document_embeddings").count() == 2
     assert spark.table("gold.crm_gold_document_embeddings").columns == gold.GOLD
     assert spark.table("silver.product_silver_documents").columns == documents.SILVER

@@ -118,3 +118,26 @@ def test_scoring_is_checked():
     for bad in ({"metric": "other"}, {"k": 0}):
         with pytest.raises(ValueError):
             Scoring(**bad)
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot", "l2"])
+@pytest.mark.parametrize("max_queries", [100, 3])
+def test_bad_vectors_leave_only_themselves_out(spark, corpus, queries, metric, max_queries):
+    """NULL, NaN and infinite numbers, on either side; NULL groups match nothing."""
+    nan, inf = float("nan"), float("inf")
+    bad = [("nan", [nan] * 6, "x"), ("inf", [inf] + [0.0] * 5, "x"), ("null", [None] + [1.0] * 5, "y")]
+    schema = "chunk_id string, embedding array<float>, grp string"
+    dirty = corpus.union(spark.createDataFrame(bad, schema)).coalesce(1)
+    asks = [(50, [nan] + [1.0] * 5, "x"), (51, [inf] * 6, "x"), (52, [None] * 6, "y"), (53, None, "y")]
+    asked = queries.union(spark.createDataFrame(asks, queries.schema))
+    want = brute(7, metric)
+    assert as_set(search.top_k(dirty, asked, Scoring(7, metric, 5), max_queries=max_queries)) == want
+    nobody = spark.createDataFrame([(60, QUERIES[0][1], None)], queries.schema)
+    got = search.top_k(dirty, asked.union(nobody), Scoring(7, metric, 5), group_column="grp", max_queries=max_queries)
+    assert as_set(got) == brute(7, metric, grouped=True)
+
+
+def test_lengths_are_checked_over_all_queries(spark, corpus, queries):
+    odd = spark.createDataFrame([(q, [1.0], "x") for q in range(70, 76)], queries.schema)
+    with pytest.raises(ValueError):
+        search.top_k(corpus, queries.union(odd), Scoring(3), max_queries=3)
