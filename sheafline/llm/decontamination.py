@@ -33,6 +33,8 @@ from sheafline.llm import common
 from sheafline.llm.words import mix
 
 SEED = 4
+#: A seed is in at most so many times as many texts as the middle run of its item.
+RARE = 16
 #: Share of a perfect copy's alignment score from which a text counts as contaminated.
 THRESHOLD = 0.6
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -93,14 +95,15 @@ class Items:
         self.short = sorted({len(w) for w in self.words if 0 < len(w) < seed})
 
     def keep_rare(self, counts: dict[int, int]) -> None:
-        """Keep the rarer half of each item's runs."""
+        """Keep the runs of each item that some text has and that are rare next to the item's others."""
         df = np.array([counts.get(int(x), 0) for x in self.run.view(np.int64)], np.int64)
-        order = np.lexsort((self.run, df, self.item))
-        item = self.item[order]
-        begin = np.searchsorted(item, np.arange(len(self.ids)))
-        size = np.bincount(item, minlength=len(self.ids))
-        rank = np.arange(len(order)) - begin[item]
-        kept = np.sort(order[rank < (size[item] + 1) // 2])
+        middle = np.zeros(len(self.ids))
+        order = np.lexsort((df, self.item))
+        order = order[df[order] > 0]
+        first = np.flatnonzero(np.diff(self.item[order], prepend=-1))
+        size = np.diff(np.append(first, len(order)))
+        middle[self.item[order][first]] = df[order][first + size // 2]
+        kept = (df > 0) & (df <= RARE * middle[self.item])
         self.run, self.item = self.run[kept], self.item[kept]
         self.known = np.unique(self.run)
 
