@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sheafline.functions import paths, text
+from sheafline.functions import elements, paths, text
 
 BRONZE = [
     "document_id", "source_file_name", "source_file", "content",
@@ -79,3 +79,16 @@ def silver_documents(
         .withColumn("silver_layer", F.lit("silver"))
         .select(*SILVER, *[c for c in bronze.columns if c not in [*BRONZE, *SILVER]])
     )
+
+
+def parsed_silver(parsed: DataFrame, column: str = "parsed_content") -> DataFrame:
+    """What parsed documents say and show: the text of their elements, tables as text and runs of
+    empty lines cut, what their figures describe, and their pages. Documents that could not
+    be read are left out."""
+    whole = F.col(column)
+    return parsed.where(elements.error_status(whole).isNull()).select(
+        *[c for c in parsed.columns if c != column],
+        text.html_document(elements.element_text(whole)).alias("full_text"),
+        elements.figure_text(whole).alias("figure_descriptions"),
+        elements.page_count(whole).alias("page_count"),
+    )

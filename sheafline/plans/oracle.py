@@ -222,6 +222,38 @@ ORACLE = {
     "elements_explode": f"""WITH {PARSED} SELECT document_id, kind AS element_type, CAST(i // 10 AS INTEGER) AS element_page,
         CAST(i AS INTEGER) AS element_idx, {_table_text('coalesce(content, description)', False)} AS element_text
         FROM elements WHERE length(trim(coalesce(content, description), ' ')) > 0""",
+    "parsed_silver": f"""WITH {PARSED}, said AS (
+          SELECT document_id, doc_id, CAST(max(i) // 10 + 1 AS INTEGER) AS page_count,
+            coalesce(string_agg(content, chr(10) || chr(10) ORDER BY i)
+              FILTER (WHERE kind <> 'figure' AND length(trim(content, ' ')) > 0), '') AS said,
+            coalesce(string_agg(coalesce(description, content), chr(10) || chr(10) ORDER BY i)
+              FILTER (WHERE kind = 'figure' AND (length(trim(description, ' ')) > 0 OR length(trim(content, ' ')) > 0)), '')
+              AS figure_descriptions
+          FROM elements GROUP BY ALL)
+        SELECT document_id, {_table_text('said', True)} AS full_text, figure_descriptions, page_count
+        FROM said JOIN documents USING (doc_id) WHERE length(text) >= 100""",
+    "element_chunks": f"""WITH {PARSED}, each AS (
+          SELECT document_id, kind AS element_type, CAST(i // 10 AS INTEGER) AS element_page, CAST(i AS INTEGER) AS element_idx,
+            {_table_text('coalesce(content, description)', False)} AS element_text
+          FROM elements JOIN documents USING (doc_id)
+          WHERE length(trim(coalesce(content, description), ' ')) > 0 AND length(text) >= 100),
+        pieces AS (
+          SELECT *, substr(element_text, (start + 1)::BIGINT, 1000) AS piece
+          FROM (SELECT *, unnest(range(0, length(element_text), 800)) AS start FROM each)),
+        numbered AS (
+          SELECT *, CAST(row_number() OVER (PARTITION BY document_id, element_idx ORDER BY start) - 1 AS INTEGER) AS chunk_idx
+          FROM pieces WHERE regexp_matches(piece, '[^{_BLANKS}]'))
+        SELECT document_id, document_id || '.pdf' AS source_file_name, document_id || '.pdf' AS source_file, element_type,
+          element_page, element_idx, chunk_idx, trim(piece, ' ') AS chunk_content,
+          CASE WHEN length(element_text) <= 1000 THEN 'single' ELSE 'overlap' END AS chunk_type,
+          md5(document_id || '_' || element_idx || '_' || chunk_idx) AS chunk_id
+        FROM numbered WHERE length(trim(piece, ' ')) > 0""",
+    "chunk_windows": f"""WITH {SILVER}, windows AS (
+          SELECT document_id, start, substr(full_text, (start + 1)::BIGINT, 1000) AS piece
+          FROM (SELECT *, unnest(range(0, length(full_text), 800)) AS start FROM silver))
+        SELECT document_id, CAST(row_number() OVER (PARTITION BY document_id ORDER BY start) - 1 AS INTEGER) AS chunk_index,
+          CAST(start AS INTEGER) AS start_offset, CAST(start + length(piece) AS INTEGER) AS end_offset, md5(piece) AS chunk_md5
+        FROM windows WHERE regexp_matches(piece, '[^{_BLANKS}]')""",
     "chunks_overlap": f"WITH {CHUNKS} SELECT {_CHUNK} FROM keyed",
     "chunks_positional": f"""WITH {SILVER} SELECT document_id, source_file_name, source_file, 'text' AS element_type,
         CAST(NULL AS INTEGER) AS element_page, CAST(0 AS INTEGER) AS element_idx, CAST(start // 800 AS INTEGER) AS chunk_idx,
@@ -279,6 +311,15 @@ ORACLE = {
         scored AS (
           SELECT query_id, vec_id, round(list_cosine_similarity(vector, centre), 6) AS score FROM vectors, wanted
         ) {_best('scored', 10, 'vec_id')}""",
+    "vector_topk_dirty": f"""WITH parts AS (
+          SELECT vec_id, label, unnest(embedding)::DOUBLE AS value, generate_subscripts(embedding, 1) AS slot FROM embeddings
+        ),
+        centres AS (SELECT CAST(label AS BIGINT) AS query_id, slot, avg(value) AS value FROM parts GROUP BY ALL),
+        vectors AS (SELECT vec_id, list(value ORDER BY slot) AS vector FROM parts WHERE label > 4 GROUP BY 1),
+        wanted AS (SELECT query_id, list(value ORDER BY slot) AS centre FROM centres GROUP BY 1),
+        scored AS (
+          SELECT query_id, vec_id, round(list_cosine_similarity(vector, centre), 6) AS score FROM vectors, wanted
+        ) {_best('scored', 10, 'vec_id')}""",
     "text_topk": f"WITH {SCORES} {_best('scores', 5)}",
     "vector_topk_filtered": f"WITH {SCORES} {_best('scores', 5, where='agent_id = asked')}",
     "vector_topk_overfetch": f"""WITH {SCORES},

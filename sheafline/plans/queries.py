@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from sheafline.functions import elements as el, embedding, paths, text as tx
+from sheafline.functions import elements as el, embedding, paths, text as tx, windows
 from sheafline.operators import checks, chunks, documents, gold, ledger, report, search, sync, unify
 from sheafline.operators.search import Scoring
 from sheafline.plans import views as v
@@ -163,6 +163,21 @@ def elements_explode(spark, d) -> DataFrame:
     return chunks.explode_elements(v.parsed(spark, d))
 
 
+@query
+def parsed_silver(spark, d) -> DataFrame:
+    """The silver table of parsed documents: those that could be read, with what they say and show."""
+    return documents.parsed_silver(v.parsed(spark, d))
+
+
+@query
+def element_chunks(spark, d) -> DataFrame:
+    """Chunks of every element, with their ids; the page stays with them."""
+    elements = chunks.explode_elements(chunks.parsed_ok(v.parsed(spark, d)))
+    name = F.concat("document_id", F.lit(".pdf"))
+    cut = chunks.chunk_elements(elements.withColumns({"source_file_name": name, "source_file": name}))
+    return cut.withColumn("chunk_id", gold.chunk_id()).drop("chunked_at")
+
+
 # --- chunks -----------------------------------------------------------------
 
 
@@ -171,6 +186,15 @@ def chunks_overlap(spark, d) -> DataFrame:
     return v.chunk_rows(spark, d).drop("category")
 
 
+@query
+def chunk_windows(spark, d) -> DataFrame:
+    """The windows of every text with their places in it."""
+    cut = F.posexplode(windows.chunks(F.col("full_text"), ChunkSpec())).alias("n", "w")
+    return v.silver(spark, d).select("document_id", cut).select(
+        "document_id", "w.chunk_index", "w.start_offset", "w.end_offset", F.md5(F.col("w.chunk_text").cast("binary")).alias("chunk_md5")
+    )
+
+
 @query
 def chunks_positional(spark, d) -> DataFrame:
     cut = chunks.chunk_documents(v.silver(spark, d), ChunkSpec(), positional=True)
@@ -302,6 +326,24 @@ def vector_topk(spark, d) -> DataFrame:
     return search.top_k(vectors, v.label_centres(spark, d), Scoring(k=10), id_column="vec_id")
 
 
+@query
+def vector_topk_dirty(spark, d) -> DataFrame:
+    """Every label's mean vector over rows of which some labels' are missing, short, or hold NULL, NaN or infinity."""
+    vector = F.col("embedding")
+    tail = F.slice(vector, 2, v.DIMENSION)
+    spoilt = lambda first: F.concat(F.array(F.lit(first).cast("float")), tail)
+    dirty = (
+        F.when(F.col("label") == 0, None)
+        .when(F.col("label") == 1, tail)
+        .when(F.col("label") == 2, spoilt(float("nan")))
+        .when(F.col("label") == 3, spoilt(None))
+        .when(F.col("label") == 4, spoilt(float("inf")))
+        .otherwise(vector)
+    )
+    vectors = v.table(spark, d, "embeddings", "vec_id").withColumn("embedding", dirty)
+    return search.top_k(vectors, v.label_centres(spark, d), Scoring(k=10), id_column="vec_id")
+
+
 @query
 def text_topk(spark, d) -> DataFrame:
     texts = v.query_texts(spark, d).drop("agent_id")

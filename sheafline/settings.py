@@ -68,11 +68,13 @@ def default_agent_rules() -> tuple[AgentRule, ...]:
 
 @dataclass(frozen=True)
 class Settings:
-    """One bundle handed to a whole run."""
+    """One bundle handed to a whole run. With ``chunk_rules`` every document is cut
+    as its path asks for, and whole if no rule fits; else all are cut by ``chunking``."""
 
     landing_root: str
     path_base: str | None = None
     chunking: ChunkSpec = field(default_factory=ChunkSpec)
+    chunk_rules: tuple[ChunkRule, ...] | None = None
     agents: tuple[AgentRule, ...] = field(default_factory=default_agent_rules)
     default_agent: str = fv.DEFAULT_AGENT
     embed_batch: int = fv.EMBED_BATCH

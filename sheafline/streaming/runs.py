@@ -121,6 +121,8 @@ def silver_layer(bronze: DataFrame, settings: Settings, now: Column | None = Non
 
 
 def chunk_layer(silver: DataFrame, settings: Settings, now: Column | None = None) -> DataFrame:
+    if settings.chunk_rules is not None:
+        return chunks.chunk_by_strategy(silver, settings.chunk_rules, chunked_at=now).drop("chunk_mode")
     return chunks.chunk_documents(silver, settings.chunking, chunked_at=now)
 
 
