@@ -36,7 +36,7 @@ SEED = 4
 #: A seed is in at most so many times as many texts as the middle run of its item.
 RARE = 16
 #: Share of a perfect copy's alignment score from which a text counts as contaminated.
-THRESHOLD = 0.6
+THRESHOLD = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 BLOCK_ITEMS = 10_000
 BLOCK_WORDS = 1_000_000

@@ -119,8 +119,18 @@ def assign(
     files_per_batch: int | None = None,
 ) -> DataFrame:
     """A row for each row of `docs`: doc_id, keep_id, group_size, kept, digest, file, row."""
-    spark = docs.sparkSession
-    placed = located(docs)
+    return assign_located(located(docs), id_col, text_col, digest, files_per_batch)
+
+
+def assign_located(
+    placed: DataFrame,
+    id_col: str,
+    text_col: str,
+    digest: Callable[[Column], Column] = sha256,
+    files_per_batch: int | None = None,
+) -> DataFrame:
+    """The same of rows that have their place already."""
+    spark = placed.sparkSession
     source = common.new_path(spark, "arrivals")
     arriving = arrivals(placed, id_col, text_col, digest)
     arriving.write.parquet(source)
@@ -160,7 +170,7 @@ def assign(
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of `docs` that stay, with their own columns."""
     placed = located(docs)
-    gone = assign(docs, id_col, text_col, **options).filter(~F.col("kept"))
+    gone = assign_located(placed, id_col, text_col, **options).filter(~F.col("kept"))
     gone = common.stage(gone.select(F.col("file").alias("__file"), F.col("row").alias("__row")), "dropped")
     return placed.join(gone, ["__file", "__row"], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 

@@ -212,33 +212,49 @@ def linked(overlap: Column, a: Column, b: Column, percent: int) -> Column:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of every node of the undirected edges (a, b); root is the smallest node it reaches.
+    """(node, root) of every node of the undirected edges (a, b); root is the smallest node it reaches. Staged.
 
     Large star and small star in turn: each is one grouping by node, and in O(log n) rounds every
     node points at its root. Edges are written between rounds, so no plan grows. A node's
     neighbours never meet in one row: only their minimum is taken, and joined back.
     """
-    now = common.stage(
-        edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
-        "edges",
+    mark = F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40))).alias("mark")
+
+    def written(df: DataFrame) -> tuple[DataFrame, tuple]:
+        df = common.stage(df, "edges")
+        return df, tuple(df.agg(F.count(F.lit(1)), mark).first())
+
+    now, seen = written(
+        edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     )
-    while True:
+    while seen[0]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         # Large star: larger neighbours of a node point at the smallest node around it.
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.filter("a <> b").distinct()
         # Small star: smaller neighbours of a node, and itself, point at the smallest of them.
         small = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(small, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        after = moved.unionByName(small.select("a", F.col("m").alias("b"))).distinct()
-        after = common.stage(after, "edges")
-        same = after.exceptAll(now).isEmpty() and now.exceptAll(after).isEmpty()
-        now = after
-        if same:
+        before = seen
+        now, seen = written(moved.unionByName(small.select("a", F.col("m").alias("b"))).distinct())
+        if seen == before:
             break
-    roots = now.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
-    return roots.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+    ends = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    tops = now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+    return common.stage(ends.unionByName(tops), "classes")
+
+
+def joined_classes(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes (node, root) after more links (a, b): only the roots are a graph of their own."""
+    root_of = lambda end: classes.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+    ends = links.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left")
+    ends = ends.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    top = components(ends).withColumnRenamed("root", "top")
+    below = classes.join(top, classes["root"] == top["node"], "left").select(
+        classes["node"], F.coalesce("top", "root").alias("root")
+    )
+    new = top.select("node", F.col("top").alias("root")).join(classes, "node", "left_anti")
+    return common.stage(below.unionByName(new), "classes")
 
 
 def open_stars(index: DataFrame, found: DataFrame, classes: DataFrame) -> DataFrame:
@@ -343,14 +359,13 @@ def classes_of(
     near = derived_links(pairs_by_additions(common.stage(additions(stars), "additions")), found, percent)
     near = common.stage(near, "links")
     if not near.isEmpty():
-        links = links.unionByName(near)
-        classes = components(links)
+        classes = joined_classes(classes, near)
         stars = open_stars(index, found, classes)
     rest = derived_pairs(stars, common.stage(additions(stars), "additions"), percent)
     rest = common.stage(derived_links(rest, found, percent), "links")
     if not rest.isEmpty():
-        classes = components(links.unionByName(rest))
-    classes = common.stage(classes, "classes").withColumnRenamed("node", "set")
+        classes = joined_classes(classes, rest)
+    classes = classes.withColumnRenamed("node", "set")
 
     named = names.join(classes, "set", "left").withColumn("root", F.coalesce("root", "set"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
