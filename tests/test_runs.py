@@ -1,3 +1,4 @@
+import dataclasses
 import os
 import tempfile
 import time
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from sheafline.functions import paths
 from sheafline.functions.embedding import CharacterCounts
 from sheafline.operators import chunks, documents, gold, ledger, search
-from sheafline.settings import Settings
+from sheafline.settings import ChunkRule, ChunkSpec, Settings
 from sheafline.sources import files, landing, names, tables
 from sheafline.streaming import runs
 from sheafline.streaming.runs import Tables
@@ -277,3 +278,14 @@ def test_a_snapshot_may_replace_its_own_source(spark):
     assert sorted(r.n for r in tables.read_snapshot(spark, root, schema).collect()) == [10, 11, 12]
     tables.write_snapshot(grown, root)
     assert tables.snapshot_path(spark, root).endswith("version=10")
+
+
+def test_rules_by_path_in_a_run(land):
+    """The stream cuts as the batch operator does."""
+    rules = (ChunkRule("**/CRM/**/*", ChunkSpec("fixed", 700)),)
+    settings = dataclasses.replace(land.settings, chunk_rules=rules)
+    runs.run(land.spark, settings, land.at, EMBEDDER)
+    got = land.rows("chunks", "document_id", "chunk_idx", F.length("chunk_content"))
+    assert got == [("a", 0, 10), ("b c%20d", 0, 700), ("b c%20d", 1, 700), ("b c%20d", 2, 100)]
+    batch = chunks.chunk_by_strategy(land.table("silver"), rules)
+    assert sorted(map(tuple, batch.select("document_id", "chunk_idx", F.length("chunk_content")).collect())) == got
