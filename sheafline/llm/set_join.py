@@ -17,8 +17,8 @@ for each set the position of the shingle in it.
   pivot rule a link out. All overlaps follow from the two differences to the pivot,
   without looking at the sets again.
 
-The order: shingles of a fixed quarter of the hash space first, by the number of sets that
-have them, then all others by hash. Only that quarter is ever counted.
+The order: shingles of a fixed third of the hash space first, by the number of sets that
+have them, then all others by hash. Only that third is ever counted.
 
 Nulls and odd input: a null or blank text has no words, an empty set and no link; texts
 with fewer words than a shingle are one shingle; a null doc_id stays null in the result
@@ -44,7 +44,7 @@ SIZE = 5
 #: Link at 100 * intersection >= PERCENT * union.
 PERCENT = 80
 #: The counted part of the hash space is the lowest 1 / COUNTED of it.
-COUNTED = 4
+COUNTED = 3
 
 
 def shingle_sets(column, size: int) -> Iterator[np.ndarray]:
@@ -269,23 +269,26 @@ def open_stars(index: DataFrame, found: DataFrame, classes: DataFrame) -> DataFr
     return common.stage(rows.join(found.select("pivot", "set", "overlap", "adds"), ["pivot", "set"]), "open")
 
 
-def additions(stars: DataFrame) -> DataFrame:
-    """What sets of a star have besides the pivot, where another of its sets has that too: pivot, shingle, set, root,
-    and of those sets the one with the most of the pivot (best)."""
+def pairs_by_additions(stars: DataFrame) -> DataFrame:
+    """Pairs (pivot, a, b) of a set and the best (with most of the pivot) of those of its star that share something
+    the pivot lacks: a link to that one, found from the differences to the pivot, makes all other links of the set to
+    its class needless."""
     each = stars.select("pivot", "set", "root", "overlap", F.explode("adds").alias("shingle"))
     best = F.min(F.struct(-F.col("overlap"), "set", "root")).alias("best")
-    again = each.groupBy("pivot", "shingle").agg(best, F.count(F.lit(1)).alias("sets")).filter("sets > 1")
-    return each.join(again.drop("sets"), ["pivot", "shingle"]).select("pivot", "shingle", "set", "root", "best")
+    again = each.groupBy("pivot", "shingle").agg(best, F.min("root").alias("x"), F.max("root").alias("y"))
+    again = again.filter("x <> y").select("pivot", "shingle", F.col("best.set").alias("b"), F.col("best.root").alias("of_b"))
+    pairs = each.join(again, ["pivot", "shingle"]).filter(F.col("root") != F.col("of_b"))
+    return pairs.select("pivot", F.col("set").alias("a"), "b").distinct()
 
 
-def pairs_by_additions(shared: DataFrame) -> DataFrame:
-    """Pairs (pivot, a, b) of a set and the best of those that share something the pivot lacks: a link to that one,
-    found from the differences to the pivot, makes all other links of the set to its class needless."""
-    pairs = shared.filter((F.col("set") != F.col("best.set")) & (F.col("root") != F.col("best.root")))
-    return pairs.select("pivot", F.col("set").alias("a"), F.col("best.set").alias("b")).distinct()
+def own_additions(stars: DataFrame) -> DataFrame:
+    """(pivot, set, own): how much of what a set has besides its pivot no other set of the star has."""
+    each = stars.select("pivot", "set", F.explode("adds").alias("shingle"))
+    alone = each.groupBy("pivot", "shingle").agg(F.min("set").alias("set"), F.count(F.lit(1)).alias("sets"))
+    return alone.filter("sets = 1").groupBy("pivot", "set").agg(F.count(F.lit(1)).alias("own"))
 
 
-def derived_pairs(stars: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+def derived_pairs(stars: DataFrame, percent: int) -> DataFrame:
     """Pairs (pivot, a, b) of sets of one star whose link is still open after all that can be skipped.
 
     Two sets of a star share at most the lesser overlap with the pivot and the lesser of what they have besides
@@ -293,8 +296,8 @@ def derived_pairs(stars: DataFrame, shared: DataFrame, percent: int) -> DataFram
     a `reach` that suffices, for a partner of equal size, of the smaller one: only such sets
     look for partners, and only among larger ones.
     """
-    more = shared.groupBy("pivot", "set").agg(F.count(F.lit(1)).alias("more"))
-    rows = stars.drop("adds").join(more, ["pivot", "set"], "left").withColumn("more", F.coalesce("more", F.lit(0)))
+    rows = stars.withColumn("besides", F.size("adds")).drop("adds").join(own_additions(stars), ["pivot", "set"], "left")
+    rows = rows.withColumn("more", F.col("besides") - F.coalesce("own", F.lit(0)))
     both, reach = 100 + percent, F.least(F.col("overlap") + F.col("more"), F.col("n") - F.col("first"))
     rows = common.stage(rows.withColumn("reach", reach).filter(100 * reach >= percent * F.col("n")), "reach")
     names = ["set", "n", "root", "overlap", "more", "reach"]
@@ -356,13 +359,11 @@ def classes_of(
     links = links.select(F.col("pivot").alias("a"), F.col("set").alias("b"))
     classes = components(links)
     stars = open_stars(index, found, classes)
-    near = derived_links(pairs_by_additions(common.stage(additions(stars), "additions")), found, percent)
-    near = common.stage(near, "links")
+    near = common.stage(derived_links(pairs_by_additions(stars), found, percent), "links")
     if not near.isEmpty():
         classes = joined_classes(classes, near)
         stars = open_stars(index, found, classes)
-    rest = derived_pairs(stars, common.stage(additions(stars), "additions"), percent)
-    rest = common.stage(derived_links(rest, found, percent), "links")
+    rest = common.stage(derived_links(derived_pairs(stars, percent), found, percent), "links")
     if not rest.isEmpty():
         classes = joined_classes(classes, rest)
     classes = classes.withColumnRenamed("node", "set")
