@@ -37,7 +37,7 @@ STANDS_FOR = {
 }
 
 #: Natural logs of what a disguise costs.
-PRICE_SIGN, PRICE_REPEAT, PRICE_SPACE = -2.0, -1.0, -1.0
+PRICE_SIGN, PRICE_REPEAT = -2.0, -1.0
 #: Letters of the language model: a to z, an edge of a word, and any other letter.
 EDGE, OTHER, LETTERS = 26, 27, 28
 ORDER = 4
@@ -111,7 +111,7 @@ class LanguageModel:
         self.log = np.log(p).astype(np.float32)
 
 
-def lattice(word: str) -> list[tuple[str, float]] | None:
+def lattice(word: str) -> list[list[tuple[str, float]]]:
     """Choices for each run of equal characters: ((text, price) ...) per place."""
     places = []
     i = 0
@@ -122,11 +122,11 @@ def lattice(word: str) -> list[tuple[str, float]] | None:
         c, n = word[i], j - i
         letters = STANDS_FOR.get(c)
         if letters and not c.isalpha():
-            own = [(x, PRICE_SIGN) for x in letters]
-            choices = [(x, p) for x, p in own] if n == 1 else [(x * n, p * n) for x, p in own]
+            # A run of one sign is one disguise; three and more are rather a decoration.
+            choices = [(x, PRICE_SIGN + PRICE_REPEAT * (n > 1)) for x in letters]
             if n > 1:
-                choices += [(x, p + PRICE_REPEAT) for x, p in own]
-            choices.append((c * n, 0.0 if n > 1 else 2 * PRICE_SIGN))
+                choices += [(x * 2, PRICE_SIGN + PRICE_REPEAT * (n > 2)) for x in letters]
+            choices.append((c * n, (2 * PRICE_SIGN, PRICE_SIGN)[n - 1] if n < 3 else 0.0))
         elif n > 1 and c.isalpha():
             choices = [(c * min(n, 2), 0.0 if n == 2 else PRICE_REPEAT), (c, PRICE_REPEAT)]
         else:
