@@ -128,7 +128,8 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
                 choices += [(x * 2, PRICE_SIGN + PRICE_REPEAT * (n > 2)) for x in letters]
             choices.append((c * n, (2 * PRICE_SIGN, PRICE_SIGN)[n - 1] if n < 3 else 0.0))
         elif n > 1 and c.isalpha():
-            choices = [(c * min(n, 2), 0.0 if n == 2 else PRICE_REPEAT), (c, PRICE_REPEAT)]
+            # Two of a letter are common spelling, three are not.
+            choices = [(c * 2, PRICE_REPEAT), (c, PRICE_REPEAT)] if n > 2 else [(c * 2, 0.0), (c, 5 * PRICE_REPEAT)]
         else:
             choices = [(c * n, 0.0)]
         places.append(choices)
