@@ -1,7 +1,7 @@
 """Toxicity behind disguised spelling: noisy-channel decoding, then a score of the restored text.
 
 A disguised word is a lattice: a sign that stands for letters (0, 1, 3, @, $ ...) may be each
-of them or itself, a letter that is repeated may be written once or twice, and letters that stand
+of them or itself, a letter that stands three times or more is once or twice, and letters that stand
 alone may be one word. Viterbi finds the best path under a character language model
 (four letters, counts of all documents) and the price of each disguise. Only words that
 could be disguised have a lattice; all others are their own only path.
@@ -129,7 +129,7 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
             choices.append((c * n, (2 * PRICE_SIGN, PRICE_SIGN)[n - 1] if n < 3 else 0.0))
         elif n > 1 and c.isalpha():
             # Two of a letter are common spelling, three are not.
-            choices = [(c * 2, PRICE_REPEAT), (c, PRICE_REPEAT)] if n > 2 else [(c * 2, 0.0), (c, 5 * PRICE_REPEAT)]
+            choices = [(c * 2, PRICE_REPEAT), (c, PRICE_REPEAT)] if n > 2 else [(c * 2, 0.0)]
         else:
             choices = [(c * n, 0.0)]
         places.append(choices)
