@@ -1,11 +1,22 @@
 """The registered queries of this package and the SQL of those that SQL can express."""
 
 import corpus_pipeline
-from sheafline.llm import decontamination, exact_dedup, fixity, packing, personal, quality, secret_links, set_join, toxicity, windows_dedup
+from sheafline.llm import (
+    decontamination,
+    exact_dedup,
+    fixity,
+    packing,
+    personal,
+    quality,
+    secret_links,
+    set_join,
+    toxicity,
+    windows_dedup,
+)
 
 QUERIES = {
-    "op2_secrets": secret_links.op2_secrets,
     "op1_toxicity": toxicity.op1_toxicity,
+    "op2_secrets": secret_links.op2_secrets,
     "op3_decontamination": decontamination.op3_decontamination,
     "op4_jaccard_join": set_join.op4_jaccard_join,
     "op5_fixity_audit": fixity.op5_fixity_audit,
@@ -14,10 +25,9 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_packing": packing.op9_packing,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
-QUERIES["pipeline"] = corpus_pipeline.run
-
 ORACLE = {
     "op4_jaccard_join": set_join.OP4_SQL,
     "op5_fixity_audit": fixity.OP5_SQL,
