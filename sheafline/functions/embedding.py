@@ -7,6 +7,7 @@ below all fit.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -16,6 +17,8 @@ from pyspark.sql.types import ArrayType, FloatType
 
 from sheafline import fixed_values as fv
 
+log = logging.getLogger(__name__)
+
 Embedder = Callable[[list], Sequence]
 
 
@@ -38,14 +41,15 @@ class CharacterCounts:
 
 def _vectors(embedder: Embedder, texts: list) -> list:
     """Vectors of one sub-batch; all None if the call fails or its reply does
-    not hold one vector per text."""
+    not hold one vector per text. Why goes to the worker's log."""
     try:
         reply = list(embedder(texts))
-        if len(reply) != len(texts):
-            return [None] * len(texts)
-        return [None if v is None else np.asarray(v, dtype=np.float32).ravel() for v in reply]
-    except Exception:
-        return [None] * len(texts)
+        if len(reply) == len(texts):
+            return [None if v is None else np.asarray(v, dtype=np.float32).ravel() for v in reply]
+        log.warning("no vectors for %d texts: the reply holds %d", len(texts), len(reply))
+    except Exception as e:
+        log.warning("no vectors for %d texts: %s: %s", len(texts), type(e).__name__, e)
+    return [None] * len(texts)
 
 
 def _as_lists(vectors: list) -> pa.Array:
