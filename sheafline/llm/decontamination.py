@@ -11,7 +11,8 @@ The test items are the small side: they are read in blocks of at most `BLOCK_ITE
 `BLOCK_WORDS` words, so what goes to the tasks is bounded, and each block looks at all
 texts. Texts are never shuffled.
 
-Words: runs of letters or digits, in lower case, so that marks and layout don't hide a copy.
+Words: runs of ASCII letters or digits and of characters beyond ASCII, in lower case, so that
+marks and layout don't hide a copy.
 Items shorter than a seed are one seed as a whole.
 
 Nulls and odd input: a null text or item has no words and matches nothing; a null
@@ -21,16 +22,16 @@ what they match; an empty table gives an empty result; other columns are not loo
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafline.llm import common
-from sheafline.llm.words import mix
+from sheafline.llm.words import MARKS, Words, rolling
 
 SEED = 4
 #: A seed is in at most so many times as many texts as the middle run of its item.
@@ -41,42 +42,17 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 BLOCK_ITEMS = 10_000
 BLOCK_WORDS = 1_000_000
 
-WORD = re.compile(r"[^\W_]+")
 FOUND = "doc_id long, mark long, item_id long, score double, start long, end long"
 
 
-def word_ids(text: str | None) -> np.ndarray:
-    """A 64-bit hash of each word, by Python's regex and a hash of our own that is alike in all processes."""
-    words = WORD.findall(text.lower()) if text else []
-    return _ids_of(words)
-
-
-_SEEN: dict[str, int] = {}
-
-
-def _ids_of(words: list[str]) -> np.ndarray:
-    from hashlib import blake2b
+def words_of(column) -> tuple[Words, np.ndarray]:
+    """The words of an Arrow column, in lower case, and a 64-bit hash of each."""
+    words = Words(pc.utf8_lower(column), separator=MARKS)
+    return words, words.hashes()
 
-    if len(_SEEN) > 300_000:
-        _SEEN.clear()
-    out = []
-    for w in words:
-        h = _SEEN.get(w)
-        if h is None:
-            h = _SEEN[w] = int.from_bytes(blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-        out.append(h)
-    return np.array(out, np.uint64)
 
-
-def runs(ids: np.ndarray, size: int) -> np.ndarray:
-    """A hash of each run of `size` words; of all words, if there are fewer."""
-    size = min(size, len(ids))
-    if not size:
-        return np.zeros(0, np.uint64)
-    out = np.zeros(len(ids) - size + 1, np.uint64)
-    for k in range(size):
-        out = out * np.uint64(0xD6E8FEB86659FD93) + ids[k : len(ids) - size + 1 + k]
-    return mix(out + np.uint64(size))
+def word_ids(text: str | None) -> np.ndarray:
+    return words_of(pa.array([text], pa.string()))[1]
 
 
 class Items:
@@ -86,13 +62,19 @@ class Items:
         self.ids = [r[0] for r in rows]
         self.words = [word_ids(r[1]) for r in rows]
         self.seed = seed
-        own = [np.unique(runs(w, seed)) for w in self.words]
+        own = [np.unique(rolling(w, min(seed, len(w)))) if len(w) else w for w in self.words]
         self.item = np.repeat(np.arange(len(rows)), [len(x) for x in own])
         self.run = np.concatenate([np.zeros(0, np.uint64), *own])
         order = np.argsort(self.run, kind="stable")
         self.run, self.item = self.run[order], self.item[order]
+        self.sizes = sorted({min(seed, len(w)) for w in self.words if len(w)})
+        self._know()
+
+    def _know(self) -> None:
+        """The distinct runs, and a table of bits of their hashes that rules nearly all others out at once."""
         self.known = np.unique(self.run)
-        self.short = sorted({len(w) for w in self.words if 0 < len(w) < seed})
+        self.maybe = np.zeros(1 << 22, bool)
+        self.maybe[(self.known & np.uint64(len(self.maybe) - 1)).astype(np.int64)] = True
 
     def keep_rare(self, counts: dict[int, int]) -> None:
         """Keep the runs of each item that some text has and that are rare next to the item's others."""
@@ -105,21 +87,22 @@ class Items:
         middle[self.item[order][first]] = df[order][first + size // 2]
         kept = (df > 0) & (df <= RARE * middle[self.item])
         self.run, self.item = self.run[kept], self.item[kept]
-        self.known = np.unique(self.run)
-
-    def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions in a text where a known run begins, and the runs."""
-        at, found = [], []
-        for size in [*self.short, self.seed]:
-            if len(ids) < size:
-                continue
-            own = runs(ids, size)
-            place = np.searchsorted(self.known, own)
-            place[place == len(self.known)] = 0
-            hit = np.flatnonzero(self.known[place] == own) if len(self.known) else np.zeros(0, np.int64)
+        self._know()
+
+    def hits(self, words: Words, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words of a column at which a known run begins, in order, and the runs."""
+        at, found = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for size in self.sizes if len(self.known) else []:
+            own = rolling(ids, size)
+            hit = np.flatnonzero(self.maybe[(own & np.uint64(len(self.maybe) - 1)).astype(np.int64)])
+            hit = hit[words.row[hit] == words.row[hit + size - 1]]
+            place = np.minimum(np.searchsorted(self.known, own[hit]), len(self.known) - 1)
+            hit = hit[self.known[place] == own[hit]]
             at.append(hit)
             found.append(own[hit])
-        return np.concatenate([np.zeros(0, np.int64), *at]), np.concatenate([np.zeros(0, np.uint64), *found])
+        at, found = np.concatenate(at), np.concatenate(found)
+        order = np.argsort(at, kind="stable")
+        return at[order], found[order]
 
 
 def smith_waterman(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -162,8 +145,10 @@ def count_runs(docs: DataFrame, items: Items) -> dict[int, int]:
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            each = [np.unique(items.hits(word_ids(t))[1]) for t in b.column(1).to_pylist()]
-            run, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *each]), return_counts=True)
+            words, ids = words_of(b.column(1))
+            at, found = items.hits(words, ids)
+            pairs = np.unique(np.stack([words.row[at].astype(np.uint64), found]), axis=1)
+            run, n = np.unique(pairs[1], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(run.view(np.int64)), pa.array(n)], names=["run", "n"])
 
     made = docs.mapInArrow(task, "run long, n long").groupBy("run").agg(F.sum("n").alias("n"))
@@ -174,24 +159,25 @@ def align(docs: DataFrame, items: Items, threshold: float) -> DataFrame:
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
-            for row, text in zip(
-                zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True), b.column(1).to_pylist(), strict=True
-            ):
-                ids = word_ids(text)
-                at, found = items.hits(ids)
-                if not len(at):
-                    continue
+            rows = list(zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True))
+            words, every = words_of(b.column(1))
+            all_at, all_found = items.hits(words, every)
+            bounds = np.searchsorted(words.row[all_at], np.arange(words.rows + 1))
+            for r in np.flatnonzero(np.diff(bounds)):
+                row, own = rows[r], slice(bounds[r], bounds[r + 1])
+                ids = every[words.first[r] : words.first[r + 1]]
+                at, found = all_at[own] - words.first[r], all_found[own]
                 lo = np.searchsorted(items.run, found, "left")
                 n = np.searchsorted(items.run, found, "right") - lo
                 which = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
                 item, place = items.item[which], np.repeat(at, n)
                 for k in np.unique(item):
-                    words = items.words[k]
+                    target = items.words[k]
                     best = (0, 0, 0)
-                    for a, z in stretches(place[item == k], len(words), len(ids)):
-                        score, end = smith_waterman(words, ids[a:z])
+                    for a, z in stretches(place[item == k], len(target), len(ids)):
+                        score, end = smith_waterman(target, ids[a:z])
                         best = max(best, (score, -a, a + end))
-                    score = best[0] / (MATCH * len(words))
+                    score = best[0] / (MATCH * len(target))
                     if score >= threshold:
                         out.append((*row, items.ids[k], score, -best[1], best[2]))
             if out:
@@ -208,7 +194,7 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[t
     words = 0
     rows = items.selectExpr(f"cast(`{id_col}` as bigint) item_id", f"cast(`{text_col}` as string) text")
     for r in rows.toLocalIterator():
-        n = len(WORD.findall(r.text or ""))
+        n = len(word_ids(r.text))
         if block and (len(block) >= BLOCK_ITEMS or words + n > BLOCK_WORDS):
             yield block
             block, words = [], 0

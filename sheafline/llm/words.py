@@ -12,6 +12,9 @@ import pyarrow.compute as pc
 
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
+#: For words that are runs of ASCII letters and digits and of any other characters that aren't ASCII.
+MARKS = np.ones(256, bool)
+MARKS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -48,10 +51,10 @@ def buffer_of(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarra
 class Words:
     """Words of a column: start and end in bytes, row, and the words before each row."""
 
-    def __init__(self, column, lower: bool = False):
+    def __init__(self, column, lower: bool = False, separator: np.ndarray = SEPARATOR):
         data, self.bounds = buffer_of(column)
         self.data = LOWER[data] if lower else data
-        inside = ~SEPARATOR[data]
+        inside = ~separator[data]
         edge = np.zeros(len(data) + 1, bool)
         edge[self.bounds] = True
         before = np.empty(len(data), bool)
