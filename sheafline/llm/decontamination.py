@@ -1,11 +1,13 @@
-"""Benchmark decontamination: rare seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: seeds, then Smith-Waterman alignment.
 
-A seed is a run of `SEED` words of a test item. How many training texts hold each run of the
-test items is counted over all texts; of each item the rarer half of its runs are its
-seeds (ties by hash, so an item always has some, however often it was copied). Where a text
-holds a seed, the words around it are aligned with the whole item by Smith-Waterman. The score
-is the best local alignment's, over that of a perfect copy, so edited, shortened and
-padded copies score by what they share with the item.
+A seed is a run of `SEED` words of a test item; all runs of an item are its seeds, however many
+texts hold them. Where a text holds a seed, the words around it are aligned with the whole item by
+Smith-Waterman. The score is the best local alignment's, over that of a perfect copy, so edited,
+shortened and padded copies score by what they share with the item.
+
+Common seeds are made cheap without leaving any out: an alignment matches no more words than the item
+and the stretch have in common, so a stretch with too few of the item's words for the threshold isn't
+aligned.
 
 The test items are the small side: they are read in blocks of at most `BLOCK_ITEMS` and
 `BLOCK_WORDS` words, so what goes to the tasks is bounded, and each block looks at all
@@ -28,14 +30,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sheafline.llm import common
 from sheafline.llm.words import MARKS, Words, rolling
 
 SEED = 4
-#: A seed is in at most so many times as many texts as the middle run of its item.
-RARE = 16
 #: Share of a perfect copy's alignment score from which a text counts as contaminated.
 THRESHOLD = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -68,26 +67,17 @@ class Items:
         order = np.argsort(self.run, kind="stable")
         self.run, self.item = self.run[order], self.item[order]
         self.sizes = sorted({min(seed, len(w)) for w in self.words if len(w)})
-        self._know()
-
-    def _know(self) -> None:
-        """The distinct runs, and a table of bits of their hashes that rules nearly all others out at once."""
+        #: The distinct runs, and a table of bits of their hashes that rules nearly all others out at once.
         self.known = np.unique(self.run)
         self.maybe = np.zeros(1 << 22, bool)
         self.maybe[(self.known & np.uint64(len(self.maybe) - 1)).astype(np.int64)] = True
+        self.vocabulary = [np.unique(w, return_counts=True) for w in self.words]
 
-    def keep_rare(self, counts: dict[int, int]) -> None:
-        """Keep the runs of each item that some text has and that are rare next to the item's others."""
-        df = np.array([counts.get(int(x), 0) for x in self.run.view(np.int64)], np.int64)
-        middle = np.zeros(len(self.ids))
-        order = np.lexsort((df, self.item))
-        order = order[df[order] > 0]
-        first = np.flatnonzero(np.diff(self.item[order], prepend=-1))
-        size = np.diff(np.append(first, len(order)))
-        middle[self.item[order][first]] = df[order][first + size // 2]
-        kept = (df > 0) & (df <= RARE * middle[self.item])
-        self.run, self.item = self.run[kept], self.item[kept]
-        self._know()
+    def shared(self, k: int, text: np.ndarray) -> int:
+        """How many words item k and the text have in common, each as often as both have it."""
+        known, times = self.vocabulary[k]
+        place = np.minimum(np.searchsorted(known, text), len(known) - 1)
+        return int(np.minimum(np.bincount(place[known[place] == text], minlength=len(known)), times).sum())
 
     def hits(self, words: Words, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The words of a column at which a known run begins, in order, and the runs."""
@@ -140,21 +130,6 @@ def stretches(at: np.ndarray, length: int, total: int) -> list[tuple[int, int]]:
     return out
 
 
-def count_runs(docs: DataFrame, items: Items) -> dict[int, int]:
-    """In how many texts each run of the block's items occurs; at most one row for each run."""
-
-    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            words, ids = words_of(b.column(1))
-            at, found = items.hits(words, ids)
-            pairs = np.unique(np.stack([words.row[at].astype(np.uint64), found]), axis=1)
-            run, n = np.unique(pairs[1], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(run.view(np.int64)), pa.array(n)], names=["run", "n"])
-
-    made = docs.mapInArrow(task, "run long, n long").groupBy("run").agg(F.sum("n").alias("n"))
-    return {r.run: r.n for r in made.collect()}
-
-
 def align(docs: DataFrame, items: Items, threshold: float) -> DataFrame:
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -175,6 +150,8 @@ def align(docs: DataFrame, items: Items, threshold: float) -> DataFrame:
                     target = items.words[k]
                     best = (0, 0, 0)
                     for a, z in stretches(place[item == k], len(target), len(ids)):
+                        if items.shared(k, ids[a:z]) / len(target) < threshold:
+                            continue
                         score, end = smith_waterman(target, ids[a:z])
                         best = max(best, (score, -a, a + end))
                     score = best[0] / (MATCH * len(target))
@@ -221,9 +198,7 @@ def contaminated(
     rows = common.marked(docs, id_col, text_col)
     out = None
     for block in item_blocks(items, item_id_col, item_text_col):
-        known = Items(block, seed)
-        known.keep_rare(count_runs(rows, known))
-        found = align(rows, known, threshold)
+        found = align(rows, Items(block, seed), threshold)
         out = found if out is None else out.unionByName(found)
     return out if out is not None else spark.createDataFrame([], FOUND)
 

@@ -58,6 +58,22 @@ def test_an_item_that_most_texts_hold_is_found_in_all(table, items):
     assert {r.doc_id for r in d.contaminated(table(rows), items).collect()} == set(range(50))
 
 
+@pytest.mark.parametrize("edited", [18, 300])
+def test_one_exact_copy_hides_no_group_of_equal_edits(table, items, edited):
+    words = [f"item7word{i}" for i in range(40)]
+    copy = " ".join(w if i % 6 else "changed" for i, w in enumerate(words))
+    rows = [(0, " ".join(words))] + [(i, f"{copy} and {i}") for i in range(1, edited + 1)] + [(999, "clean")]
+    assert {r.doc_id for r in d.contaminated(table(rows), items).collect()} == set(range(edited + 1))
+
+
+def test_the_bound_rules_out_no_alignment(rng):
+    for _ in range(60):
+        text = np.array([rng.randrange(6) for _ in range(rng.randrange(1, 40))], np.uint64)
+        known = d.Items([(1, " ".join(f"w{rng.randrange(6)}" for _ in range(rng.randrange(1, 25))))], d.SEED)
+        text = known.words[0][text.astype(np.int64) % len(known.words[0])]
+        assert plain_smith_waterman(known.words[0], text) <= d.MATCH * known.shared(0, text)
+
+
 def test_blocks_of_items_give_the_same(table, items, monkeypatch):
     rows = [(k, " ".join(f"item{k}word{i}" for i in range(40))) for k in range(30)]
     whole = sorted(map(str, d.contaminated(table(rows), items).collect()))
