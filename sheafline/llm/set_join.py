@@ -154,22 +154,29 @@ def with_pivots(entries: DataFrame) -> DataFrame:
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(set, shingles) of the wanted (doc_id, set), out of the texts once more."""
+    """(set, shingles) of the wanted (doc_id, mark, set), out of the texts once more; a null doc_id is one of its own."""
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for b in batches:
-            out = list(shingle_sets(b.column(1), size))
+            new = [i for i, want in enumerate(b.column(0).to_pylist()) if want not in seen]
+            b = b.take(pa.array(new, pa.int64()))
+            key, out = [], []
+            for want, s in zip(b.column(0).to_pylist(), shingle_sets(b.column(1), size), strict=True):
+                if want not in seen and want == digest_of(s):
+                    seen.add(want)
+                    key.append(want)
+                    out.append(s)
             flat = np.concatenate([np.zeros(0, np.uint64), *out]).view(np.int64)
-            key = pa.array([digest_of(s) for s in out], pa.int64())
-            want = b.column(0)
-            part = [want, key, lists(flat, np.array([len(s) for s in out], np.int64), pa.int64())]
-            yield pa.RecordBatch.from_arrays(part, names=["want", "set", "shingles"])
-
-    rows = docs.selectExpr(f"cast(`{id_col}` as bigint) doc_id", f"cast(`{text_col}` as string) text")
-    found = rows.join(wanted.select("doc_id", F.col("set").alias("want")), "doc_id").select("want", "text")
-    made = found.mapInArrow(task, "want long, set long, shingles array<long>")
-    # Rows that repeat an identifier may bring other sets, or the same one again.
-    made = common.stage(made.filter("want = set").select("set", "shingles"), "shingles")
+            part = [pa.array(key, pa.int64()), lists(flat, np.array([len(s) for s in out], np.int64), pa.int64())]
+            yield pa.RecordBatch.from_arrays(part, names=["set", "shingles"])
+
+    rows = common.marked(docs, id_col, text_col)
+    want = wanted.select(F.col("doc_id").alias("of_id"), F.col("mark").alias("of_mark"), F.col("set").alias("want"))
+    same = (F.col("mark") == F.col("of_mark")) & F.col("doc_id").eqNullSafe(F.col("of_id"))
+    made = rows.join(want, same).select("want", "text").mapInArrow(task, "set long, shingles array<long>")
+    # Several rows may hold the text, in tasks of their own.
+    made = common.stage(made, "shingles")
     repeated = made.groupBy("set").count().filter("count > 1")
     return made if repeated.isEmpty() else common.stage(made.dropDuplicates(["set"]), "shingles")
 
@@ -346,7 +353,9 @@ def classes_of(
     entries = common.stage(index_entries(whole, percent), "entries")
     sets = common.stage(whole.select("doc_id", "mark", "n", "set"), "sets")
     common.unstage(whole)
-    names = sets.filter("n > 0").groupBy("set").agg(F.min("doc_id").alias("doc_id"))
+    # A set's name is its smallest doc_id and a text of that row; null if only rows without an identifier have the set.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")).alias("first")
+    names = sets.filter("n > 0").groupBy("set").agg(first).select("set", "first.doc_id", "first.mark")
 
     index = common.stage(with_pivots(entries), "index")
     pairs = common.stage(index.filter("pivot <> set").select("pivot", "set").distinct(), "pairs")

@@ -79,6 +79,15 @@ def test_links_away_from_the_pivot(table, rng):
     assert told(set_join.classes_of(table(rows))) == brute(rows)
 
 
+def test_pivots_and_bridges_without_an_identifier(table, rng):
+    """Most of each group, so also pivots, and every other link of a chain have a null doc_id."""
+    group = [(i if k % 4 == 0 else None, t) for k, (i, t) in enumerate(near_copies(rng, 8, 12, 2))]
+    words = [f"c{i}" for i in range(400)]
+    chain = [(1000 + i if i % 2 == 0 else None, " ".join(words[i * 15 : i * 15 + 200])) for i in range(12)]
+    rows = group + chain + [(None, group[1][1])] * 5
+    assert told(set_join.classes_of(table(rows))) == brute(rows)
+
+
 def test_odd_rows(table, odd_rows):
     assert told(set_join.classes_of(table(odd_rows))) == brute(odd_rows)
 
