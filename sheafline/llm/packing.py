@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import json
 import re
 import zlib
 from collections.abc import Iterable, Iterator
@@ -59,6 +60,9 @@ class Ids(dict):
 class Encoder:
     """Byte-level BPE of `ranks` (a file of base64 tokens and their ids), exactly as on the whole text.
 
+    `added` are tokens with ids of their own that texts may hold: a text is cut at them, and each part
+    between is encoded by itself.
+
     The vocabulary's pattern starts a new part at a blank that follows anything but white space,
     so a text without two white-space characters in a row is encoded word by word.
     """
@@ -67,7 +71,7 @@ class Encoder:
     #: Texts above this are encoded in steps, so that their words are never all in memory as objects.
     STEP = 1 << 20
 
-    def __init__(self, ranks: str, pattern: str):
+    def __init__(self, ranks: str, pattern: str, added: tuple[tuple[str, int], ...] = ()):
         import tiktoken
 
         with open(ranks, "rb") as lines:
@@ -76,6 +80,10 @@ class Encoder:
             "ranks", pat_str=pattern, mergeable_ranks=known, special_tokens={}
         ).encode_ordinary
         self.first, self.later = Ids(self.encode), Ids(self.encode, " ")
+        self.added = {token: np.array([i], "<u4").tobytes() for token, i in added}
+        # Of tokens that begin alike, the longest.
+        longest = sorted(self.added, key=len, reverse=True)
+        self.cut = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if added else None
 
     def _steps(self, text: str) -> Iterator[str]:
         """Parts that begin at a blank between two other characters: the pattern never crosses that."""
@@ -94,6 +102,11 @@ class Encoder:
         yield text[at:] if at else text
 
     def __call__(self, text: str) -> bytes:
+        if self.cut is None or not self.cut.search(text):
+            return self._plain(text)
+        return b"".join(self.added.get(part) or self._plain(part) for part in self.cut.split(text) if part)
+
+    def _plain(self, text: str) -> bytes:
         out = []
         for part in self._steps(text):
             if self.DOUBLE.search(part):
@@ -105,14 +118,14 @@ class Encoder:
         return b"".join(out)
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
+_ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(ranks: str, pattern: str) -> Encoder:
+def encoder(ranks: str, pattern: str, added: tuple[tuple[str, int], ...] = ()) -> Encoder:
     """One for each worker process, as it remembers words."""
-    if (ranks, pattern) not in _ENCODERS:
-        _ENCODERS[ranks, pattern] = Encoder(ranks, pattern)
-    return _ENCODERS[ranks, pattern]
+    if (ranks, pattern, added) not in _ENCODERS:
+        _ENCODERS[ranks, pattern, added] = Encoder(ranks, pattern, added)
+    return _ENCODERS[ranks, pattern, added]
 
 
 def differencing(sizes: np.ndarray, k: int) -> list[list[int]]:
@@ -199,6 +212,7 @@ def pack(
     docs: DataFrame,
     ranks: str,
     pattern: str,
+    added: tuple[tuple[str, int], ...] = (),
     end_id: int = 0,
     capacity: int = CAPACITY,
     group_windows: int = GROUP_WINDOWS,
@@ -216,7 +230,7 @@ def pack(
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode = encoder(ranks, pattern)
+        encode = encoder(ranks, pattern, added)
         packer = Packer(capacity, group_windows, TaskContext.get().partitionId() << 40)
 
         def batch(rows):
@@ -236,11 +250,14 @@ def pack(
     return rows.mapInArrow(task, SCHEMA)
 
 
-def vocabulary() -> tuple[str, str]:
-    """The 50k byte-level vocabulary of the public tokenizers, as ranks, and its pattern."""
+def vocabulary() -> tuple[str, str, tuple[tuple[str, int], ...]]:
+    """The 50k byte-level vocabulary of the public tokenizers, as ranks, its pattern, and its added tokens, which the
+    ranks lack."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        added = tuple((t["content"], t["id"]) for t in json.load(file)["added_tokens"])
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, added
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

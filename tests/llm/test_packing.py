@@ -29,6 +29,18 @@ def test_encoder_equals_the_tokenizer(tokenizer, monkeypatch, rng):
         assert np.frombuffer(encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_added_tokens_equal_the_tokenizer(tokenizer, monkeypatch, rng):
+    encode = packing.encoder(*packing.vocabulary())
+    assert np.frombuffer(encode("a <|endoftext|> b"), "<u4").tolist() == [64, 220, 50256, 275]
+    end = "<|endoftext|>"
+    texts = [end, f"a{end}b", f"a {end}b", f"a{end} b", f" {end}  {end} ", end + end, f"\n{end}\n\n", f"<|{end}|>", f"é{end}🙂"]
+    texts += ["".join(rng.choice([" ", "\n", "ab", end, "  ", end[:-1], "1"]) for _ in range(30)) for _ in range(200)]
+    for step in (packing.Encoder.STEP, 7):
+        monkeypatch.setattr(packing.Encoder, "STEP", step)
+        for text in texts:
+            assert np.frombuffer(encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def test_pieces_put_every_document_together_again(table, tokenizer, rng):
     rows = [(i, " ".join(f"word{rng.randrange(99)}" for _ in range(rng.randrange(2000)))) for i in range(60)]
     rows += [(100 + i, t) for i, t in enumerate(ODD)] + [(200, None), (None, "no id"), (0, rows[0][1])]
