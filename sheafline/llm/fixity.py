@@ -8,6 +8,7 @@ The files' roots, in order of the files, are the leaves of one tree above.
 An audit compares the roots of two replicas and goes down only below nodes that differ;
 where everything is as it should be, that is one comparison. The nodes of all levels are
 small tables, staged by level, so an audit reads the bytes once for each replica and doesn't shuffle them.
+Trees of unequal depth are made equally deep first: above a root of the shallower one come nodes with one child.
 
 Nulls and odd input: null bytes are other than empty ones; a record without file or offset has no place
 in a tree and is left out; records of one file that repeat an offset are told apart
@@ -61,13 +62,16 @@ def levels(bottom: DataFrame, keys: list[str], fan: int, name: str) -> list[Data
     return out
 
 
-class Tree:
-    """The levels of all files and, above them, those of the files' roots."""
+def equally_deep(a: list[DataFrame], b: list[DataFrame], keys: list[str], fan: int, name: str) -> None:
+    """Put nodes with one child above the roots of the shallower of two trees, until it is as deep as the other."""
+    shallow, depth = min(a, b, key=len), max(len(a), len(b))
+    while len(shallow) < depth:
+        shallow.append(common.stage(parents(shallow[-1], keys, fan), name))
 
-    def __init__(self, records: DataFrame, fan: int = FAN):
-        self.files = levels(leaves(records), ["file"], fan, "file-tree")
-        roots = self.files[-1].select(F.lit(0).alias("all"), F.col("file").alias("node"), "digest", "first", "last")
-        self.above = levels(roots, ["all"], fan, "tree")
+
+def roots_of(files: list[DataFrame]) -> DataFrame:
+    """The roots of all files as leaves of the tree above."""
+    return files[-1].select(F.lit(0).alias("all"), F.col("file").alias("node"), "digest", "first", "last")
 
 
 def differing(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
@@ -79,15 +83,13 @@ def differing(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
 
 def descend(a: list[DataFrame], b: list[DataFrame], keys: list[str], start: DataFrame | None, fan: int) -> DataFrame:
     """The bottom nodes that differ. `start` names the keys to look at (None: all); each level looks only
-    at children of the nodes found above."""
-    depth = max(len(a), len(b))
+    at children of the nodes found above. The trees are equally deep."""
     wanted, node_keys = start, keys
     found = None
-    for level in reversed(range(depth)):
-        # A tree that ends lower has no such level: its top stands in for it only there.
+    for level in reversed(range(len(a))):
         sides = []
         for tree in (a, b):
-            nodes = tree[level] if level < len(tree) else tree[-1].limit(0)
+            nodes = tree[level]
             if wanted is not None:
                 on = [F.expr(f"node div {fan}") if k == "node" else F.col(k) for k in node_keys]
                 nodes = nodes.withColumns({f"__{k}": c for k, c in zip(node_keys, on, strict=True)})
@@ -102,9 +104,13 @@ def descend(a: list[DataFrame], b: list[DataFrame], keys: list[str], start: Data
 def audit(a: DataFrame, b: DataFrame, fan: int = FAN) -> DataFrame:
     """(file, first_a, last_a, first_b, last_b, digest_a, digest_b) of each place, by order in its file, at which the
     replicas (file, offset, bytes) differ; nulls where a replica has no record there."""
-    one, two = Tree(a, fan), Tree(b, fan)
-    files = descend(one.above, two.above, ["all"], None, fan).select(F.col("node").alias("file"))
-    return descend(one.files, two.files, ["file"], files, fan)
+    one, two = (levels(leaves(records), ["file"], fan, "file-tree") for records in (a, b))
+    equally_deep(one, two, ["file"], fan, "file-tree")
+    # The trees above the files' roots.
+    top_one, top_two = (levels(roots_of(files), ["all"], fan, "tree") for files in (one, two))
+    equally_deep(top_one, top_two, ["all"], fan, "tree")
+    files = descend(top_one, top_two, ["all"], None, fan).select(F.col("node").alias("file"))
+    return descend(one, two, ["file"], files, fan)
 
 
 def archive(pages: DataFrame, body: Column) -> DataFrame:

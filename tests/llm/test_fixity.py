@@ -49,6 +49,15 @@ def test_missing_records_files_and_replicas(spark, rng):
     assert fixity.audit(table(spark, []), table(spark, [])).count() == 0
 
 
+def test_missing_files_beside_a_file_that_was_cut(spark):
+    """The replicas' trees differ in depth, and each way round a file is only in the shallower one."""
+    deep = [(1, i, b"%d" % i) for i in range(300)] + [(5, 0, b"alike")]
+    shallow = deep[:200] + [(2, i, b"two") for i in range(3)] + [(400, 0, b"far")] + deep[300:]
+    want = {r[:2] for r in deep} ^ {r[:2] for r in shallow}
+    assert places(fixity.audit(table(spark, deep), table(spark, shallow))) == want
+    assert places(fixity.audit(table(spark, shallow), table(spark, deep))) == want
+
+
 def test_odd_records(spark):
     a = [(None, 0, b"x"), (0, None, b"x"), (0, 0, None), (0, 5, b""), (0, 9, b"a"), (0, 9, b"b"), (0, 10, b"z" * 100_000)]
     assert fixity.audit(table(spark, a), table(spark, a)).count() == 0
