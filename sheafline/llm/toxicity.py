@@ -1,8 +1,8 @@
 """Toxicity behind disguised spelling: noisy-channel decoding, then a score of the restored text.
 
 A disguised word is a lattice: a sign that stands for letters (0, 1, 3, @, $ ...) may be each
-of them or itself, a letter that stands three times or more is once or twice, and letters that stand
-alone may be one word. Viterbi finds the best path under a character language model
+of them or itself, a letter that stands three times or more is once or twice, and each separator
+between letters that stand alone joins them or is an edge of a word. Viterbi finds the best path under a character language model
 (four letters, counts of all documents) and the price of each disguise. Only words that
 could be disguised have a lattice; all others are their own only path.
 
@@ -38,6 +38,8 @@ STANDS_FOR = {
 
 #: Natural logs of what a disguise costs.
 PRICE_SIGN, PRICE_REPEAT = -2.0, -1.0
+#: And what a word edge costs at a separator between single letters, where it is as short as the run's shortest.
+PRICE_EDGE = -1.0
 #: Letters of the language model: a to z, an edge of a word, and any other letter.
 EDGE, OTHER, LETTERS = 26, 27, 28
 ORDER = 4
@@ -157,11 +159,64 @@ def viterbi(word: str, model: LanguageModel) -> str:
     return max(ends.values())[1]
 
 
+SEPARATOR = re.compile(r"[\x20.\-_]+")
+
+
+def spaced(run: str, model: LanguageModel) -> list[str]:
+    """The words of the best reading of a run of single letters: each separator joins its letters or is a word's edge.
+
+    A part is one, two, or three and more equal letters that are joined, with the choices of `lattice`; parts of equal
+    letters meet at edges only. States are the last three letters, and how a part of three goes on: not (0),
+    without a trace (1), or as it stands (2).
+    """
+    log = model.log
+    letters, gaps = SEPARATOR.split(run), [len(g) for g in SEPARATOR.findall(run)]
+    edge_price = [PRICE_EDGE if g == min(gaps) else 0.0 for g in gaps]
+    # Texts are linked backwards, as (text before, piece).
+    best: list[dict[tuple, tuple]] = [{} for _ in range(len(letters) + 1)]
+    best[0][EDGE, EDGE, EDGE, 0] = (0.0, None)
+
+    def put(at: int, state: tuple, score: float, text: tuple | None, piece: str, goes_on: int) -> None:
+        s = state
+        for ch in piece:
+            k = letter(ch)
+            score += float(log[s[0], s[1], s[2], k])
+            s = (s[1], s[2], k)
+        key = (*s, goes_on)
+        if key not in best[at] or score > best[at][key][0]:
+            best[at][key] = (score, (text, piece) if piece else text)
+
+    for i, c in enumerate(letters):
+        longest = next((n for n in (1, 2) if letters[i + n : i + n + 1] != [c]), 3)
+        parts = [(n, lattice(c * n)[0]) for n in range(1, longest + 1)]
+        for (*state, goes_on), (score, text) in best[i].items():
+            state = tuple(state)
+            ways = []
+            if i == 0 or c != letters[i - 1]:
+                ways.append((state, score, text))
+            elif goes_on:
+                put(i + 1, state, score, text, c if goes_on == 2 else "", goes_on)
+            if i:
+                end = score + float(log[(*state, EDGE)]) + edge_price[i - 1]
+                ways.append(((EDGE, EDGE, EDGE), end, (text, " ")))
+            for from_state, total, before in ways:
+                for n, choices in parts:
+                    for piece, price in choices:
+                        put(i + n, from_state, total + price, before, piece, (n > 2) + (piece == c * 3))
+        best[i] = {}
+    _, text = max(((v + float(log[s[0], s[1], s[2], EDGE]), t) for s, (v, t) in best[-1].items()), key=lambda x: x[0])
+    pieces = []
+    while text is not None:
+        text, piece = text
+        pieces.append(piece)
+    return "".join(reversed(pieces)).split(" ")
+
+
 class Restorer:
     """Restores texts; remembers words, as disguises repeat."""
 
     def __init__(self, model: LanguageModel):
-        self.model, self.known = model, {}
+        self.model, self.known, self.runs = model, {}, {}
 
     def word(self, word: str) -> str:
         found = self.known.get(word)
@@ -173,11 +228,21 @@ class Restorer:
             self.known[word] = found
         return found
 
+    def spaced(self, run: str) -> str:
+        """The words that a run of single letters makes; letters that stay alone are in the text already."""
+        found = self.runs.get(run)
+        if found is None:
+            if not any(c.isalpha() for c in run):
+                return self.word(SEPARATOR.sub("", run))
+            if len(self.runs) > 100_000:
+                self.runs.clear()
+            found = self.runs[run] = " ".join(w for w in spaced(run, self.model) if len(w) > 1)
+        return found
+
     def __call__(self, text: str) -> str:
         """The text in lower case; disguised words are put right, their readings in place."""
         text = text.lower()
-        # Stripes of spaced letters are one word.
-        extra = [self.word(re.sub(r"[\x20.\-_]", "", m.group())) for m in SPACED.finditer(text)]
+        extra = [words for m in SPACED.finditer(text) if (words := self.spaced(m.group()))]
         if HAS_SIGN.search(text) or REPEATED.search(text):
             text = PART.sub(
                 lambda m: self.word(m.group())

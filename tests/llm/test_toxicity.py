@@ -39,6 +39,42 @@ def test_disguises_are_put_right(model, disguised, word):
     assert word in toxicity.Restorer(model)(f"the {disguised} and").split()
 
 
+@pytest.mark.parametrize(
+    "text, words",
+    [("you are a s t u p i d person", ["stupid"]), ("an i d i o t l o s e r here", ["idiot", "loser"]),
+     ("m.o.r.o.n  t r 4 s h", ["moron", "trash"]), ("1 d 1 o t", ["idiot"]), ("s s s s c u m", ["scum"])],
+)
+def test_spaced_words_end_where_the_model_says(model, text, words):
+    found = toxicity.Restorer(model)(text).split()
+    assert all(w in found for w in words), found
+
+
+def test_spaced_equals_all_paths(model, rng):
+    """All ways to join or part the letters, each word then read by its own lattice."""
+    from itertools import product
+
+    def price(word):
+        log, s, total = model.log, (26, 26, 26), 0.0
+        for c in word:
+            total += float(log[(*s, toxicity.letter(c))])
+            s = (s[1], s[2], toxicity.letter(c))
+        return total + float(log[(*s, 26)])
+
+    def best_word(word):
+        paths = product(*toxicity.lattice(word))
+        return max((price("".join(t for t, _ in p)) + sum(x for _, x in p), "".join(t for t, _ in p)) for p in paths)
+
+    for _ in range(40):
+        letters = [rng.choice("aabe10$l") for _ in range(6)]
+        readings = []
+        for edges in product((False, True), repeat=5):
+            words = "".join(c + " " * e for c, e in zip(letters, (*edges, False), strict=True)).split(" ")
+            total = sum(best_word(w)[0] for w in words) + sum(edges) * toxicity.PRICE_EDGE
+            readings.append((total, [best_word(w)[1] for w in words]))
+        found = toxicity.spaced(" ".join(letters), model)
+        assert max(readings)[0] - max((t for t, w in readings if w == found), default=-1e9) < 1e-3
+
+
 def test_features_are_words_without_marks():
     row, plain = toxicity.features(["loser"])
     assert set(plain) <= set(toxicity.features(["(loser!), and"])[1])
