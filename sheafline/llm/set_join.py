@@ -136,17 +136,18 @@ def index_entries(sets: DataFrame, percent: int) -> DataFrame:
     return counted.unionByName(beyond)
 
 
-def blocks(entries: DataFrame) -> DataFrame:
-    """The lists cut by size: a set is in two blocks, and sets of sizes within a fifth of each other share one."""
-    level = F.floor(F.log(F.col("n")) / F.log(F.lit(1.26))).cast("int")
+def blocks(entries: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The lists cut by size: a set is in two blocks, and sets of sizes that a link allows share one."""
+    # A little above the most that linked sets' sizes differ by, so they are at most one level apart.
+    level = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent * 1.008))).cast("int")
     return entries.withColumn("block", F.explode(F.array(level, level - 1)))
 
 
-def with_pivots(entries: DataFrame) -> DataFrame:
+def with_pivots(entries: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Blocks of two or more sets, each row with the block's pivot: the set that stands in most lists, so that
     few sets are pivots of many blocks."""
     lists = entries.groupBy("set").agg(F.count(F.lit(1)).alias("lists"))
-    placed = blocks(entries.join(lists, "set"))
+    placed = blocks(entries.join(lists, "set"), percent)
     best = F.min(F.struct(-F.col("lists"), "n", "set")).alias("best")
     pivots = placed.groupBy("shingle", "block").agg(best, F.count(F.lit(1)).alias("sets")).filter("sets > 1")
     pivots = pivots.select("shingle", "block", F.col("best.set").alias("pivot"))
@@ -357,7 +358,7 @@ def classes_of(
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")).alias("first")
     names = sets.filter("n > 0").groupBy("set").agg(first).select("set", "first.doc_id", "first.mark")
 
-    index = common.stage(with_pivots(entries), "index")
+    index = common.stage(with_pivots(entries, percent), "index")
     pairs = common.stage(index.filter("pivot <> set").select("pivot", "set").distinct(), "pairs")
     nodes = pairs.select("set").union(pairs.select(F.col("pivot").alias("set"))).distinct()
     shingles = texts_of(docs, names.join(nodes, "set"), id_col, text_col, size)

@@ -14,7 +14,7 @@ def shingles(text, size=5):
     return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
 
 
-def brute(rows):
+def brute(rows, percent=80):
     sets = [shingles(t) for _, t in rows]
     root = list(range(len(rows)))
 
@@ -25,7 +25,7 @@ def brute(rows):
 
     for i, a in enumerate(sets):
         for j in range(i):
-            if a and sets[j] and 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
+            if a and sets[j] and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
                 root[find(i)] = find(j)
     low = lambda x: -1 if x is None else x
     out = []
@@ -88,6 +88,15 @@ def test_pivots_and_bridges_without_an_identifier(table, rng):
     assert told(set_join.classes_of(table(rows))) == brute(rows)
 
 
+@pytest.mark.parametrize("percent", [60, 70])
+def test_other_percents_equal_brute_force(table, rng, percent):
+    rows = near_copies(rng, 6, 6, 6)
+    for n, m in ((60, 85), (60, 99), (100, 142), (33, 47)):
+        words = [f"q{n}-{m}-{i}" for i in range(m + 4)]
+        rows += [(len(rows), " ".join(words[: n + 4])), (len(rows) + 1, " ".join(words))]
+    assert told(set_join.classes_of(table(rows), percent=percent)) == brute(rows, percent)
+
+
 def test_odd_rows(table, odd_rows):
     assert told(set_join.classes_of(table(odd_rows))) == brute(odd_rows)
 
