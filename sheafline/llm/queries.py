@@ -11,6 +11,7 @@ from sheafline.llm import (
     secret_links,
     set_join,
     toxicity,
+    wavelet,
     windows_dedup,
 )
 
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_packing": packing.op9_packing,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op12_wavelet_matrix": wavelet.op12_wavelet_matrix,
     "pipeline": corpus_pipeline.run,
 }
 
