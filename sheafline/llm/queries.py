@@ -2,6 +2,7 @@
 
 import corpus_pipeline
 from sheafline.llm import (
+    alignment,
     decontamination,
     exact_dedup,
     fixity,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_packing": packing.op9_packing,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_alignment": alignment.op11_alignment,
     "op12_wavelet_matrix": wavelet.op12_wavelet_matrix,
     "pipeline": corpus_pipeline.run,
 }
