@@ -202,8 +202,9 @@ def positions(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Chunk:
     """Documents numbered from 0, and the pairs that each holds."""
 
-    def __init__(self, number: int):
-        self.number, self.docs, self.now, self.merged, self.links = number, [], [], [], 0
+    def __init__(self, number: int, most_links: int = CHUNK_LINKS):
+        self.number, self.most_links = number, most_links
+        self.docs, self.now, self.merged, self.links = [], [], [], 0
 
     def add(self, row: tuple, pairs: np.ndarray) -> None:
         self.now.append(pairs << SHIFT | len(self.docs))
@@ -217,7 +218,7 @@ class Chunk:
             self.now = []
 
     def full(self) -> bool:
-        return len(self.docs) >= CHUNK or self.links >= CHUNK_LINKS
+        return len(self.docs) >= CHUNK or self.links >= self.most_links
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         self.merge()
@@ -263,7 +264,13 @@ def batch(n: int, columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(out, names=NAMES)
 
 
-def inverted(docs: DataFrame, files: tuple[str, str, str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def inverted(
+    docs: DataFrame,
+    files: tuple[str, str, str],
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    chunk_links: int = CHUNK_LINKS,
+) -> DataFrame:
     """Staged rows of two kinds: documents (`pair` is null) with their counts, and postings (`pos` is null)."""
     common.small_batches(docs.sparkSession)
 
@@ -271,7 +278,7 @@ def inverted(docs: DataFrame, files: tuple[str, str, str], id_col: str = "doc_id
         from pyspark import TaskContext
 
         known, none = parts_of(files), np.zeros(0, np.int64)
-        chunk = Chunk(TaskContext.get().partitionId() << 32)
+        chunk = Chunk(TaskContext.get().partitionId() << 32, chunk_links)
         for b in batches:
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 found = known.of_text(text) if text else None
@@ -282,7 +289,7 @@ def inverted(docs: DataFrame, files: tuple[str, str, str], id_col: str = "doc_id
                     chunk.add((doc_id, *counts.tolist(), len(pairs), digest), pairs)
                 if chunk.full():
                     yield from chunk.rows()
-                    chunk = Chunk(chunk.number + 1)
+                    chunk = Chunk(chunk.number + 1, chunk_links)
             chunk.merge()
         if chunk.docs:
             yield from chunk.rows()
@@ -346,10 +353,15 @@ def scores(rows: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def align(
-    docs: DataFrame, files: tuple[str, str, str], b_count: int, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    files: tuple[str, str, str],
+    b_count: int,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    chunk_links: int = CHUNK_LINKS,
 ) -> DataFrame:
     """A row for each document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
-    rows = inverted(docs, files, id_col, text_col)
+    rows = inverted(docs, files, id_col, text_col, chunk_links)
     of_doc = scores(rows, pair_counts(rows, b_count))
     of_docs = rows.filter("pair is null").select(*NAMES[:8])
     return of_docs.join(of_doc, ["chunk", "pos"], "left").select(

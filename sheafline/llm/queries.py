@@ -3,6 +3,7 @@
 import corpus_pipeline
 from sheafline.llm import (
     alignment,
+    conversations,
     decontamination,
     exact_dedup,
     fixity,
@@ -29,6 +30,7 @@ QUERIES = {
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     "op11_alignment": alignment.op11_alignment,
     "op12_wavelet_matrix": wavelet.op12_wavelet_matrix,
+    "op13_conversation_repair": conversations.op13_conversation_repair,
     "pipeline": corpus_pipeline.run,
 }
 

@@ -19,8 +19,9 @@ text is a segment of its own.
 from __future__ import annotations
 
 import os
+import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,8 @@ SEGMENT_IDS = 1 << 16
 SHARD_BYTES = 1 << 27
 #: Bits between two entries of a rank directory.
 STEP_BITS = 512
-#: Words whose ids a worker remembers.
-REMEMBERED = 400_000
+#: Words whose ids a worker remembers in each of two generations.
+REMEMBERED = 500_000
 
 SCHEMA = (
     "shard int, segment int, first long, n int, bits int, doc_ids array<long>, lengths array<int>, "
@@ -156,54 +157,61 @@ class Matrix:
         return out
 
 
-class WordIds(dict):
-    """Ids of what stands between blanks, as bytes, remembered; exactly as the tokenizer's on the whole text.
+class Remembered(dict):
+    """Ids of a word, as bytes; words met again go over from the older generation, so frequent ones stay."""
+
+    def __init__(self, encode: Callable[[str], list[int]], kind: type):
+        self.encode, self.kind, self.older = encode, kind, {}
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        out = self.older.get(word)
+        if out is None:
+            out = np.array(self.encode(word), self.kind).tobytes()
+        self[word] = out
+        return out
+
+
+class WordIds:
+    """Ids of a text as bytes, exactly the tokenizer's, word by word.
 
     For tokenizers that make nothing of white space but an edge between words, as the word-level vocabulary does.
-    Runs of letters that its lower-casing and composing leave as they are go straight to its merges; a full stop or
-    comma behind such a letter is a word of its own, a capital A to Z in front counts as the small letter.
+    Texts of Latin-1 alone, which composing leaves as they are, are lower-cased and cut by its pattern here, and the words
+    go straight to its merges. Of all others, and of those that may hold a special token, what stands between
+    blanks goes through the whole tokenizer.
     """
 
-    KEPT = {chr(c) for c in [*range(0x61, 0x7B), *range(0xDF, 0x180)] if chr(c).islower() and chr(c) == chr(c).lower()}
-    KEPT -= {"ŉ", "ſ"}
+    LETTERS = "a-zª\xb5ºß-öø-ÿ"
+    NUMBERS = "0-9²³¹¼½¾"
+    WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\\x09-\\x0d \\x85\\xa0{LETTERS}{NUMBERS}]+")
 
     def __init__(self, file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(file)
-        self.bits = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
+        tokenizer = Tokenizer.from_file(file)
+        self.bits = max(1, (tokenizer.get_vocab_size() - 1).bit_length())
         self.kind = np.uint16 if self.bits <= 16 else np.uint32
-        self.model = self.tokenizer.model
         # The sign that stands for each byte, asked of the library's own byte-level step.
         signs = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.signs = {c: signs.pre_tokenize_str(c)[0][0] for c in self.KEPT}
-        self.letters = frozenset(self.KEPT)
-        self.table = str.maketrans(self.signs)
-        self[""] = b""
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-            self[""] = b""
-        last = word[-1]
-        if (last == "." or last == ",") and word[-2:-1] in self.letters:
-            out = self[word[:-1]] + self[last]
-        elif "A" <= word[0] <= "Z":
-            out = self[word[0].lower() + word[1:]]
-        else:
-            if self.letters.issuperset(word):
-                ids = [t.id for t in self.model.tokenize(word.translate(self.table))]
-            else:
-                ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-            out = np.array(ids, self.kind).tobytes()
-        self[word] = out
-        return out
+        table = str.maketrans({chr(c): signs.pre_tokenize_str(chr(c))[0][0] for c in range(256)})
+        merges = tokenizer.model.tokenize
+        self.words = Remembered(lambda word: [t.id for t in merges(word.translate(table))], self.kind)
+        self.parts = Remembered(lambda part: tokenizer.encode(part, add_special_tokens=False).ids, self.kind)
 
     def of_text(self, text: str) -> bytes:
+        try:
+            text.encode("latin-1")
+            plain = "<|" not in text
+        except UnicodeEncodeError:
+            plain = False
+        if plain:
+            return b"".join(map(self.words.__getitem__, self.WORDS.findall(text.lower())))
         # U+0009, U+000A and U+000D are white space to every pattern, as the blank is.
-        plain = text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
-        return b"".join(map(self.__getitem__, plain.split(" ")))
+        parts = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        return b"".join(map(self.parts.__getitem__, parts))
 
 
 _KNOWN: dict[str, WordIds] = {}

@@ -83,10 +83,9 @@ def test_query_equals_brute_force(spark, libraries):
     assert told(alignment.op11_alignment(spark, SMALL)) == brute(libraries, rows)
 
 
-def test_odd_rows_in_small_chunks(table, odd_rows, libraries, monkeypatch):
+def test_odd_rows_in_small_chunks(table, odd_rows, libraries):
     rows = odd_rows + [(100 + i, t) for i, t in enumerate(ODD)]
-    monkeypatch.setattr(alignment, "CHUNK_LINKS", 40)
-    assert told(alignment.align(table(rows), *alignment.vocabularies())) == brute(libraries, rows)
+    assert told(alignment.align(table(rows), *alignment.vocabularies(), chunk_links=40)) == brute(libraries, rows)
 
 
 def test_common_pair_in_plain_bits(table, libraries):
