@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sheafline.functions import paths
-from sheafline.operators import hotkeys
+from sheafline.operators import numbering
 
 ARRIVAL = ["source_file", "file_modified_at", "file_size_bytes"]
 LEDGER = ["source_file", "source_file_name", "file_size_bytes", "file_modified_at", "ingested_at"]
@@ -34,20 +34,20 @@ def ledger_increment(found: DataFrame, ledger: DataFrame) -> DataFrame:
 def document_versions(
     ledger: DataFrame,
     ties: Sequence[str] = (),
-    hot_rows: int = hotkeys.HOT_ROWS,
-    slice_bits: int = hotkeys.SLICE_BITS,
+    range_bits: int | None = None,
+    copies_per_block: int = numbering.COPIES_PER_BLOCK,
 ) -> DataFrame:
     """Number the arrivals of every file by time, with the total and a flag on
     the latest. Equal times are ordered by size, then by ``ties``."""
     order = ["file_modified_at", "ingested_at", "file_size_bytes", *ties]
-    numbered = hotkeys.number_rows(
+    numbered = numbering.number_rows(
         ledger.select(*LEDGER, *ties),
         "source_file",
         order,
         "version_number",
         "total_versions",
-        hot_rows,
-        slice_bits,
+        range_bits,
+        copies_per_block,
     )
     return numbered.select(
         *LEDGER,

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from sheafline.operators import hotkeys, ledger
+from sheafline.operators import ledger, numbering
 
 DAY = dt.datetime(2024, 1, 1)
 SCHEMA = "source_file string, source_file_name string, file_size_bytes bigint, file_modified_at timestamp, ingested_at timestamp"
@@ -44,50 +44,62 @@ def as_set(df):
     return {tuple(r) for r in got}
 
 
-@pytest.mark.parametrize("hot_rows,bits", [(10**9, 9), (500, 3), (500, 9), (5, 2)])
-def test_versions_are_the_same_however_keys_are_split(spark, hot_rows, bits):
+@pytest.mark.parametrize("bits", [None, 9, 3, 0])
+def test_versions_are_the_same_however_rows_are_cut(spark, bits):
     rows = crowded_rows()
-    got = ledger.document_versions(arrivals(spark, rows), hot_rows=hot_rows, slice_bits=bits)
-    assert as_set(got) == brute(rows)
+    assert as_set(ledger.document_versions(arrivals(spark, rows), range_bits=bits)) == brute(rows)
 
 
-def test_hot_key_is_spread_evenly(spark):
-    """Also when all its rows are of one moment and differ in a later column only."""
-    df = arrivals(spark, [("hot", n, 7, 0) for n in range(4000)])
+def test_crowd_without_a_name_is_one_file(spark):
+    rows = [(None, n, n % 7, 0) for n in range(2000)] + [("a", 1, 1, 1), ("b", 1, 1, 1)]
+    assert as_set(ledger.document_versions(arrivals(spark, rows), range_bits=4)) == brute(rows)
+
+
+def test_ranges_are_even_also_inside_one_file(spark):
+    """Nine rows of ten are one file's, all of one moment; they differ in a later column only."""
+    rows = [("hot", n, 7, 0) for n in range(9000)] + [(f"f{n}", n, n, n) for n in range(1000)]
+    df = arrivals(spark, rows)
     order = ["file_modified_at", "ingested_at", "file_size_bytes"]
-    shares = spark.createDataFrame([("hot", 500_000)], "source_file string, _share bigint")
-    placed = df.withColumn("_at", F.struct(*order))
-    splits = hotkeys._splits(placed.select("source_file", "_at"), "source_file", shares, 16)
-    sliced = placed.join(splits, "source_file").select(
-        hotkeys._count_below(F.col("_splits"), F.col("_at"), 4).alias("slice"))
-    sizes = [r["count"] for r in sliced.groupBy("slice").count().collect()]
-    assert len(sizes) == 16 and max(sizes) < 400
-    numbered = hotkeys._number_sliced(df, "source_file", order, shares, 4, "n", "t")
-    assert [r.n for r in numbered.orderBy("file_size_bytes").collect()] == list(range(1, 4001))
+    counted = numbering._counted(df, numbering.COPIES_PER_BLOCK)
+    placed = numbering._with_ranges(counted, "source_file", order, df.columns, 4)
+    sizes = [r["count"] for r in placed.groupBy("_range").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 10_000 / 16
+    hot = {r["_range"] for r in placed.where("source_file = 'hot'").select("_range").distinct().collect()}
+    assert len(hot) >= 14
+    assert numbering._earlier(placed, "source_file").count() <= 2 * 16
+    assert as_set(ledger.document_versions(df, range_bits=4)) == brute(rows)
+
+
+def test_window_is_dealt_by_range_and_file(spark):
+    plan = ledger.document_versions(arrivals(spark, crowded_rows()))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_range" in plan
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 @pytest.mark.parametrize("block", [10_000, 7])
-def test_exact_copies_are_all_kept(spark, block, monkeypatch):
-    monkeypatch.setattr(hotkeys, "COPIES_PER_BLOCK", block)
+def test_exact_copies_are_all_kept(spark, block):
     rows = [("hot", 1, 5, 0)] * 500 + [("hot", 2, 5, 0)] * 3 + [("hot", 1, 4, 0)]
-    got = ledger.document_versions(arrivals(spark, rows), hot_rows=100, slice_bits=2)
+    got = ledger.document_versions(arrivals(spark, rows), range_bits=2, copies_per_block=block)
     pairs = sorted((r.version_number, r.file_size_bytes, r.total_versions) for r in got.collect())
     assert pairs == [(n, 2 if 501 < n else 1, 504) for n in range(1, 505)]
 
 
+def test_many_copies_of_one_row_are_many_rows_to_deal(spark):
+    df = arrivals(spark, [("hot", 1, 5, 0)] * 4000)
+    order = ["file_modified_at", "ingested_at", "file_size_bytes"]
+    placed = numbering._with_ranges(numbering._counted(df, 10), "source_file", order, df.columns, 3)
+    assert placed.select("_range").distinct().count() == 8
+    assert placed.agg(F.sum("_copies")).first()[0] == 4000
+
+
 def test_binary_search(spark):
-    splits = F.array(*[F.lit(x) for x in (10, 20, 20)])
+    cuts = F.array(*[F.lit(x) for x in (10, 20, 20)])
     below = spark.createDataFrame([(5,), (10,), (11,), (20,), (31,)], "at int").coalesce(1).select(
-        hotkeys._count_below(splits, F.col("at"), 2).alias("n")
+        numbering._count_below(cuts, F.col("at"), 2).alias("n")
     )
     assert [r.n for r in below.collect()] == [0, 0, 1, 1, 3]
 
 
-def test_hot_keys_finds_the_large_ones(spark):
-    df = arrivals(spark, [("a", n, n, n) for n in range(300)] + [(f"f{n}", 1, 1, 1) for n in range(500)])
-    assert [r[0] for r in hotkeys.hot_keys(df, "source_file", 100).collect()] == ["a"]
-
-
 def test_latest_equals_flagged_versions(spark):
     rows = [r for r in crowded_rows(8) if r[0] is not None]
     df = arrivals(spark, rows)
