@@ -21,6 +21,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -160,7 +161,7 @@ class Matrix:
 class Remembered(dict):
     """Ids of a word, as bytes; words met again go over from the older generation, so frequent ones stay."""
 
-    def __init__(self, encode: Callable[[str], list[int]], kind: type):
+    def __init__(self, encode: Callable[[str], list[int]], kind: str):
         self.encode, self.kind, self.older = encode, kind, {}
 
     def __missing__(self, word: str) -> bytes:
@@ -169,7 +170,7 @@ class Remembered(dict):
             self.clear()
         out = self.older.get(word)
         if out is None:
-            out = np.array(self.encode(word), self.kind).tobytes()
+            out = array(self.kind, self.encode(word)).tobytes()
         self[word] = out
         return out
 
@@ -185,6 +186,8 @@ class WordIds:
 
     LETTERS = "a-zª\xb5ºß-öø-ÿ"
     NUMBERS = "0-9²³¹¼½¾"
+    #: In a text without any of these, blanks, lines and single full stops and commas part the words.
+    OTHERWISE = re.compile(f"[^{LETTERS} \\n.,]|[.,][.,]")
     WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\\x09-\\x0d \\x85\\xa0{LETTERS}{NUMBERS}]+")
 
     def __init__(self, file: str):
@@ -198,8 +201,9 @@ class WordIds:
         signs = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         table = str.maketrans({chr(c): signs.pre_tokenize_str(chr(c))[0][0] for c in range(256)})
         merges = tokenizer.model.tokenize
-        self.words = Remembered(lambda word: [t.id for t in merges(word.translate(table))], self.kind)
-        self.parts = Remembered(lambda part: tokenizer.encode(part, add_special_tokens=False).ids, self.kind)
+        code = np.dtype(self.kind).char
+        self.words = Remembered(lambda word: [t.id for t in merges(word.translate(table))], code)
+        self.parts = Remembered(lambda part: tokenizer.encode(part, add_special_tokens=False).ids, code)
 
     def of_text(self, text: str) -> bytes:
         try:
@@ -208,7 +212,12 @@ class WordIds:
         except UnicodeEncodeError:
             plain = False
         if plain:
-            return b"".join(map(self.words.__getitem__, self.WORDS.findall(text.lower())))
+            low = text.lower()
+            if self.OTHERWISE.search(low):
+                words = self.WORDS.findall(low)
+            else:
+                words = low.replace(".", " . ").replace(",", " , ").split()
+            return b"".join(map(self.words.__getitem__, words))
         # U+0009, U+000A and U+000D are white space to every pattern, as the blank is.
         parts = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         return b"".join(map(self.parts.__getitem__, parts))

@@ -14,6 +14,8 @@ ODD = [
     "x\u001cy \u0085z w v﻿",
     " \n\t ",
     "...,,, .a ,b 12.5, 3rd.",
+    ".a ,b. É,\nc.d e,f\n\n.",
+    "a. , b .. c",
     "日本語。テスト 한국어 🙂🙂.",
 ]
 
