@@ -93,3 +93,15 @@ def embed_missing(
 def index_rows(gold: DataFrame, columns: Sequence[str] = INDEX) -> DataFrame:
     """The columns that are kept in the index."""
     return gold.select(*columns)
+
+
+def clustered(gold: DataFrame, ranges: int | None = None) -> DataFrame:
+    """Index rows with the metadata's fields as columns of their own, in ranges of them: written as
+    parquet, files and row groups hold few agents and folders each, and the least and greatest
+    values kept with them let a filtered read skip the others. The chunk id in the key cuts an agent
+    or folder that has much of the table into many ranges."""
+    fields = [meta(F.col("metadata"), name).alias(name) for name in ("agent_id", "doc_path")]
+    by = ["agent_id", "doc_path", "chunk_id"]
+    rows = gold.select(*[c for c in gold.columns if c not in by[:2]], *fields)
+    dealt = rows.repartitionByRange(ranges, *by) if ranges else rows.repartitionByRange(*by)
+    return dealt.sortWithinPartitions(*by)

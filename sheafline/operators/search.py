@@ -81,7 +81,7 @@ class _Best:
             usable &= _present(queries[group_column])
         self.vectors = vectors[usable]
         self.query_ids = [q for q, ok in zip(queries["query_id"].to_pylist(), usable) if ok]
-        self.allowed = _values(queries[group_column])[usable] if group_column else None
+        self.of_group = _places(_values(queries[group_column])[usable]) if group_column else None
         self.found: list = [None] * len(self.query_ids)
         self.bars = np.full(len(self.query_ids), -np.inf)
 
@@ -103,14 +103,21 @@ class _Best:
         ids = _values(batch[id_column])[usable]
         by_id = np.argsort(ids, kind="stable")  # so that ties rank by id
         ids, usable = ids[by_id], usable[by_id]
-        scores = self.scoring.scores(vectors[usable], self.vectors)
-        if self.allowed is not None:
-            groups = _values(batch[group_column])[usable]
-            scores[self.allowed[:, None] != groups[None, :]] = -np.inf
+        if self.of_group is None:
+            self._rank(np.arange(len(self.query_ids)), ids, vectors[usable])
+            return
+        # Rows of a group meet the queries of that group, and no others.
+        for group, places in _places(_values(batch[group_column])[usable]).items():
+            if group in self.of_group:
+                self._rank(self.of_group[group], ids[places], vectors[usable[places]])
+
+    def _rank(self, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray):
+        scores = self.scoring.scores(rows, self.vectors[queries])
         # Only queries with a row that is as good as their k-th best are looked at.
-        for q in np.flatnonzero(scores.max(axis=1) >= self.bars):
-            new = self.scoring.best(scores[q], self.bars[q])
-            some_ids, some = ids[new], scores[q][new]
+        for at in np.flatnonzero(scores.max(axis=1) >= self.bars[queries]):
+            q = queries[at]
+            new = self.scoring.best(scores[at], self.bars[q])
+            some_ids, some = ids[new], scores[at][new]
             if self.found[q] is not None:
                 some_ids = np.concatenate([self.found[q][0], some_ids])
                 some = np.concatenate([self.found[q][1], some])
@@ -135,6 +142,14 @@ def _values(column) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False) if isinstance(column, pa.Array) else column.to_numpy()
 
 
+def _places(groups: np.ndarray) -> dict:
+    """Where each group stands."""
+    names, of = np.unique(groups, return_inverse=True)
+    order = np.argsort(of, kind="stable")
+    cuts = np.cumsum(np.bincount(of, minlength=len(names)))[:-1]
+    return dict(zip(names.tolist(), np.split(order, cuts), strict=True))
+
+
 def _present(column) -> np.ndarray:
     """Which values are not NULL: as in SQL, NULL is in no group, its own neither."""
     return column.is_valid().to_numpy(zero_copy_only=False) if isinstance(column, pa.Array) else column.is_valid().to_numpy()
@@ -333,10 +348,13 @@ def similarity_search(
 ) -> DataFrame:
     """The nearest index rows of one text, best first, with the columns asked for
     and the score. ``filters`` are metadata fields and the values they must have,
-    ``doc_path`` or ``agent_id``; they are applied before the ranking."""
+    ``doc_path`` or ``agent_id``; they are applied before the ranking. An index with columns
+    of those names (see ``gold.clustered``) is filtered by them, so the scan
+    skips what cannot match; in any other one the metadata text is looked into."""
     rows = index
     for name, value in (filters or {}).items():
-        rows = rows.where(F.get_json_object("metadata", f"$.{name}") == value)
+        held = F.col(name) if name in index.columns else F.get_json_object("metadata", f"$.{name}")
+        rows = rows.where(held == value)
     asked = index.sparkSession.createDataFrame([(0, query_text)], "query_id int, text string")
     hits = search_texts(rows, asked, embedder, Scoring(num_results))
     extra = [c for c in columns if c != "chunk_id"]

@@ -322,6 +322,7 @@ ORACLE = {
         ) {_best('scored', 10, 'vec_id')}""",
     "text_topk": f"WITH {SCORES} {_best('scores', 5)}",
     "vector_topk_filtered": f"WITH {SCORES} {_best('scores', 5, where='agent_id = asked')}",
+    "vector_topk_clustered": f"WITH {SCORES} {_best('scores', 5, where="agent_id = '개인신계약'")}",
     "vector_topk_overfetch": f"""WITH {SCORES},
         wide AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS place FROM scores)
         {_best('wide', 5, where="place <= 20 AND agent_id = asked")}""",

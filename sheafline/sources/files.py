@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -47,3 +48,9 @@ def files_at(spark: SparkSession, path: str) -> list[str]:
     fs, p = _at(spark, path)
     found = [s.getPath() for s in fs.listStatus(p) if s.isFile()]
     return sorted(f.toString() for f in found if f.getName()[0] not in "._")
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that the cluster shares: the one in spark.checkpoint.dir, else the warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
