@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,11 +28,8 @@ def small_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; one for this session alone where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="llm-shared-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    """The folder named in spark.checkpoint.dir; the warehouse, which the cluster shares too, where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return base.rstrip("/")
 
 
@@ -77,8 +73,14 @@ def marked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("mark"))
 
 
+#: Rows of 16 bytes that are sent to all tasks, at most; more of them are shuffled with the documents.
+SENT_ROWS = 1_000_000
+
+
 def without(docs: DataFrame, gone: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs`, with their own columns, whose (doc_id, mark) isn't in `gone`."""
+    """The rows of `docs`, with their own columns, whose (doc_id, mark) isn't in `gone`. While `gone` is small, which is
+    counted, no text is shuffled."""
     gone = stage(gone.select(F.col("doc_id").alias("__doc_id"), F.col("mark").alias("__mark")).distinct(), name)
-    same = docs[id_col].cast("long").eqNullSafe(gone["__doc_id"])
-    return docs.join(gone, same & (F.xxhash64(docs[text_col].cast("string")) == gone["__mark"]), "left_anti")
+    sent = F.broadcast(gone) if gone.count() <= SENT_ROWS else gone
+    same = docs[id_col].cast("long").eqNullSafe(sent["__doc_id"])
+    return docs.join(sent, same & (F.xxhash64(docs[text_col].cast("string")) == sent["__mark"]), "left_anti")

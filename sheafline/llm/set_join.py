@@ -243,13 +243,16 @@ def components(edges: DataFrame) -> DataFrame:
         # Small star: smaller neighbours of a node, and itself, point at the smallest of them.
         small = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(small, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        before = seen
+        before, old = seen, now
         now, seen = written(moved.unionByName(small.select("a", F.col("m").alias("b"))).distinct())
+        common.unstage(old)
         if seen == before:
             break
     ends = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     tops = now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-    return common.stage(ends.unionByName(tops), "classes")
+    classes = common.stage(ends.unionByName(tops), "classes")
+    common.unstage(now)
+    return classes
 
 
 def joined_classes(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -262,7 +265,10 @@ def joined_classes(classes: DataFrame, links: DataFrame) -> DataFrame:
         classes["node"], F.coalesce("top", "root").alias("root")
     )
     new = top.select("node", F.col("top").alias("root")).join(classes, "node", "left_anti")
-    return common.stage(below.unionByName(new), "classes")
+    joined = common.stage(below.unionByName(new), "classes")
+    for old in (classes, top):
+        common.unstage(old)
+    return joined
 
 
 def open_stars(index: DataFrame, found: DataFrame, classes: DataFrame) -> DataFrame:
@@ -359,11 +365,13 @@ def classes_of(
     names = sets.filter("n > 0").groupBy("set").agg(first).select("set", "first.doc_id", "first.mark")
 
     index = common.stage(with_pivots(entries, percent), "index")
+    common.unstage(entries)
     pairs = common.stage(index.filter("pivot <> set").select("pivot", "set").distinct(), "pairs")
     nodes = pairs.select("set").union(pairs.select(F.col("pivot").alias("set"))).distinct()
     shingles = texts_of(docs, names.join(nodes, "set"), id_col, text_col, size)
     found = common.stage(answers(pairs, shingles), "answers")
-    common.unstage(shingles)
+    for old in (shingles, pairs):
+        common.unstage(old)
 
     links = found.filter(linked(F.col("overlap"), F.col("pivot_n"), F.col("n"), percent))
     links = links.select(F.col("pivot").alias("a"), F.col("set").alias("b"))
@@ -372,10 +380,13 @@ def classes_of(
     near = common.stage(derived_links(pairs_by_additions(stars), found, percent), "links")
     if not near.isEmpty():
         classes = joined_classes(classes, near)
+        common.unstage(stars)
         stars = open_stars(index, found, classes)
     rest = common.stage(derived_links(derived_pairs(stars, percent), found, percent), "links")
     if not rest.isEmpty():
         classes = joined_classes(classes, rest)
+    for old in (stars, near, rest, index, found):
+        common.unstage(old)
     classes = classes.withColumnRenamed("node", "set")
 
     named = names.join(classes, "set", "left").withColumn("root", F.coalesce("root", "set"))
