@@ -11,7 +11,7 @@ one digest are told apart and grouped by their bytes.
 
 Nulls and odd input: a null text is the empty text; a null identifier is smaller than any
 other; rows that repeat an identifier are rows of their own, and of equal ones the largest
-locator stays; an empty table gives an empty result; other columns are not looked at.
+locator stays; an empty table gives an empty result; other columns are kept as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -40,14 +40,23 @@ def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """The rows with `__file` and `__row`, where each lies. Rows that do not come straight from files are
-    written to the shared folder first, as their place must be the same at each reading."""
-    place = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")]
+def located(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, their columns named c0, c1 and so on so that no name can clash, with `doc_id`, `text`, and `__file` and
+    `__row`, where each lies. Rows that do not come straight from files are written to the shared folder first,
+    as their place must be the same at each reading."""
+    own = [f"c{i}" for i in range(len(docs.columns))]
+    named = dict(zip(docs.columns, own, strict=True))
+    extra = lambda df, names: [df[names[id_col]].alias("doc_id"), df[names[text_col]].alias("text")]
+    place = lambda df: [
+        df.metadataColumn("_metadata")["file_path"].alias("__file"), df.metadataColumn("_metadata")["row_index"].alias("__row")
+    ]
+    quoted = {c: f"`{c}`" for c in docs.columns}
+    columns = [docs[quoted[c]].alias(n) for c, n in named.items()]
     try:
-        return docs.select("*", *place)
+        return docs.select(*columns, *extra(docs, quoted), *place(docs))
     except AnalysisException:
-        return common.stage(docs, "located").select("*", *place)
+        staged = common.stage(docs.select(*columns), "located")
+        return staged.select("*", *extra(staged, named), *place(staged))
 
 
 def arrivals(placed: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column]) -> DataFrame:
@@ -119,17 +128,16 @@ def assign(
     files_per_batch: int | None = None,
 ) -> DataFrame:
     """A row for each row of `docs`: doc_id, keep_id, group_size, kept, digest, file, row."""
-    return assign_located(located(docs), id_col, text_col, digest, files_per_batch)
+    return assign_located(located(docs, id_col, text_col), digest, files_per_batch)
 
 
 def assign_located(
     placed: DataFrame,
-    id_col: str,
-    text_col: str,
     digest: Callable[[Column], Column] = sha256,
     files_per_batch: int | None = None,
 ) -> DataFrame:
     """The same of rows that have their place already."""
+    id_col, text_col = "doc_id", "text"
     spark = placed.sparkSession
     source = common.new_path(spark, "arrivals")
     arriving = arrivals(placed, id_col, text_col, digest)
@@ -169,10 +177,12 @@ def assign_located(
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of `docs` that stay, with their own columns."""
-    placed = located(docs)
-    gone = assign_located(placed, id_col, text_col, **options).filter(~F.col("kept"))
+    placed = located(docs, id_col, text_col)
+    gone = assign_located(placed, **options).filter(~F.col("kept"))
     gone = common.stage(gone.select(F.col("file").alias("__file"), F.col("row").alias("__row")), "dropped")
-    return placed.join(gone, ["__file", "__row"], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    sent = F.broadcast(gone) if gone.count() <= common.SENT_ROWS // 8 else gone
+    left = placed.join(sent, ["__file", "__row"], "left_anti")
+    return left.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,3 +56,17 @@ def test_stream_goes_on_from_its_state(spark, table):
     assert arrive([(1, "a"), (2, "b")]) == {a: (1, 1), b: (2, 1)}
     assert arrive([(5, "a"), (3, "a")]) == {a: (5, 3), b: (2, 1)}
     assert arrive([(4, "b")]) == {a: (5, 3), b: (4, 2)}
+
+
+@pytest.mark.parametrize("from_files", [False, True])
+def test_columns_with_inner_names(spark, table, odd_rows, from_files):
+    names = ["_metadata", "__file", "__row", "c0", "keep", "digest", "a b", "x.y"]
+    docs = table(odd_rows).select("doc_id", "text", *[F.lit(i).alias(n) for i, n in enumerate(names)])
+    if from_files:
+        path = common.new_path(spark, "clash")
+        docs.write.parquet(path)
+        docs = spark.read.parquet(path)
+    assert told(exact_dedup.assign(docs)) == brute(odd_rows)
+    out = exact_dedup.deduplicate(docs)
+    assert out.columns == docs.columns
+    assert {tuple(r)[2:] for r in out.collect()} == {tuple(range(8))} and out.count() == len({t or "" for _, t in odd_rows})
