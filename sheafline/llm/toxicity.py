@@ -434,7 +434,13 @@ def fit(labelled: DataFrame, model, candidates: int = CANDIDATES, sample: int =
 
 
 def score(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, mark, score) of every row of `docs`, mark a hash of the text; `labelled` has text and label."""
+    """(doc_id, mark, score) of every row of `docs`, mark a hash of the text; `labelled` has text and label. Without documents
+    of both labels, or features that tell them apart, every score is 0.5."""
+    return scored(docs, labelled, id_col, text_col)[0]
+
+
+def scored(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, bool]:
+    """The scores, and whether anything was learned."""
     spark = docs.sparkSession
     common.small_batches(spark)
     rows = common.marked(docs, id_col, text_col)
@@ -447,7 +453,7 @@ def score(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
             found = classifier.value.scores([restore(t or "") for t in b.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(found)], names=["doc_id", "mark", "score"])
 
-    return rows.mapInArrow(task, "doc_id long, mark long, score double")
+    return rows.mapInArrow(task, "doc_id long, mark long, score double"), bool(len(classifier.value.feature))
 
 
 def learning_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -464,9 +470,9 @@ REJECT = 0.3
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of `docs` with a score below REJECT."""
-    gone = score(docs, learning_rows(docs, labels)).filter(F.col("score") >= REJECT)
-    return common.without(docs, gone, "toxic")
+    """The rows of `docs` with a score below REJECT; all of them where the labels taught nothing."""
+    found, learned = scored(docs, learning_rows(docs, labels))
+    return common.without(docs, found.filter(F.col("score") >= REJECT), "toxic") if learned else docs
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -134,3 +134,10 @@ def test_a_few_labels_suffice(spark, table):
     docs = table(rows)
     kept = toxicity.without_toxic(docs, labels(spark, [(i, 1, int(i % 3 == 0)) for i in range(150)]))
     assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(200) if i % 3]
+
+
+def test_without_labels_nothing_is_dropped(spark, table, odd_rows):
+    docs = table(odd_rows)
+    for rows in ([], [(4, 0)]):
+        labels = spark.createDataFrame(rows, "doc_id long, toxic int")
+        assert toxicity.without_toxic(docs, labels).count() == len(odd_rows)
