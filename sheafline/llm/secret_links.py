@@ -3,12 +3,13 @@
 Each text is scanned once for parts: identifiers (access keys, login names), secrets
 (assignments, hex, 40-character keys) and endpoints (URLs). Strong parts stand by
 themselves. Weak ones (a login name, a short password, an unnamed key, an endpoint) mean nothing
-alone: they are reported only if a part that completes them lies in the same scope, at most
-`REACH` characters away. A scope is a stretch of text without an empty line.
+alone: they are reported only if a part that completes them lies in the same scope, however far
+away. A scope is a stretch of text without an empty line.
 
-Linking is an interval join: every part goes to the strips of REACH characters that its
-surroundings touch, so parts that may link share a strip of the same text and scope. As a strip is
-short, few parts share one, however long the text.
+Linking joins parts to the intervals of their scopes. What a weak part needs to know of the others is
+whether its scope holds a completing role, so each scope is first reduced to its parts of each role,
+counted before anything is shuffled, and weak parts meet these counts: no two parts are paired,
+however many a scope has.
 
 Nulls and odd input: a null text is empty; a null identifier stays null; rows that repeat an
 identifier are scanned each; an empty table gives an empty result; other columns
@@ -17,7 +18,9 @@ are not looked at. Positions are code points, ends exclusive.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import operator
 import re
 from bisect import bisect, bisect_left
 from collections.abc import Iterable, Iterator
@@ -58,7 +61,6 @@ ROLE = {"assign": "secret", "hex": "secret", "access": "id", "login": "id", "key
 #: What completes a weak part of a role.
 COMPLETES = {"id": ("secret",), "secret": ("id", "endpoint"), "endpoint": ("secret",)}
 
-REACH = 300
 EMPTY_LINE = re.compile(r"\n[^\S\n]*\n")
 
 PART = "struct<kind: string, start: bigint, end: bigint, scope: bigint>"
@@ -132,29 +134,22 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def link(scanned: DataFrame) -> DataFrame:
-    """(row, linked): the weak parts that another part completes, for the rows that have some."""
+    """(row, linked): the weak parts that another part of their scope completes, for the rows that have some."""
 
     def role(kind: Column) -> Column:
         return F.create_map(*[F.lit(x) for pair in ROLE.items() for x in pair])[kind]
 
-    weak = scanned.filter("size(weak) > 0").select("row", F.explode("weak").alias("p"))
     with_weak = scanned.filter("size(weak) > 0")
     every = with_weak.select("row", F.explode(F.concat("base", "weak")).alias("q"))
-    wanted = F.create_map(
-        *[x for k, v in COMPLETES.items() for x in (F.lit(k), F.array(*[F.lit(r) for r in v]))]
-    )
-    # A part is at home in the strips that it touches; a weak one asks in those that its surroundings touch.
-    lo, hi = F.col("p.start") - REACH, F.col("p.end") + REACH
-    asks = weak.select("row", "p", F.explode(F.sequence(F.floor(lo / REACH), F.floor(hi / REACH))).alias("strip"))
-    at = F.sequence(F.floor(F.col("q.start") / REACH), F.floor(F.col("q.end") / REACH))
-    homes = every.select("row", "q", F.explode(at).alias("strip"))
-    near = (
-        (F.col("p.scope") == F.col("q.scope"))
-        & F.array_contains(wanted[role(F.col("p.kind"))], role(F.col("q.kind")))
-        & (F.col("q.start") <= F.col("p.end") + REACH)
-        & (F.col("q.end") >= F.col("p.start") - REACH)
-    )
-    pairs = asks.join(homes, ["row", "strip"]).filter(near)
+    own = role(F.col("q.kind"))
+    held_roles = [F.count_if(own == r).alias(r) for r in COMPLETES]
+    held = every.groupBy("row", F.col("q.scope").alias("scope")).agg(*held_roles)
+    weak = with_weak.select("row", F.explode("weak").alias("p")).withColumn("scope", F.col("p.scope"))
+    fits = F.lit(False)
+    for mine, others in COMPLETES.items():
+        there = [F.col(r) > 0 for r in others]
+        fits = fits | ((role(F.col("p.kind")) == mine) & functools.reduce(operator.or_, there))
+    pairs = weak.join(held, ["row", "scope"]).filter(fits)
     return pairs.groupBy("row").agg(F.collect_set("p").alias("linked"))
 
 
