@@ -39,17 +39,24 @@ def index_changes(
     unique in the index. Where they may repeat in the source, ``order`` says which
     row counts: the last one by it."""
     values = [c for c in columns if c != key]
+    return changes_to(source, index.select(key, row_hash(values).alias("_old")), columns, order, key)
+
+
+def changes_to(
+    source: DataFrame, held: DataFrame, columns: Sequence[str], order: Sequence[str] = (), key: str = KEY
+) -> DataFrame:
+    """The same with an index of which keys and row hashes are at hand: ``held`` has <key> and ``_old``."""
+    values = [c for c in columns if c != key]
     new = source.select(key, *order, row_hash(values).alias("_new"))
     if order:
         new = latest_per_key(new, order, key).select(key, "_new")
-    old = index.select(key, row_hash(values).alias("_old"))
     op = (
         F.when(F.col("_old").isNull(), "insert")
         .when(F.col("_new").isNull(), "delete")
         .otherwise("update")
     )
     return (
-        new.join(old, key, "full_outer")
+        new.join(held, key, "full_outer")
         .where(~F.col("_new").eqNullSafe(F.col("_old")))
         .select(key, op.alias("op"), F.col("_new").alias("row_hash"))
     )

@@ -50,6 +50,20 @@ def files_at(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.toString() for f in found if f.getName()[0] not in "._")
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _at(spark, path)
+    fs.delete(p, True)
+
+
+def modified(spark: SparkSession, folder: str) -> float:
+    """When a folder's writer was done, or else when the folder last changed, in seconds; infinity where the
+    store doesn't say."""
+    fs, p = _at(spark, folder)
+    mark = spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")
+    at = fs.getFileStatus(mark if fs.exists(mark) else p).getModificationTime() / 1000
+    return at if at > 0 else float("inf")
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that the cluster shares: the one in spark.checkpoint.dir, else the warehouse."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")

@@ -10,7 +10,7 @@ from collections.abc import Mapping
 from pyspark.sql import SparkSession
 
 from sheafline import fixed_values as fv
-from sheafline.sources import files, tables
+from sheafline.sources import buckets, files, tables
 from sheafline.sources.tables import Tables
 
 # Layer -> table of it, schema and suffix of a category's view.
@@ -39,11 +39,11 @@ def publish(
         "staging.staging_documents": at.ledger,
         "staging.staging_document_versions": tables.snapshot_path(spark, at.versions),
         "gold.gold_embeddings": tables.snapshot_path(spark, at.unified),
-        "gold.gold_embeddings_index": tables.snapshot_path(spark, at.index),
     }
     for name, path in shared.items():
         if path and files.exists(spark, path):
             made.append(_view(spark, name, path, "all categories"))
+    made += _index_view(spark, "gold.gold_embeddings_index", at.index)
     for layer, (schema, suffix) in LAYERS.items():
         path = getattr(at, layer)
         if not files.exists(spark, path):
@@ -54,6 +54,22 @@ def publish(
     return made
 
 
+def _index_view(spark, name: str, root: str) -> list[str]:
+    """The index as its last commit left it; later ones show when it is published again."""
+    places = buckets.manifest(spark, buckets.Keyed(root, "")).places
+    if not places:
+        return []
+    held = " OR ".join(
+        f"(`commit` = {c} AND bucket IN ({', '.join(str(b) for b in sorted(places) if places[b] == c)}))"
+        for c in sorted(set(places.values()))
+    )
+    path = f"{root}/data"
+    found = spark.read.parquet(path).schema.names
+    columns = ", ".join(f"`{c}`" for c in found if c not in ("commit", "bucket", "row_hash"))
+    spark.sql(f"CREATE OR REPLACE VIEW {name} COMMENT 'all categories' AS SELECT {columns} FROM parquet.`{path}` WHERE {held}")
+    return [name]
+
+
 def view_slugs(categories: list[str], slugs: Mapping[str, str] = fv.CATEGORY_SLUGS) -> dict[str, str]:
     """The name of each category's tables. A name that Spark's catalog does not take
     is replaced by the start of its digest, and one that an earlier category has

@@ -7,6 +7,7 @@ that are replaced as a whole.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -88,11 +89,36 @@ def write_snapshot(rows: DataFrame, root: str, *partition_by: str) -> str:
 
 def snapshot_path(spark: SparkSession, root: str) -> str | None:
     """Folder of the latest complete version."""
+    return next(iter(snapshot_paths(spark, root)), None)
+
+
+def snapshot_paths(spark: SparkSession, root: str) -> list[str]:
+    """Folders of all complete versions, the latest first."""
     names = [n for n in files.folders(spark, root) if n.startswith("version=")]
-    for name in sorted(names, key=lambda n: -int(n.split("=")[1])):
-        if files.exists(spark, f"{root}/{name}/_SUCCESS"):
-            return f"{root}/{name}"
-    return None
+    names.sort(key=lambda n: -int(n.split("=")[1]))
+    return [f"{root}/{n}" for n in names if files.exists(spark, f"{root}/{n}/_SUCCESS")]
+
+
+KEEP_VERSIONS = 3
+KEEP_SECONDS = 86_400.0
+
+
+def expire_snapshots(spark: SparkSession, root: str, keep: int = KEEP_VERSIONS, seconds: float = KEEP_SECONDS) -> int:
+    """Delete versions that are beyond the last ``keep`` complete ones and older than ``seconds``, and writes
+    that failed before the latest version and are as old. A reader that began on a
+    version has that long to finish. Returns the number of versions deleted."""
+    if keep < 1:
+        raise ValueError("at least one version stays")
+    complete = snapshot_paths(spark, root)
+    if not complete:
+        return 0
+    latest = int(complete[0].rpartition("=")[2])
+    every = [n for n in files.folders(spark, root) if n.startswith("version=") and int(n.split("=")[1]) < latest]
+    gone = [p for p in (f"{root}/{n}" for n in every) if p not in complete[:keep]]
+    gone = [p for p in gone if time.time() - files.modified(spark, p) >= seconds]
+    for path in gone:
+        files.delete(spark, path)
+    return len(gone)
 
 
 def read_snapshot(spark: SparkSession, root: str, schema: str) -> DataFrame:

@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sheafline.functions import paths
 from sheafline.functions.embedding import Embedder
-from sheafline.operators import chunks, documents, gold, ledger, sync, unify
+from sheafline.operators import chunks, documents, gold, ledger, unify
 from sheafline.settings import Settings
-from sheafline.sources import files, landing, tables
+from sheafline.sources import buckets, files, landing, tables
 from sheafline.sources.tables import Tables
 
 SMALL_BATCH = documents.MAX_BROADCAST_ARRIVALS
@@ -175,6 +175,7 @@ def refresh_versions(spark: SparkSession, at: Tables) -> DataFrame:
     """Compute the version history again from the whole ledger."""
     rows = ledger.document_versions(tables.read(spark, at.ledger, tables.LEDGER))
     tables.write_snapshot(rows, at.versions)
+    tables.expire_snapshots(spark, at.versions)
     return tables.read_snapshot(spark, at.versions, VERSIONS)
 
 
@@ -192,27 +193,25 @@ def refresh_unified(
         rows = gold.embed_missing(rows, embedder, dimension, settings.embed_batch, settings.embed_tasks)
     categories = landing.discover_categories(spark, settings.landing_root)
     tables.write_snapshot(unify.unify_partitions(rows, categories), at.unified, "category")
+    tables.expire_snapshots(spark, at.unified)
     return tables.read_snapshot(spark, at.unified, tables.GOLD)
 
 
 INDEX = """chunk_id STRING, document_id STRING, chunk_content STRING, source_file_name STRING,
     chunk_idx INT, chunk_type STRING, metadata STRING, embedding ARRAY<FLOAT>"""
-CHANGES = "chunk_id STRING, op STRING, row_hash BIGINT"
+
+
+def index_table(at: Tables) -> buckets.Keyed:
+    return buckets.Keyed(at.index, INDEX)
 
 
 def refresh_index(spark: SparkSession, at: Tables, source: DataFrame) -> DataFrame:
-    """Bring the index up to date with gold rows, and return the changes made.
-    Of rows with the same key the latest counts. The changes are written before
-    they are applied: they are worked out once, and their size is known."""
-    index = tables.read_snapshot(spark, at.index, INDEX)
-    found = sync.index_changes(source, index, gold.INDEX, ["chunked_at"])
-    tables.write_snapshot(found, at.index_changes)
-    changes = tables.read_snapshot(spark, at.index_changes, CHANGES)
-    if not changes.isEmpty():
-        after = sync.apply_changes(index, source, changes, gold.INDEX, ["chunked_at"])
-        tables.write_snapshot(after, at.index)
+    """Bring the index up to date with gold rows, and return the changes made. Of rows
+    with the same key the latest counts. Only buckets with a change are written anew."""
+    changes = buckets.merge(spark, index_table(at), source, ["chunked_at"])
+    buckets.expire(spark, index_table(at))
     return changes
 
 
 def read_index(spark: SparkSession, at: Tables) -> DataFrame:
-    return tables.read_snapshot(spark, at.index, INDEX)
+    return buckets.read(spark, index_table(at)).select(*gold.INDEX)
