@@ -7,7 +7,8 @@ The files' roots, in order of the files, are the leaves of one tree above.
 
 An audit compares the roots of two replicas and goes down only below nodes that differ;
 where everything is as it should be, that is one comparison. The nodes of all levels are
-small tables, staged by level, so an audit reads the bytes once for each replica and doesn't shuffle them.
+small tables, staged by level, so an audit reads the bytes once for each replica and shuffles
+their lengths and digests alone.
 Trees of unequal depth are made equally deep first: above a root of the shallower one come nodes with one child.
 
 Nulls and odd input: null bytes are other than empty ones; a record without file or offset has no place
@@ -28,17 +29,24 @@ FAN = 16
 FILE_RECORDS = 256
 
 
+def measured(records: DataFrame) -> DataFrame:
+    """(file, offset, length, sha) of (file, offset, bytes): all that the trees need, so no bytes go on from the scan.
+    Records that come with length and sha stay as they are."""
+    if "bytes" not in records.columns:
+        return records.select("file", "offset", "length", "sha")
+    length = F.coalesce(F.octet_length("bytes"), F.lit(-1)).cast("long").alias("length")
+    return records.select("file", "offset", length, F.sha2("bytes", 256).alias("sha"))
+
+
 def leaves(records: DataFrame) -> DataFrame:
-    """(file, node, first, last, digest) of (file, offset, bytes): node numbers the records of a file from 0."""
-    length = F.coalesce(F.octet_length("bytes"), F.lit(-1))
-    text = F.concat_ws(":", F.col("offset").cast("string"), length.cast("string"), F.sha2("bytes", 256))
-    digest = F.sha2(text.cast("binary"), 256)
-    placed = records.filter(F.col("file").isNotNull() & F.col("offset").isNotNull())
+    """(file, node, first, last, digest) of records: node numbers the records of a file from 0."""
+    text = F.concat_ws(":", F.col("offset").cast("string"), F.col("length").cast("string"), "sha")
+    placed = measured(records).filter(F.col("file").isNotNull() & F.col("offset").isNotNull())
     placed = placed.select(
         F.col("file").cast("long").alias("file"),
         F.col("offset").cast("long").alias("first"),
-        (F.col("offset") + F.greatest(length, F.lit(0))).cast("long").alias("last"),
-        digest.alias("digest"),
+        (F.col("offset") + F.greatest("length", F.lit(0))).cast("long").alias("last"),
+        F.sha2(text.cast("binary"), 256).alias("digest"),
     )
     order = Window.partitionBy("file").orderBy("first", "digest")
     return placed.withColumn("node", (F.row_number().over(order) - 1).cast("long"))
@@ -113,16 +121,24 @@ def audit(a: DataFrame, b: DataFrame, fan: int = FAN) -> DataFrame:
     return descend(one, two, ["file"], files, fan)
 
 
+def record_of(body: Column) -> Column:
+    lines = F.concat(F.lit("WARC-Target-URI: "), F.coalesce("url", F.lit("")), F.lit("\r\n\r\n"), F.coalesce(body, F.lit("")))
+    return lines.cast("binary")
+
+
 def archive(pages: DataFrame, body: Column) -> DataFrame:
-    """Pages as records (file, offset, page_id, bytes): FILE_RECORDS ids to a file, one record after the other."""
-    record = F.concat(F.lit("WARC-Target-URI: "), F.coalesce("url", F.lit("")), F.lit("\r\n\r\n"), F.coalesce(body, F.lit("")))
+    """Pages as records (file, offset, page_id, length, sha): FILE_RECORDS ids to a file, one record after the
+    other. Rows that share an id are records each, by the digest of what `html` says. Bytes are measured in the scan."""
+    record = record_of(body)
     rows = pages.filter("page_id is not null").select(
-        F.expr(f"page_id div {FILE_RECORDS}").alias("file"), "page_id", record.cast("binary").alias("bytes")
+        F.expr(f"page_id div {FILE_RECORDS}").alias("file"),
+        "page_id",
+        F.sha2(record_of(F.col("html")), 256).alias("tie"),
+        F.octet_length(record).cast("long").alias("length"),
+        F.sha2(record, 256).alias("sha"),
     )
-    before = Window.partitionBy("file").orderBy("page_id").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = rows.select("file", "page_id", F.octet_length("bytes").alias("n"))
-    offsets = offsets.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n", "file")
-    return rows.join(offsets, "page_id")
+    before = Window.partitionBy("file").orderBy("page_id", "tie").rowsBetween(Window.unboundedPreceding, -1)
+    return rows.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0))).drop("tie")
 
 
 #: Of the second replica, pages whose URL's digest begins so have a changed sign at the end of their text.
@@ -135,15 +151,11 @@ def op5_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     hurt = F.md5(F.coalesce("url", F.lit("")).cast("binary")).startswith(DAMAGED)
     cut = F.expr("concat(substr(html, 1, length(html) - 1), if(endswith(html, '#'), '*', '#'))")
     sound = archive(pages, F.col("html"))
-    found = audit(
-        sound.select("file", "offset", "bytes"),
-        archive(pages, F.when(hurt & (F.length("html") > 0), cut).otherwise(F.col("html"))).select(
-            "file", "offset", "bytes"
-        ),
-    )
-    names = sound.select("file", F.col("offset").alias("first_a"), "page_id", F.octet_length("bytes").alias("length"))
+    found = audit(sound, archive(pages, F.when(hurt & (F.length("html") > 0), cut).otherwise(F.col("html"))))
+    # No record is empty, so a place in a file is one record's.
+    names = sound.select("file", F.col("offset").alias("first_a"), "page_id", "length")
     found = found.select("file", "first_a").join(names, ["file", "first_a"])
-    return found.select("page_id", "file", F.col("first_a").alias("offset"), F.col("length").cast("long").alias("length"))
+    return found.select("page_id", "file", F.col("first_a").alias("offset"), "length")
 
 
 OP5_SQL = """
@@ -151,10 +163,12 @@ WITH records AS (
   SELECT page_id, page_id // 256 AS file,
          strlen('WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, ''))
            AS length,
+         sha256('WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, ''))
+           AS tie,
          starts_with(md5(coalesce(url, '')), '0') AND length(coalesce(html, '')) > 0 AS hurt
-  FROM pages
+  FROM pages WHERE page_id IS NOT NULL
 ), placed AS (
-  SELECT *, coalesce(sum(length) OVER (PARTITION BY file ORDER BY page_id
+  SELECT *, coalesce(sum(length) OVER (PARTITION BY file ORDER BY page_id, tie
               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset"
   FROM records
 )

@@ -78,3 +78,21 @@ def test_goes_down_only_below_nodes_that_differ(spark, rng, monkeypatch):
     monkeypatch.setattr(fixity, "differing", count)
     assert places(fixity.audit(table(spark, a), table(spark, b), 4)) == {(7, 33)}
     assert max(seen) <= 4
+
+
+def test_query_on_repeated_and_null_pages(spark):
+    """Rows that share an id, all alike or not, null urls and texts: as the SQL says."""
+    import tempfile
+
+    import duckdb
+    from compare import difference
+
+    rows = [(i % 20, f"http://h/{i % 150}" if i % 7 else None, None if i % 11 == 0 else f"text {i % 30}") for i in range(400)]
+    rows += [(3, "http://h/3", "same")] * 40 + [(None, "http://h/x", "lost")] * 5
+    folder = tempfile.mkdtemp(prefix="run-")
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{folder}/pages.parquet/*.parquet'")
+    found = fixity.op5_fixity_audit(spark, folder).cache()
+    assert found.count() > 10
+    assert difference(found, con, fixity.OP5_SQL) == ""
