@@ -52,6 +52,15 @@ def _vectors(embedder: Embedder, texts: list) -> list:
     return [None] * len(texts)
 
 
+def _halved(embedder: Embedder, texts: list) -> list:
+    """As ``_vectors``, but a failed sub-batch is cut in two until what fails is alone."""
+    vectors = _vectors(embedder, texts)
+    if len(texts) < 2 or any(v is not None for v in vectors):
+        return vectors
+    half = len(texts) // 2
+    return _halved(embedder, texts[:half]) + _halved(embedder, texts[half:])
+
+
 def _as_lists(vectors: list) -> pa.Array:
     sizes = [0 if v is None else len(v) for v in vectors]
     flat = [v for v in vectors if v is not None]
@@ -64,10 +73,10 @@ def _as_lists(vectors: list) -> pa.Array:
     )
 
 
-def embed(text: Column, embedder: Embedder, batch: int = fv.EMBED_BATCH) -> Column:
+def embed(text: Column, embedder: Embedder, batch: int = fv.EMBED_BATCH, halve: bool = False) -> Column:
     """Vectors of a text column as array<float>. Arrow batches are passed on in
     sub-batches of ``batch`` texts, NULL as ''; a sub-batch whose call fails
-    becomes NULLs. Marked nondeterministic, so that the optimizer does not copy
+    becomes NULLs, or with ``halve`` only the texts that fail by themselves. Marked nondeterministic, so that the optimizer does not copy
     the call into two places of the plan."""
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -75,7 +84,7 @@ def embed(text: Column, embedder: Embedder, batch: int = fv.EMBED_BATCH) -> Colu
             texts = [t or "" for t in texts.to_pylist()]
             vectors = []
             for at in range(0, len(texts), batch):
-                vectors += _vectors(embedder, texts[at : at + batch])
+                vectors += (_halved if halve else _vectors)(embedder, texts[at : at + batch])
             yield _as_lists(vectors)
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}

@@ -286,6 +286,14 @@ ORACLE = {
     "embed_outcome": f"""WITH {CHUNKS} SELECT chunk_type, count(*) AS total_count,
         count(*) FILTER (WHERE length(chunk_content) >= 200) AS embedded_count,
         count(*) FILTER (WHERE length(chunk_content) < 200) AS failed_count FROM keyed GROUP BY 1""",
+    "agent_route_table": """WITH filed AS (
+          SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus, s_nationkey, s_nationkey || '>' || l_suppkey || '>' || l_partkey AS doc_path
+          FROM lineitem JOIN supplier ON s_suppkey = l_suppkey
+        ),
+        back AS (SELECT doc_path, min(l_linestatus) AS mode FROM filed WHERE l_returnflag = 'R' GROUP BY 1)
+        SELECT l_orderkey, l_linenumber, doc_path,
+          coalesce(mode, CASE WHEN (1099511627776 + n_nationkey) % 5 <> 0 THEN n_name END, 'Default') AS agent_id
+        FROM filed LEFT JOIN back USING (doc_path) LEFT JOIN nation ON n_nationkey = s_nationkey""",
     "embedding_health": f"""SELECT count(*) AS total_count, count(*) FILTER (WHERE embedding IS NULL) AS missing_count,
         count(*) FILTER (WHERE len(embedding) <> {v.DIMENSION}) AS wrong_dimension_count,
         count(*) FILTER (WHERE len(embedding) = {v.DIMENSION}) AS healthy_count FROM embeddings""",
@@ -340,3 +348,6 @@ ORACLE = {
     "fk_orphans": f"""WITH {CHUNKS} SELECT document_id, count(*) AS row_count FROM keyed
         WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY 1""",
 }
+
+# However often a text occurs and whenever it is embedded, its vector is the same.
+ORACLE["embed_once"] = ORACLE["embed_chunks"]

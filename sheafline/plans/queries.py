@@ -8,7 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from sheafline.functions import elements as el, embedding, paths, text as tx, windows
-from sheafline.operators import ann, checks, chunks, documents, gold, ledger, report, search, sync, unify
+from sheafline.operators import (
+    ann, checks, chunks, documents, gold, ledger, report, routing, search, sync, unify, vectors,
+)
 from sheafline.operators.search import Scoring
 from sheafline.plans import views as v
 from sheafline.settings import ChunkSpec
@@ -98,6 +100,24 @@ def agent_route(spark, d) -> DataFrame:
     return files.select("source_file", where.alias("doc_path"), paths.agent(where).alias("agent_id"))
 
 
+@query
+def agent_route_table(spark, d) -> DataFrame:
+    """Line items as files in folders nation > supplier > part; rules for each part of a supplier that came back, and behind
+    them one for each nation."""
+    items = v.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_returnflag", "l_linestatus")
+    homes = v.table(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    folder = F.concat_ws(">", F.col("s_nationkey").cast("string"), F.col("l_suppkey").cast("string"), F.col("l_partkey").cast("string"))
+    filed = items.join(homes, "l_suppkey").withColumn("doc_path", folder)
+    back = filed.where("l_returnflag = 'R'").groupBy(F.col("doc_path").alias("prefix"))
+    back = back.agg(F.min("l_linestatus").alias("agent_id"), F.min("l_orderkey").alias("rule_no"))
+    nations = v.table(spark, d, "nation").select(
+        F.col("n_nationkey").cast("string").alias("prefix"), F.col("n_name").alias("agent_id"),
+        (F.lit(1 << 40) + F.col("n_nationkey")).alias("rule_no"),
+    )
+    named = nations.where("rule_no % 5 <> 0")
+    return routing.route(filed.select("l_orderkey", "l_linenumber", "doc_path"), back.unionByName(named))
+
+
 @query
 def chunk_metadata(spark, d) -> DataFrame:
     files = v.arrivals_of_files(spark, d)
@@ -255,6 +275,17 @@ class RefusesShort:
         return self.embedder(texts)
 
 
+@query
+def embed_once(spark, d) -> DataFrame:
+    """Every chunk's vector out of a store that was filled in two runs: short chunks first, then whatever it lacked."""
+    k, path = v.keyed(spark, d).select("chunk_id", "chunk_type", "chunk_content"), files.shared_path(spark, "vectors")
+    vectors.fill(spark, k.where("chunk_type = 'single'"), path, v.EMBEDDER)
+    store = vectors.fill(spark, k, path, v.EMBEDDER)
+    numbers = F.transform("embedding", lambda x: x.cast("int").cast("string"))
+    out = vectors.attach(k, store)
+    return out.select("chunk_id", F.size("embedding").alias("dimension"), F.array_join(numbers, ",").alias("vector"))
+
+
 @query
 def embed_outcome(spark, d) -> DataFrame:
     vector = embedding.embed(F.col("chunk_content"), RefusesShort(v.EMBEDDER), batch=1)

@@ -15,7 +15,7 @@ from sheafline.functions import paths
 from sheafline.functions.embedding import Embedder
 from sheafline.operators import chunks, documents, gold, ledger, unify
 from sheafline.settings import Settings
-from sheafline.sources import buckets, files, landing, tables
+from sheafline.sources import buckets, files, landing, tables, walk
 from sheafline.sources.tables import Tables
 
 SMALL_BATCH = documents.MAX_BROADCAST_ARRIVALS
@@ -31,11 +31,14 @@ def append_ledger(
     at: Tables,
     now: Column | None = None,
     by_category: bool = False,
+    lister: walk.Lister | None = None,
 ) -> None:
-    """Record new and overwritten files. Running again adds nothing. A listing is
+    """Record new and overwritten files. Running again adds nothing. Spark's own listing is
     held by the driver; ``by_category`` lists one category after the other, so
-    that it holds the files of one category at a time."""
-    for found in _listings(spark, settings.landing_root, by_category):
+    that it holds the files of one category at a time. With a ``lister``, such as
+    ``walk.by_arrow``, tasks list the folders and the driver holds none of it."""
+    listings = _listings(spark, settings.landing_root, by_category)
+    for found in listings if lister is None else [walk.listing(spark, settings.landing_root, lister)]:
         known = tables.read(spark, at.ledger, tables.LEDGER)
         new = ledger.ledger_increment(ledger.file_ledger(found, now), known)
         new.write.mode("append").parquet(at.ledger)

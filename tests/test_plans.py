@@ -13,7 +13,9 @@ from sheafline.plans import views as v
 from sheafline.sources import landing, tables
 
 SMALL = "/root/testdata/sf0.001"
-IN_PYTHON = {"embed_chunks", "embed_outcome", "text_topk", "vector_topk", "vector_topk_dirty", "vector_topk_ann", "vector_topk_clustered", "vector_topk_filtered", "vector_topk_overfetch"}
+IN_PYTHON = {
+    "embed_chunks", "embed_outcome", "text_topk", "vector_topk", "vector_topk_dirty", "vector_topk_ann", "vector_topk_clustered", "vector_topk_filtered", "vector_topk_overfetch",
+}
 
 
 def plan(df):
