@@ -1,16 +1,23 @@
-"""Benchmark decontamination: seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare seeds, then Smith-Waterman alignment.
 
-A seed is a run of `SEED` words of a test item; all runs of an item are its seeds, however many
-texts hold them. Where a text holds a seed, the words around it are aligned with the whole item by
+A seed is a run of `SEED` words of a test item. The corpus is read once to count the texts that hold each
+seed. Where a text holds one, the words around it are aligned with the whole item by
 Smith-Waterman. The score is the best local alignment's, over that of a perfect copy, so edited,
 shortened and padded copies score by what they share with the item.
 
-Common seeds are made cheap without leaving any out: an alignment matches no more words than the item
-and the stretch have in common, so a stretch with too few of the item's words for the threshold isn't
-aligned.
+Rare seeds come first: an item's rarest seeds in a text are aligned before the others, and when they show a whole
+copy the others are left alone, as nothing can score higher. Otherwise the common ones follow, so none is left out by
+how many texts share it. An alignment matches no more words than the item
+and the stretch have in common, so a stretch with too few of the item's words for the threshold isn't aligned.
+
+A stretch reaches as far from its seed as an alignment can that is good enough. With n words in the item, m of them
+matched and e other words in between, 2m - e >= 2n * threshold and m <= n leave m + e <= n * (3 - 2 * threshold).
+
+What is found holds a seed. A copy of which no three words in a row are left, every third word replaced, say,
+isn't looked at, though it may score the threshold itself.
 
 The test items are the small side: they are read in blocks of at most `BLOCK_ITEMS` and
-`BLOCK_WORDS` words, so what goes to the tasks is bounded, and each block looks at all
+`BLOCK_WORDS` words, so what is broadcast is bounded, and each block looks at all
 texts. Texts are never shuffled.
 
 Words: runs of ASCII letters or digits and of characters beyond ASCII, in lower case, so that
@@ -24,17 +31,20 @@ what they match; an empty table gives an empty result; other columns are not loo
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sheafline.llm import common
 from sheafline.llm.words import MARKS, Words, rolling
 
-SEED = 4
+SEED = 3
 #: Share of a perfect copy's alignment score from which a text counts as contaminated.
 THRESHOLD = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -117,9 +127,13 @@ def smith_waterman(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def stretches(at: np.ndarray, length: int, total: int) -> list[tuple[int, int]]:
-    """Parts of a text around seeds, wide enough for the item with half of it again in gaps; joined where they meet."""
-    reach = length + length // 2
+def reach_of(length: int, threshold: float) -> int:
+    """Words of a text that an alignment of a high enough score can span."""
+    return math.ceil(length * (3 - 2 * threshold))
+
+
+def stretches(at: np.ndarray, reach: int, total: int) -> list[tuple[int, int]]:
+    """Parts of a text around seeds, joined where they meet."""
     out: list[tuple[int, int]] = []
     for p in np.sort(at).tolist():
         lo, hi = max(0, p - reach), min(total, p + reach)
@@ -130,33 +144,62 @@ def stretches(at: np.ndarray, length: int, total: int) -> list[tuple[int, int]]:
     return out
 
 
-def align(docs: DataFrame, items: Items, threshold: float) -> DataFrame:
+def texts_with(docs: DataFrame, items: Broadcast) -> dict[int, int]:
+    """How many texts hold each seed of a block of items: a number for each seed, summed in the tasks first."""
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = items.value.known
+        total = np.zeros(len(known), np.int64)
+        for b in batches:
+            words, ids = words_of(b.column(1))
+            at, found = items.value.hits(words, ids)
+            pair = np.unique(np.stack([words.row[at], np.searchsorted(known, found)]), axis=1)
+            total += np.bincount(pair[1], minlength=len(known))
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["seed", "n"])
+
+    counts = docs.mapInArrow(task, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).collect()
+    return {r.seed: r.n for r in counts}
+
+
+def best_of(target: np.ndarray, ids: np.ndarray, at: np.ndarray, items: Items, k: int, threshold: float) -> tuple[int, int, int]:
+    """Score, start (negative) and end of the best alignment around the seeds."""
+    best = (0, 0, 0)
+    for a, z in stretches(at, reach_of(len(target), threshold), len(ids)):
+        if items.shared(k, ids[a:z]) / len(target) < threshold:
+            continue
+        score, end = smith_waterman(target, ids[a:z])
+        best = max(best, (score, -a, a + end))
+    return best
+
+
+def align(docs: DataFrame, items: Broadcast, rarity: Broadcast, threshold: float) -> DataFrame:
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, texts = items.value, rarity.value
         for b in batches:
             out: list[tuple] = []
             rows = list(zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True))
             words, every = words_of(b.column(1))
-            all_at, all_found = items.hits(words, every)
+            all_at, all_found = block.hits(words, every)
             bounds = np.searchsorted(words.row[all_at], np.arange(words.rows + 1))
             for r in np.flatnonzero(np.diff(bounds)):
                 row, own = rows[r], slice(bounds[r], bounds[r + 1])
                 ids = every[words.first[r] : words.first[r + 1]]
                 at, found = all_at[own] - words.first[r], all_found[own]
-                lo = np.searchsorted(items.run, found, "left")
-                n = np.searchsorted(items.run, found, "right") - lo
+                rare = texts[np.searchsorted(block.known, found)]
+                lo = np.searchsorted(block.run, found, "left")
+                n = np.searchsorted(block.run, found, "right") - lo
                 which = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-                item, place = items.item[which], np.repeat(at, n)
+                item, place, held = block.item[which], np.repeat(at, n), np.repeat(rare, n)
                 for k in np.unique(item):
-                    target = items.words[k]
-                    best = (0, 0, 0)
-                    for a, z in stretches(place[item == k], len(target), len(ids)):
-                        if items.shared(k, ids[a:z]) / len(target) < threshold:
-                            continue
-                        score, end = smith_waterman(target, ids[a:z])
-                        best = max(best, (score, -a, a + end))
+                    target, mine, texts_of = block.words[k], place[item == k], held[item == k]
+                    first = texts_of <= np.median(texts_of)
+                    best = best_of(target, ids, mine[first], block, k, threshold)
+                    if best[0] < MATCH * len(target) and not first.all():
+                        best = max(best, best_of(target, ids, mine, block, k, threshold))
                     score = best[0] / (MATCH * len(target))
                     if score >= threshold:
-                        out.append((*row, items.ids[k], score, -best[1], best[2]))
+                        out.append((*row, block.ids[k], score, -best[1], best[2]))
             if out:
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
                 part = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)]
@@ -198,7 +241,12 @@ def contaminated(
     rows = common.marked(docs, id_col, text_col)
     out = None
     for block in item_blocks(items, item_id_col, item_text_col):
-        found = align(rows, Items(block, seed), threshold)
+        known = Items(block, seed)
+        sent = spark.sparkContext.broadcast(known)
+        texts = np.zeros(len(known.known), np.int64)
+        for i, n in texts_with(rows, sent).items():
+            texts[i] = n
+        found = align(rows, sent, spark.sparkContext.broadcast(texts), threshold)
         out = found if out is None else out.unionByName(found)
     return out if out is not None else spark.createDataFrame([], FOUND)
 

@@ -88,3 +88,48 @@ def test_odd_rows_and_empty_tables(spark, table, items, odd_rows):
     assert d.contaminated(table(odd_rows), items.limit(0)).count() == 0
     none = spark.createDataFrame([(None, "a b c d e f g")], items.schema)
     assert {r.doc_id for r in d.contaminated(table(odd_rows), none).collect()} == {1, 2, None}
+
+
+def test_copy_with_a_foreign_word_before_each_is_reached(table, items):
+    words = [f"item8word{i}" for i in range(40)]
+    text = words[:4] + [x for i, w in enumerate(words[4:]) for x in (f"other{i}", w)]
+    rows = [(1, " ".join(text)), (2, " ".join(["lead"] * 70 + text[::-1]))]
+    (found,) = d.contaminated(table(rows), items).collect()
+    assert (found.doc_id, found.item_id, found.score) == (1, 8, 0.55)
+
+
+def test_random_edits_against_alignment_of_whole_texts(table, items, rng):
+    """Gaps, insertions, swaps and every fourth or fifth word replaced: recall against all pairs, without seeds."""
+    rows, ids = [], {k: d.word_ids(" ".join(f"item{k}word{i}" for i in range(40))) for k in range(30)}
+    for n in range(400):
+        words = [f"item{n % 30}word{i}" for i in range(40)]
+        kind = rng.randrange(5)
+        if kind < 2:
+            k = rng.choice([4, 5, 7])
+            words = [f"x{rng.randrange(99)}" if i % k == n % k else w for i, w in enumerate(words)]
+        elif kind == 2:
+            words = [w for w in words if rng.random() < rng.choice([0.6, 0.8])]
+        elif kind == 3:
+            words = [x for w in words for x in ([w, f"y{rng.randrange(99)}"] if rng.random() < 0.5 else [w])]
+        else:
+            for _ in range(rng.randrange(12)):
+                i = rng.randrange(39)
+                words[i], words[i + 1] = words[i + 1], words[i]
+        rows.append((n, " ".join([f"n{rng.randrange(999)}" for _ in range(60)] + words + ["end"] * 30)))
+    want = {}
+    for n, text in rows:
+        score = d.smith_waterman(ids[n % 30], d.word_ids(text))[0] / (2 * 40)
+        if score >= d.THRESHOLD:
+            want[n] = score
+    got = {r.doc_id: r.score for r in d.contaminated(table(rows), items).collect()}
+    assert got.keys() <= want.keys() and all(got[n] == want[n] for n in got)
+    assert len(got) >= 0.9 * len(want) and len(want) > 200
+    print(len(got), len(want))
+
+
+def test_common_seeds_alone_are_enough(table, items):
+    """What a text shares with the item is all common; its rare seeds lead elsewhere."""
+    words = [f"item9word{i}" for i in range(40)]
+    rows = [(i, " ".join(words[:24] + [f"z{i}"] * 5)) for i in range(60)]
+    rows += [(100, " ".join(words[30:33] + ["far"] * 200 + words[:24]))]
+    assert {r.doc_id for r in d.contaminated(table(rows), items).collect()} == {*range(60), 100}
