@@ -139,12 +139,59 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
     return places
 
 
+class Trail:
+    """What the paths of a search have written, as back pointers in a flat list. As soon as all live paths agree on a
+    beginning, it is written out and forgotten, so a search holds the stretch on which they still differ."""
+
+    EVERY = 2048
+
+    def __init__(self):
+        self.nodes: list[tuple[int, str]] = []
+        self.done: list[str] = []
+        self.next = self.EVERY
+
+    def add(self, before: int, piece: str) -> int:
+        if not piece:
+            return before
+        self.nodes.append((before, piece))
+        return len(self.nodes) - 1
+
+    def back(self, node: int) -> list[int]:
+        out = []
+        while node >= 0:
+            out.append(node)
+            node = self.nodes[node][0]
+        return out
+
+    def shorten(self, live: list[int]) -> dict[int, int]:
+        """New numbers of the live nodes."""
+        ways = [self.back(n)[::-1] for n in set(live)]
+        shared = 0
+        while all(len(w) > shared and w[shared] == ways[0][shared] for w in ways):
+            shared += 1
+        self.done.extend(self.nodes[n][1] for n in ways[0][:shared])
+        kept, new = sorted({n for w in ways for n in w[shared:]}), {-1: -1}
+        gone = set(ways[0][:shared])
+        new.update(dict.fromkeys(gone, -1))
+        nodes = []
+        for n in kept:
+            new[n] = len(nodes)
+            nodes.append((new[self.nodes[n][0]], self.nodes[n][1]))
+        self.nodes = nodes
+        # Where paths don't agree the next look comes later, so that looks stay a share of the work.
+        self.next = max(self.EVERY, 2 * len(nodes))
+        return new
+
+    def text(self, node: int) -> str:
+        return "".join(self.done) + "".join(self.nodes[n][1] for n in reversed(self.back(node)))
+
+
 def viterbi(word: str, model: LanguageModel) -> str:
     """The best reading of a word; states are the last three letters."""
-    log = model.log
-    states: dict[tuple[int, int, int], tuple[float, str]] = {(EDGE, EDGE, EDGE): (0.0, "")}
+    log, trail = model.log, Trail()
+    states: dict[tuple[int, int, int], tuple[float, int]] = {(EDGE, EDGE, EDGE): (0.0, -1)}
     for choices in lattice(word):
-        after: dict[tuple[int, int, int], tuple[float, str]] = {}
+        after: dict[tuple[int, int, int], tuple[float, int, str]] = {}
         for state, (score, text) in states.items():
             for piece, price in choices:
                 s, total = state, score + price
@@ -153,10 +200,14 @@ def viterbi(word: str, model: LanguageModel) -> str:
                     total += float(log[s[0], s[1], s[2], k])
                     s = (s[1], s[2], k)
                 if s not in after or total > after[s][0]:
-                    after[s] = (total, text + piece)
-        states = after
+                    after[s] = (total, text, piece)
+        states = {s: (v, trail.add(text, piece)) for s, (v, text, piece) in after.items()}
+        if len(trail.nodes) > trail.next:
+            new = trail.shorten([t for _, t in states.values()])
+            states = {s: (v, new[t]) for s, (v, t) in states.items()}
     ends = {s: (v + float(log[s[0], s[1], s[2], EDGE]), t) for s, (v, t) in states.items()}
-    return max(ends.values())[1]
+    best = max(v for v, _ in ends.values())
+    return max(trail.text(t) for v, t in ends.values() if v == best)
 
 
 SEPARATOR = re.compile(r"[\x20.\-_]+")
@@ -171,45 +222,50 @@ def spaced(run: str, model: LanguageModel) -> list[str]:
     """
     log = model.log
     letters, gaps = SEPARATOR.split(run), [len(g) for g in SEPARATOR.findall(run)]
-    edge_price = [PRICE_EDGE if g == min(gaps) else 0.0 for g in gaps]
-    # Texts are linked backwards, as (text before, piece).
+    least = min(gaps)
+    edge_price = [PRICE_EDGE if g == least else 0.0 for g in gaps]
+    trail = Trail()
     best: list[dict[tuple, tuple]] = [{} for _ in range(len(letters) + 1)]
-    best[0][EDGE, EDGE, EDGE, 0] = (0.0, None)
+    best[0][EDGE, EDGE, EDGE, 0] = (0.0, -1)
 
-    def put(at: int, state: tuple, score: float, text: tuple | None, piece: str, goes_on: int) -> None:
+    def put(at: int, state: tuple, score: float, text: int, pieces: tuple[str, ...], goes_on: int) -> None:
         s = state
-        for ch in piece:
+        for ch in pieces[-1]:
             k = letter(ch)
             score += float(log[s[0], s[1], s[2], k])
             s = (s[1], s[2], k)
         key = (*s, goes_on)
         if key not in best[at] or score > best[at][key][0]:
-            best[at][key] = (score, (text, piece) if piece else text)
+            for piece in pieces:
+                text = trail.add(text, piece)
+            best[at][key] = (score, text)
 
     for i, c in enumerate(letters):
+        if len(trail.nodes) > trail.next:
+            # Parts are of three letters at most, so nothing further on is written yet.
+            open_ = range(i, min(i + 4, len(best)))
+            new = trail.shorten([t for k in open_ for _, t in best[k].values()])
+            for k in open_:
+                best[k] = {s: (v, new[t]) for s, (v, t) in best[k].items()}
         longest = next((n for n in (1, 2) if letters[i + n : i + n + 1] != [c]), 3)
         parts = [(n, lattice(c * n)[0]) for n in range(1, longest + 1)]
         for (*state, goes_on), (score, text) in best[i].items():
             state = tuple(state)
             ways = []
             if i == 0 or c != letters[i - 1]:
-                ways.append((state, score, text))
+                ways.append((state, score, ()))
             elif goes_on:
-                put(i + 1, state, score, text, c if goes_on == 2 else "", goes_on)
+                put(i + 1, state, score, text, (c if goes_on == 2 else "",), goes_on)
             if i:
                 end = score + float(log[(*state, EDGE)]) + edge_price[i - 1]
-                ways.append(((EDGE, EDGE, EDGE), end, (text, " ")))
+                ways.append(((EDGE, EDGE, EDGE), end, (" ",)))
             for from_state, total, before in ways:
                 for n, choices in parts:
                     for piece, price in choices:
-                        put(i + n, from_state, total + price, before, piece, (n > 2) + (piece == c * 3))
+                        put(i + n, from_state, total + price, text, (*before, piece), (n > 2) + (piece == c * 3))
         best[i] = {}
-    _, text = max(((v + float(log[s[0], s[1], s[2], EDGE]), t) for s, (v, t) in best[-1].items()), key=lambda x: x[0])
-    pieces = []
-    while text is not None:
-        text, piece = text
-        pieces.append(piece)
-    return "".join(reversed(pieces)).split(" ")
+    ends = [(v + float(log[s[0], s[1], s[2], EDGE]), t) for s, (v, t) in best[-1].items()]
+    return trail.text(max(ends, key=lambda x: x[0])[1]).split(" ")
 
 
 class Restorer:

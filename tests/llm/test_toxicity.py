@@ -141,3 +141,30 @@ def test_without_labels_nothing_is_dropped(spark, table, odd_rows):
     for rows in ([], [(4, 0)]):
         labels = spark.createDataFrame(rows, "doc_id long, toxic int")
         assert toxicity.without_toxic(docs, labels).count() == len(odd_rows)
+
+
+def test_long_runs_take_linear_time(rng):
+    import time
+
+    model = toxicity.LanguageModel(toxicity.gram_counts(["some plain words of a text"] * 50))
+
+    def seconds(n):
+        run = " ".join(rng.choice("abcdefghij") for _ in range(n))
+        word = "".join(rng.choice("abst1u$o0el@") for _ in range(n))
+        start = time.process_time()
+        toxicity.spaced(run, model)
+        toxicity.viterbi(word, model)
+        return time.process_time() - start
+
+    seconds(2_000)
+    assert seconds(100_000) < 10 * 2 * max(seconds(10_000), 0.1)
+
+
+def test_paths_are_written_out_where_they_agree(rng, monkeypatch):
+    model = toxicity.LanguageModel(toxicity.gram_counts(["stupid loser idiot and others"] * 50))
+    runs = ["".join(rng.choice("abst1u$oo0eeel@") + rng.choice([" ", ".", "  "]) for _ in range(60)).rstrip(" .") for _ in range(80)]
+    words = ["".join(rng.choice("abst1u$oo0eeel@lll5") for _ in range(60)) for _ in range(80)]
+    runs = [r for r in runs if any(c.isalpha() for c in r)]
+    whole = [toxicity.spaced(r, model) for r in runs], [toxicity.viterbi(w, model) for w in words]
+    monkeypatch.setattr(toxicity.Trail, "EVERY", 5)
+    assert whole == ([toxicity.spaced(r, model) for r in runs], [toxicity.viterbi(w, model) for w in words])
