@@ -34,7 +34,7 @@ def ledger_increment(found: DataFrame, ledger: DataFrame) -> DataFrame:
 def document_versions(
     ledger: DataFrame,
     ties: Sequence[str] = (),
-    range_bits: int | None = None,
+    ranges: int | None = None,
     copies_per_block: int = numbering.COPIES_PER_BLOCK,
 ) -> DataFrame:
     """Number the arrivals of every file by time, with the total and a flag on
@@ -46,7 +46,7 @@ def document_versions(
         order,
         "version_number",
         "total_versions",
-        range_bits,
+        ranges,
         copies_per_block,
     )
     return numbered.select(

@@ -1,23 +1,23 @@
 """Numbering rows inside groups, whatever share of the table one group has.
 
 ``row_number()`` over a key sorts each key's rows in one task. Here the whole table is cut into
-ranges of (key, order): even ones, as the cuts come from a sample of all rows, so a key with
+ranges of (key, order): even ones, as Spark draws the cuts from a sample of all rows, so a key with
 most of the rows lies in most ranges and a rare key shares one. Rows are numbered inside their range;
-a key that lies in several adds the rows it has in earlier ranges, a prefix sum over at
-most two rows for each cut. Exact copies are counted before anything is shuffled
+a key that lies in several adds the rows it has in earlier ranges, a prefix sum over keys at the
+ranges' edges. Exact copies are counted before anything is shuffled
 and become rows again at the end. Where the cuts lie is only a hint: any choice gives
-the same numbers.
+the same numbers. As another sample would cut elsewhere, rows are written with their range once and
+read back, so a lost executor can't move any.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from sheafline.sources import files
 
-#: Ranges are 2 ** RANGE_BITS, unless the session asks for more shuffle partitions than that.
-RANGE_BITS = 9
-SAMPLE_PER_RANGE = 20
 #: A row with more copies is cut in blocks, which the ranges tell apart.
 COPIES_PER_BLOCK = 10_000
 
@@ -28,19 +28,18 @@ def number_rows(
     order: Sequence[str],
     number: str,
     total: str,
-    range_bits: int | None = None,
+    ranges: int | None = None,
     copies_per_block: int = COPIES_PER_BLOCK,
 ) -> DataFrame:
     """Add ``number`` = place of a row in its key's ``order`` (1, 2, …, NULLs
     first) and ``total`` = rows of that key. The columns must be sortable."""
-    if range_bits is None:
-        wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        range_bits = max(RANGE_BITS, (wanted - 1).bit_length())
-    placed = _with_ranges(_counted(df, copies_per_block), key, order, df.columns, range_bits)
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = [*order, *[c for c in df.columns if c != key and c not in order], "_block"]
+    placed = _with_ranges(_counted(df, copies_per_block), [key, *by], ranges)
 
     # The range comes with the key, so ranges of many keys are dealt to many tasks.
     here = Window.partitionBy("_range", key)
-    upto = here.orderBy(F.asc_nulls_first("_at")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = here.orderBy(*[F.asc_nulls_first(c) for c in by]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ends = placed.select(
         *df.columns,
         "_range",
@@ -67,57 +66,26 @@ def _counted(df: DataFrame, copies_per_block: int) -> DataFrame:
     return cut.withColumn("_copies", F.least(F.col("_n") - F.col("_block"), F.lit(copies_per_block))).drop("_n")
 
 
-def _with_ranges(counted: DataFrame, key: str, order: Sequence[str], columns: Sequence[str], bits: int) -> DataFrame:
-    """The rows with their place ``_at`` in the order of all rows, their range, and
-    whether their key may go on in a neighbouring range."""
-    rest = [c for c in columns if c != key and c not in order]
-    at = F.struct(key, *order, *rest, "_block")
-    placed = counted.withColumn("_at", at)
-    cuts = _cuts(placed.select("_at"), bits).scalar()
-    placed = placed.withColumn("_cuts", cuts).withColumn("_range", _count_below(F.col("_cuts"), F.col("_at"), bits))
-    own = lambda place: F.get(F.col("_cuts"), place)[key].eqNullSafe(F.col(key))
-    inside = lambda place: (place >= 0) & (place < F.size("_cuts"))
-    above, below = F.col("_range"), F.col("_range") - 1
-    spans = (inside(above) & own(above)) | (inside(below) & own(below))
-    return placed.withColumn("_spans", spans).drop("_cuts")
-
-
-def _cuts(places: DataFrame, bits: int) -> DataFrame:
-    """One row with ``2**bits - 1`` places, at most, that cut all rows evenly. The sample is, for each
-    of a fixed number of hash buckets, the row of least hash: it needs no count before
-    it, each task gives a row for each bucket at most, and it is the same on a retry."""
-    buckets = SAMPLE_PER_RANGE << bits
-    sample = places.groupBy(F.pmod(F.xxhash64("_at"), F.lit(buckets)).alias("_bucket")).agg(
-        F.min_by("_at", F.xxhash64("_at", F.lit(1))).alias("_at")
-    )
-    ranges = 2**bits
-    seen = sample.agg(F.array_sort(F.collect_list("_at")).alias("_seen"))
-    pick = F.transform(
-        F.sequence(F.lit(1), F.lit(ranges - 1)),
-        lambda i: F.get("_seen", F.floor(i * F.size("_seen") / ranges).cast("int")),
-    )
-    return seen.select(F.filter(pick, lambda x: x.isNotNull()).alias("_cuts"))
-
-
-def _count_below(cuts: Column, at: Column, bits: int) -> Column:
-    """How many of at most ``2**bits - 1`` sorted values are below ``at``: a binary
-    search, in ``bits`` steps. 0 where there are none."""
-    steps = F.array(*[F.lit(2**b) for b in reversed(range(bits))])
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda found, step: found + F.when(F.get(cuts, found + step - 1) < at, step).otherwise(F.lit(0)),
-    )
+def _with_ranges(counted: DataFrame, by: Sequence[str], ranges: int) -> DataFrame:
+    """The rows with their range, from a written table: (columns, _block, _copies, _range)."""
+    path = files.shared_path(counted.sparkSession, "ranges")
+    dealt = counted.repartitionByRange(ranges, *by).withColumn("_range", F.spark_partition_id())
+    dealt.write.parquet(path)
+    return counted.sparkSession.read.schema(dealt.schema).parquet(path)
 
 
 def _earlier(placed: DataFrame, key: str) -> DataFrame:
-    """For keys that may lie in several ranges: rows in earlier ones, and in all. A cut lies in one key, so there are
-    no more than two rows for each cut."""
-    parts = placed.where("_spans").groupBy(key, "_range").agg(F.sum("_copies").alias("_here"))
-    of_key = Window.partitionBy(key)
+    """For keys at an edge of a range, which are the ones that may lie in several: rows in earlier ranges, and in all.
+    There are two such keys for each range at most, and each range in between holds one key alone."""
+    edges = placed.groupBy("_range").agg(F.min(F.struct(key)).alias("_a"), F.max(F.struct(key)).alias("_b"))
+    edges = edges.select(F.explode(F.array("_a", "_b")).alias("_edge")).distinct().select(F.col(f"_edge.{key}").alias("_of_key"))
+    edges = F.broadcast(edges)
+    parts = placed.join(edges, placed[key].eqNullSafe(edges["_of_key"]))
+    parts = parts.groupBy("_of_key", "_range").agg(F.sum("_copies").alias("_here"))
+    of_key = Window.partitionBy("_of_key")
     before = of_key.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     return parts.select(
-        F.col(key).alias("_of_key"),
+        "_of_key",
         F.col("_range").alias("_of_range"),
         F.coalesce(F.sum("_here").over(before), F.lit(0)).alias("_before"),
         F.sum("_here").over(of_key).alias("_all"),
