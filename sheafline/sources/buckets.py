@@ -72,10 +72,11 @@ def _manifest_at(spark: SparkSession, path: str | None) -> Manifest:
 
 def read(spark: SparkSession, table: Keyed, at: Manifest | None = None) -> DataFrame:
     """The rows, with ``row_hash`` and the partition columns ``commit`` and ``bucket``."""
-    return _read(spark, table, (manifest(spark, table) if at is None else at).places)
+    return rows_of(spark, table, (manifest(spark, table) if at is None else at).places)
 
 
-def _read(spark: SparkSession, table: Keyed, places: dict[int, int]) -> DataFrame:
+def rows_of(spark: SparkSession, table: Keyed, places: dict[int, int]) -> DataFrame:
+    """The rows of some buckets, each as a commit left it."""
     schema = f"{table.schema}, row_hash BIGINT, commit BIGINT, bucket INT"
     if not places:
         return spark.createDataFrame([], schema)
@@ -133,10 +134,24 @@ def _apply(spark, table: Keyed, now: Manifest, number: int, changes: DataFrame,
     if order:
         taken = taken.dropDuplicates([table.key])
     taken = taken.withColumn("bucket", table.bucket_of(F.col(table.key))).repartition("bucket")
-    stay = _read(spark, table, {b: c for b, c in now.places.items() if b in set(touched)})
+    stay = rows_of(spark, table, {b: c for b, c in now.places.items() if b in set(touched)})
     stay = stay.join(keys, table.key, "left_anti").select(*columns, "row_hash", "bucket")
+    replace(spark, table, now, touched, stay.unionByName(taken), followed, number)
+
+
+def replace(
+    spark: SparkSession,
+    table: Keyed,
+    now: Manifest,
+    touched: Sequence[int],
+    rows: DataFrame,
+    followed: int = 0,
+    number: int | None = None,
+) -> None:
+    """Commit ``rows``, which have a ``bucket``, as all that the touched buckets hold."""
+    number = _next(spark, table, now) if number is None else number
     path = f"{table.root}/data/commit={number}"
-    stay.unionByName(taken).write.partitionBy("bucket").parquet(path)
+    rows.write.partitionBy("bucket").parquet(path)
     filled = {int(n.split("=")[1]): number for n in files.folders(spark, path) if n.startswith("bucket=")}
     untouched = {b: c for b, c in now.places.items() if b not in set(touched)}
     _commit(spark, table, Manifest(number, followed, untouched | filled))

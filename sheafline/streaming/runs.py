@@ -182,6 +182,48 @@ def refresh_versions(spark: SparkSession, at: Tables) -> DataFrame:
     return tables.read_snapshot(spark, at.versions, VERSIONS)
 
 
+def versions_table(at: Tables) -> buckets.Keyed:
+    return buckets.Keyed(f"{at.versions}_by_file", VERSIONS, "source_file")
+
+
+def run_versions(spark: SparkSession, at: Tables, files_per_batch: int | None = None) -> None:
+    """Bring the version history up to date with the arrivals since the last run. Only files that
+    arrived are numbered anew, and only their buckets are written."""
+    query = (
+        tables.stream(spark, at.ledger, tables.LEDGER, files_per_batch)
+        .writeStream.foreachBatch(lambda rows, n: _versions_batch(rows, n, at))
+        .option("checkpointLocation", at.checkpoint("versions"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def _versions_batch(rows: DataFrame, number: int, at: Tables) -> None:
+    """The manifest says how many batches it holds, so one that comes again is left alone. The table has all of the
+    ledger's columns: the earlier arrivals of a file come from its bucket, not from the ledger. Late
+    arrivals find their place among them."""
+    spark, table = rows.sparkSession, versions_table(at)
+    now = buckets.manifest(spark, table)
+    if number < now.followed:
+        return
+    bucket = table.bucket_of(F.col("source_file"))
+    touched = sorted(r.bucket for r in rows.select(bucket.alias("bucket")).distinct().collect())
+    held = buckets.rows_of(spark, table, {b: c for b, c in now.places.items() if b in set(touched)})
+    came = rows.select(F.col("source_file").alias("_came")).distinct()
+    again = held["source_file"].eqNullSafe(came["_came"])
+    stay = held.join(came, again, "left_anti")
+    earlier = held.join(came, again, "left_semi").select(*ledger.LEDGER)
+    numbered = ledger.document_versions(earlier.unionByName(rows.select(*ledger.LEDGER)))
+    columns = numbered.columns
+    after = stay.select(*columns).unionByName(numbered).withColumn("bucket", bucket)
+    buckets.replace(spark, table, now, touched, after, followed=number + 1)
+
+
+def read_versions(spark: SparkSession, at: Tables) -> DataFrame:
+    return buckets.read(spark, versions_table(at)).drop("row_hash", "commit", "bucket")
+
+
 def refresh_unified(
     spark: SparkSession,
     settings: Settings,
