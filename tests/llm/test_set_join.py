@@ -121,3 +121,15 @@ def test_components_equal_brute_force(spark, rng):
     got = set_join.components(spark.createDataFrame(pairs, "a long, b long"))
     want = {x: r for x, r in root.items() if any(a != b and x in (a, b) for a, b in pairs)}
     assert {r.node: r.root for r in got.collect()} == want
+
+
+def test_stars_are_told_and_need_no_round(spark, monkeypatch):
+    stars = spark.createDataFrame([(9, 1), (8, 1), (7, 3), (6, 3)], "a long, b long")
+    assert set_join.all_stars(stars)
+    for more in ((9, 8), (8, 3), (1, 0)):
+        assert not set_join.all_stars(stars.union(spark.createDataFrame([more], "a long, b long")))
+    staged = []
+    monkeypatch.setattr(set_join.common, "stage", lambda df, name, f=set_join.common.stage: staged.append(name) or f(df, name))
+    got = {r.node: r.root for r in set_join.components(stars).collect()}
+    assert got == {9: 1, 8: 1, 1: 1, 7: 3, 6: 3, 3: 3}
+    assert staged == ["edges", "classes"]
