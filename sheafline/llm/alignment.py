@@ -63,6 +63,12 @@ class Tokenizers:
         self.b = lambda text: model.encode(text, num_threads=1)
         self.b_count = model.get_piece_size()
         self.b_bytes = [self._bytes(model, i) for i in range(self.b_count)]
+        self.a_sizes = np.zeros(max(known.values()) + 1, np.int64)
+        self.a_sizes[list(self.a_size)] = list(self.a_size.values())
+        self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
+        # Ids as they are written: within a group, and at the end of its A or B side.
+        self.a_written = [np.array([f"{i}{end}" for i in range(len(self.a_sizes))], object) for end in ",|"]
+        self.b_written = [np.array([f"{i}{end}" for i in range(self.b_count)], object) for end in ",;"]
 
     @staticmethod
     def _bytes(model, i: int) -> bytes:
@@ -89,13 +95,56 @@ class Tokenizers:
             out.append((a[from_i:i], b[from_j:j]))
         return out
 
+    def groups_of_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]] | None:
+        """Of parts that begin and end without white space, encoded in one go with a blank between them: n_a, n_b, n_groups
+        and links of each; pairs of all their links; their written groups. None if they have to be encoded one by one."""
+        joined = " " + " ".join(parts)
+        data = joined.encode()
+        a, b = np.array(self.a(joined), np.int64), np.array(self.b(joined[1:]), np.int64)
+        if b"".join(map(self.b_bytes.__getitem__, b.tolist())) != data:
+            return None
+        end_a, end_b = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        at = np.searchsorted(end_b, end_a)
+        last_a = end_b[at] == end_a
+        last_b = np.zeros(len(b), bool)
+        last_b[at[last_a]] = True
+        n_a = np.diff(np.flatnonzero(last_a), prepend=-1)
+        n_b = np.diff(np.flatnonzero(last_b), prepend=-1)
+        end = end_a[last_a]
+        ascii_ = len(data) == len(joined)
+        size = np.array([len(p) for p in parts] if ascii_ else [len(p.encode()) for p in parts], np.int64) + 1
+        # The groups before each part, and after the last one.
+        bound = np.searchsorted(end, np.concatenate([[0], np.cumsum(size)]), "right")
+        if (end[bound[1:] - 1] != np.cumsum(size)).any():
+            return None
+        upto_a, upto_b = (np.concatenate([[0], np.cumsum(n)]) for n in (n_a, n_b))
+        links = n_a * n_b
+        upto = np.concatenate([[0], np.cumsum(links)])
+        of = np.repeat(np.arange(len(links)), links)
+        k = np.arange(upto[-1]) - upto[of]
+        pairs = a[upto_a[of] + k // n_b[of]] * self.b_count + b[upto_b[of] + k % n_b[of]]
+        # A's ids of a group, then B's.
+        signs = np.empty(len(a) + len(b), object)
+        signs[np.arange(len(a)) + np.repeat(upto_b[:-1], n_a)] = np.where(last_a, self.a_written[1][a], self.a_written[0][a])
+        signs[np.arange(len(b)) + np.repeat(upto_a[1:], n_b)] = np.where(last_b, self.b_written[1][b], self.b_written[0][b])
+        signs, cuts = signs.tolist(), (upto_a + upto_b)[bound].tolist()
+        text = ["".join(signs[x:y])[:-1].encode() for x, y in zip(cuts, cuts[1:], strict=False)]
+        counts = np.stack([np.diff(x[bound]) for x in (upto_a, upto_b, np.arange(len(links) + 1), upto)], 1)
+        return counts, pairs, text
+
 
 def written(groups) -> bytes:
     return ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups).encode()
 
 
+def plain(part: str) -> bool:
+    """Whether a part has no white space at an edge. Only such parts are the same whatever stands around them."""
+    return bool(part) and not part[0].isspace() and not part[-1].isspace()
+
+
 class Parts(dict):
-    """Parts of texts to rows of a table: counts, links and written groups of each part."""
+    """Parts of texts to rows of a table: counts, links and written groups of each part. Parts with white space at an
+    edge, which only a text's own edge can give, are held apart in `edges`."""
 
     #: What a blank alone stands between; the same cuts as of a text's split by blanks that has no white space at an edge.
     CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -106,39 +155,54 @@ class Parts(dict):
 
     def forget(self) -> None:
         self.clear()
+        self.edges: dict[str, int] = {}
         self.counts = np.zeros((1024, 5), np.int64)  # n_a, n_b, n_groups, first link, links
         self.links = np.zeros(4096, np.int64)
         self.groups: list[bytes | None] = []
         self.held = 0
 
-    def __missing__(self, part: str) -> int:
-        if not part or part[0].isspace() or part[-1].isspace():
-            return -1
-        return self.add(part)
-
-    def add(self, part: str) -> int:
-        row = len(self.groups)
+    def add(self, part: str) -> None:
         found = self.of.groups(part)
-        self[part] = row
-        self.groups.append(None if found is None else written(found))
-        if row == len(self.counts):
-            self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
         pairs = [x * self.of.b_count + y for a, b in found or [] for x in a for y in b]
+        n_a, n_b = (sum(len(g[k]) for g in found or []) for k in (0, 1))
+        counts = np.array([[n_a, n_b, len(found or []), len(pairs)]])
+        self._hold([part], counts, np.array(pairs, np.int64), [None if found is None else written(found)])
+
+    def add_all(self, parts: list[str]) -> None:
+        """Parts that aren't held yet, none twice."""
+        together = [p for p in parts if plain(p)]
+        found = self.of.groups_of_parts(together) if together else None
+        if found is not None:
+            self._hold(together, *found)
+        for part in parts if found is None else [p for p in parts if not plain(p)] if len(together) < len(parts) else ():
+            self.add(part)
+
+    def _hold(self, parts: list[str], counts: np.ndarray, pairs: np.ndarray, groups: list[bytes | None]) -> None:
+        row = len(self.groups)
+        for at, part in enumerate(parts, row):
+            (self if plain(part) else self.edges)[part] = at
+        self.groups.extend(groups)
+        while len(self.groups) > len(self.counts):
+            self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
         while self.held + len(pairs) > len(self.links):
             self.links = np.concatenate([self.links, np.zeros_like(self.links)])
         self.links[self.held : self.held + len(pairs)] = pairs
-        n_a, n_b = (sum(len(g[k]) for g in found or []) for k in (0, 1))
-        self.counts[row] = n_a, n_b, len(found or []), self.held, len(pairs)
+        new = self.counts[row : row + len(parts)]
+        new[:, [0, 1, 2, 4]] = counts
+        new[:, 3] = self.held + np.cumsum(counts[:, 3]) - counts[:, 3]
         self.held += len(pairs)
-        return row
 
     def of_text(self, text: str) -> tuple[np.ndarray, np.ndarray, str] | None:
         """n_a, n_b and n_groups; pairs of all links; the digest of the groups. None without tokens."""
-        if len(self) > REMEMBERED:
+        if len(self.groups) > REMEMBERED:
             self.forget()
-        rows = list(map(self.__getitem__, text.split(" ")))
-        if min(rows) < 0:
-            rows = [self.get(p) if p in self else self.add(p) for p in self.CUT.split(text)]
+        parts = text.split(" ")
+        rows = list(map(self.get, parts))
+        if None in rows:
+            if not all(plain(p) for p, row in zip(parts, rows, strict=True) if row is None):
+                parts = self.CUT.split(text)
+            self.add_all([p for p in dict.fromkeys(parts) if p not in self and p not in self.edges])
+            rows = [self.edges[p] if row is None else row for p, row in zip(parts, map(self.get, parts), strict=True)]
         groups = list(map(self.groups.__getitem__, rows))
         if None in groups:
             return None

@@ -116,3 +116,26 @@ def test_link_counts_come_from_planes(table, libraries):
 
 def test_empty_table(table):
     assert alignment.align(table([]), *alignment.vocabularies()).count() == 0
+
+
+def test_parts_encoded_together_equal_each_alone(rng, monkeypatch):
+    """Words that come for the first time are encoded in one go, and aligned without a step for each of them."""
+    files = alignment.vocabularies()[0]
+    known = alignment.Parts(alignment.Tokenizers(*files))
+    alone = []
+    monkeypatch.setattr(known.of, "groups", lambda part, f=known.of.groups: alone.append(part) or f(part))
+    pieces = ["a", "foo", " ", "  ", "\n", "　", "é", "한국", "🙂", "x1", ".", "'s", "\t", "1234", " b", " c d"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(1, 14))) for _ in range(300)] + [t for t in ODD if t]
+    texts += ["\nfoo", "a \nfoo b", "foo\n", "a foo\n b"]
+    other = alignment.Tokenizers(*files)
+    for text in texts:
+        found, want = known.of_text(text), other.groups(text)
+        assert (found is None) == (want is None)
+        if want is not None:
+            counts, pairs, digest = found
+            assert counts.tolist() == [sum(len(g[0]) for g in want), sum(len(g[1]) for g in want), len(want)]
+            assert pairs.tolist() == [x * other.b_count + y for a, b in want for x in a for y in b]
+            assert digest == hashlib.sha256(alignment.written(want)).hexdigest()
+    alone.clear()
+    known.of_text(" ".join(f"word{i}x{i * 7}, 한{i}" for i in range(5000)))
+    assert not alone
