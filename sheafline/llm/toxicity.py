@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafline.llm import common
-from sheafline.llm.words import Words, mix
+from sheafline.llm.words import Words, mix, unmix
 
 # Signs and the letters they stand for.
 STANDS_FOR = {
@@ -56,10 +56,9 @@ SAMPLE = 20_000
 #: Labelled documents, about, that are learned from at most; chosen by hash of the identifier.
 LABELLED = 400_000
 
-PART = re.compile(r"\S+")
 STRIP = "\"'.,;:?()[]{}<>-_/\\"
-HAS_SIGN = re.compile("[" + re.escape("".join(STANDS_FOR)) + "]")
-REPEATED = re.compile(r"([^\W\d_])\1\1")
+#: A word with a sign, or with a letter that stands three times, may be disguised.
+DISGUISED = re.compile("[" + re.escape("".join(STANDS_FOR)) + r"]|([^\W\d_])\1\1")
 #: A run of three or more single letters (or signs), with one or two separators between them.
 SPACED = re.compile(r"(?<![^\W_])(?:[^\W_]|[@$!|+*])(?:[\x20.\-_]{1,2}(?:[^\W_]|[@$!|+*])){2,}(?![^\W_])")
 
@@ -297,25 +296,99 @@ class Restorer:
 
     def __call__(self, text: str) -> str:
         """The text in lower case; disguised words are put right, their readings in place."""
-        text = text.lower()
-        extra = [words for m in SPACED.finditer(text) if (words := self.spaced(m.group()))]
-        if HAS_SIGN.search(text) or REPEATED.search(text):
-            text = PART.sub(
-                lambda m: self.word(m.group())
-                if HAS_SIGN.search(m.group()) or REPEATED.search(m.group())
-                else m.group(),
-                text,
-            )
-        return " ".join([text, *extra]) if extra else text
+        return self.all([text])[0]
+
+    def all(self, texts: list[str]) -> list[str]:
+        """The texts, each restored. Where a word or a run may be disguised is looked for in many texts at once."""
+        out, texts, at = [], [t.lower() for t in texts], 0
+        upto = np.cumsum([len(t) + 1 for t in texts])
+        while at < len(texts):
+            to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + STEP_LETTERS, "right")))
+            out += self._step(texts[at:to])
+            at = to
+        return out
+
+    def _step(self, texts: list[str]) -> list[str]:
+        joined = "\n".join(texts)
+        first = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        words, runs = suspects(joined)
+        pieces: dict[int, list[str]] = {}
+        done: dict[int, int] = {}
+        for row, start, end in zip((np.searchsorted(first, words[0], "right") - 1).tolist(), *(x.tolist() for x in words), strict=True):
+            word = joined[start:end]
+            if (word in self.known or DISGUISED.search(word)) and (found := self.word(word)) != word:
+                pieces.setdefault(row, []).extend((joined[done.get(row, first[row]) : start], found))
+                done[row] = end
+        out = list(texts)
+        for row, parts in pieces.items():
+            out[row] = "".join(parts) + joined[done[row] : first[row + 1] - 1]
+        for row in np.unique(np.searchsorted(first, runs, "right") - 1).tolist():
+            extra = [words for m in SPACED.finditer(texts[row]) if (words := self.spaced(m.group()))]
+            if extra:
+                out[row] = " ".join([out[row], *extra])
+        return out
+
+
+#: Letters that are looked through in one step; bounds the arrays for each letter.
+STEP_LETTERS = 1 << 21
+_ALL = [chr(c) for c in range(0xFFFF)] + [""]
+_SPACE = np.array([c.isspace() for c in _ALL])
+_SIGN = np.array([c != "" and c in STANDS_FOR for c in _ALL])
+# The last place is for all letters from U+FFFF on, which may be anything but white space.
+_MAY_REPEAT = np.array([c.isalpha() or not c for c in _ALL])
+_WORD = np.array([c.isalnum() for c in _ALL])
+_SINGLE = np.array([c.isalnum() or c in "@$!|+*" for c in _ALL])
+_BETWEEN = np.array([c != "" and c in " .-_" for c in _ALL])
+
+
+def suspects(text: str) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """Start and end of all words of a text that may be disguised, and places in all runs of single letters, and in a few
+    that are none."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    c = np.minimum(codes, 0xFFFF)
+    hit = _SIGN[c]
+    same = codes[1:] == codes[:-1]
+    hit[2:] |= same[1:] & same[:-1] & _MAY_REPEAT[c[2:]]
+    hit = np.flatnonzero(hit)
+    edge = np.concatenate([[-1], np.flatnonzero(_SPACE[c]), [len(c)]])
+    after = np.unique(np.searchsorted(edge, hit))
+    # The second letter of a run: the first one, which no letter stands before, is one or two separators away, as is the third.
+    between, single = np.zeros(len(c) + 8, bool), np.zeros(len(c) + 8, bool)
+    between[4:-4], single[4:-4] = _BETWEEN[c], _SINGLE[c]
+    begins = single.copy()
+    begins[5:-3] &= ~_WORD[c]
+    n = len(c)
+    of = lambda x, k: x[4 + k : 4 + k + n]
+    left = of(between, -1) & (of(begins, -2) | of(between, -2) & of(begins, -3))
+    right = of(between, 1) & (of(single, 2) | of(between, 2) & of(single, 3))
+    return (edge[after - 1] + 1, edge[after]), np.flatnonzero(left & of(single, 0) & right)
 
 
 _EDGES = np.zeros(256, bool)
 _EDGES[[ord(c) for c in STRIP + "!*&%#$|"]] = True
 
 
-def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def sources(wanted: np.ndarray) -> np.ndarray:
+    """Words' and beginnings' hashes out of which the wanted features can come: themselves, or as they stand twice or three times."""
+    once = unmix(wanted)
+    return np.unique(np.concatenate([wanted, *(once - np.uint64(n) for n in (2, 3))]))
+
+
+def one_of(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Which values are among the sorted `wanted`, few of them; most others are told by their last 16 bits."""
+    table = np.zeros(1 << 16, bool)
+    table[wanted & np.uint64(0xFFFF)] = True
+    out = table[values & np.uint64(0xFFFF)]
+    some = np.flatnonzero(out)
+    at = np.minimum(np.searchsorted(wanted, values[some]), len(wanted) - 1)
+    out[some] = wanted[at] == values[some]
+    return out
+
+
+def features(texts: list[str], only: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(row, feature) of the distinct features of restored texts, by row: words without marks around them,
-    beginnings of words (of whole characters), and either of these that the text has twice or three times."""
+    beginnings of words (of whole characters), and either of these that the text has twice or three times. With `only`,
+    those that come out of these `sources`."""
     column = pa.array([t.replace("\x00", " ") for t in texts], pa.large_string())
     words = Words(column)
     start, end = words.start.copy(), words.end.copy()
@@ -335,6 +408,9 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         rows.append(words.row[longer])
         found.append(mix(words.hashes(1) + np.uint64(n)))
     row, found = np.concatenate(rows), np.concatenate(found)
+    if only is not None:
+        kept = one_of(found, only) if len(only) else np.zeros(len(found), bool)
+        row, found = row[kept], found[kept]
     order = np.lexsort((found, row))
     row, found = row[order], found[order]
     new = np.ones(len(row), bool)
@@ -372,9 +448,10 @@ class Classifier:
     def __init__(self, feature: np.ndarray, weight: np.ndarray, bias: float):
         order = np.argsort(feature)
         self.feature, self.weight, self.bias = feature[order], weight[order], bias
+        self.sources = sources(self.feature)
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        row, found = features(texts)
+        row, found = features(texts, self.sources)
         total = np.full(len(texts), self.bias)
         if len(self.feature):
             at = np.minimum(np.searchsorted(self.feature, found), len(self.feature) - 1)
@@ -407,8 +484,8 @@ def fit(labelled: DataFrame, model, candidates: int = CANDIDATES, sample: int =
     the features of the buckets that tell the labels apart best. Weights are fitted on at most `sample` documents
     of each label."""
 
-    def labelled_features(b: pa.RecordBatch, restore: Restorer):
-        row, found = features([restore(t or "") for t in b.column(0).to_pylist()])
+    def labelled_features(b: pa.RecordBatch, restore: Restorer, only: np.ndarray | None = None):
+        row, found = features(restore.all([t or "" for t in b.column(0).to_pylist()]), only)
         return row, found, np.array(b.column(1).to_pylist(), np.int64)
 
     def count_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -468,10 +545,12 @@ def fit(labelled: DataFrame, model, candidates: int = CANDIDATES, sample: int =
     if not len(chosen):
         return none
 
+    only = sources(chosen)
+
     def pick(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restore = Restorer(model.value)
         for b in batches:
-            row, found, label = labelled_features(b, restore)
+            row, found, label = labelled_features(b, restore, only)
             at = np.minimum(np.searchsorted(chosen, found), len(chosen) - 1)
             hit = chosen[at] == found
             bounds = np.searchsorted(row[hit], np.arange(b.num_rows + 1)).astype(np.int32)
@@ -506,7 +585,7 @@ def scored(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_co
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restore = Restorer(model.value)
         for b in batches:
-            found = classifier.value.scores([restore(t or "") for t in b.column(1).to_pylist()])
+            found = classifier.value.scores(restore.all([t or "" for t in b.column(1).to_pylist()]))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(found)], names=["doc_id", "mark", "score"])
 
     return rows.mapInArrow(task, "doc_id long, mark long, score double"), bool(len(classifier.value.feature))

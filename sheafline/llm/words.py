@@ -32,6 +32,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def unmix(x: np.ndarray) -> np.ndarray:
+    """What `mix` made x of."""
+    x = x ^ (x >> np.uint64(31)) ^ (x >> np.uint64(62))
+    x = x * np.uint64(0x319642B2D24D8EC3)
+    x = x ^ (x >> np.uint64(27)) ^ (x >> np.uint64(54))
+    x = x * np.uint64(0x96DE1B173F119089)
+    return x ^ (x >> np.uint64(30)) ^ (x >> np.uint64(60))
+
+
 _TABLES = [mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(salt)) for _, salt in _BASES]
 
 

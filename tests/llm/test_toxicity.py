@@ -168,3 +168,34 @@ def test_paths_are_written_out_where_they_agree(rng, monkeypatch):
     whole = [toxicity.spaced(r, model) for r in runs], [toxicity.viterbi(w, model) for w in words]
     monkeypatch.setattr(toxicity.Trail, "EVERY", 5)
     assert whole == ([toxicity.spaced(r, model) for r in runs], [toxicity.viterbi(w, model) for w in words])
+
+
+def test_many_texts_are_restored_as_each_word_is(model, rng):
+    """Disguises are looked for in many texts at once; brute force looks at each word and each text."""
+    pieces = list("aabcdeE013@$!|+*.-_  ") + ["\n", "é", "한", "🙂", "aaa", " ", "İ", "𝒜𝒜𝒜", "²", "a b c", " x.y-z ", "l_o_l", "\x1c"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(30))) for _ in range(2000)] + ["", "i d i o t"]
+    restore = toxicity.Restorer(model)
+
+    def brute(text):
+        text = text.lower()
+        extra = [words for m in toxicity.SPACED.finditer(text) if (words := restore.spaced(m.group()))]
+        words = {w: restore.word(w) for w in text.split() if toxicity.DISGUISED.search(w)}
+        import re
+
+        return " ".join([re.sub(r"\S+", lambda m: words.get(m.group(), m.group()), text), *extra])
+
+    assert toxicity.Restorer(model).all(texts) == [brute(t) for t in texts]
+
+
+def test_scores_look_up_only_what_has_a_weight(rng):
+    texts = [" ".join(rng.choice(["loser", "losers", "idiotic", "plain", "words"]) for _ in range(rng.randrange(9))) for _ in range(300)]
+    row, found = toxicity.features(texts)
+    every = np.unique(found)
+    for some in (every, every[::3], every[:1]):
+        weight = np.arange(1, len(some) + 1) / len(some)
+        hit = np.isin(found, some)
+        total = -1 + np.bincount(row[hit], weight[np.searchsorted(some, found[hit])], len(texts))
+        scorer = toxicity.Classifier(some, weight, -1.0)
+        assert np.allclose(scorer.scores(texts), 1 / (1 + np.exp(-total)))
+        assert len(toxicity.features(texts, scorer.sources)[0]) <= len(row)
+    assert len(toxicity.features(texts, toxicity.sources(every[:1]))[0]) < len(row) / 2
