@@ -6,7 +6,8 @@ signs) and of its context (characters and words beside it), but none of the chec
 a base span.
 Gradient-boosted trees (Spark's own, in the JVM) learn from them which candidates are personal data:
 those that are base spans are examples for it (as they are, and less the mark that their base
-pattern wants), those that touch none against it. For each kind the threshold is calibrated on candidates that the training leaves out: the least
+pattern wants), those that touch none against it. All of them count: equal examples are one row with their number
+as its weight. For each kind the threshold is calibrated on candidates that the training leaves out, a fixed fourth: the least
 score from which on the share of examples is high enough. Base spans are always reported;
 candidates from their kind's threshold on are added where they touch no base span.
 
@@ -60,8 +61,6 @@ FEATURES = (
     "length digits letters blanks dots dashes brackets ats groups longest_group first_digit before_letter before_digit "
     "after_letter after_digit line_start cue_email cue_ip cue_card cue_phone is_email is_phone is_ip"
 ).split()
-#: Candidates, about, that the trees are trained on at most; chosen by hash.
-TRAINING = 50_000
 PRECISION = 0.95
 ROUNDS, DEPTH = 10, 3
 
@@ -187,25 +186,31 @@ def without_marks(examples: DataFrame) -> DataFrame:
     return with_features(other.withColumn("match", F.col("plain")).drop("plain", *FEATURES)).select(*examples.columns)
 
 
-def train(candidates: DataFrame) -> tuple[GBTClassificationModel, dict[str, float]] | None:
-    """The trees, and each kind's threshold; None if there are too few examples of either sort."""
+def examples_of(candidates: DataFrame) -> DataFrame:
+    """All examples: kind, label, fold, the features, and n, the number of examples that are equal in all of these. Staged.
+    Candidates of one match and context are in one fold."""
     examples = candidates.filter("same or not touches").withColumn("label", F.col("same").cast("double"))
     examples = examples.unionByName(without_marks(examples.filter("same")))
-    counts = {r.label: r["count"] for r in examples.groupBy("label").count().collect()}
+    fold = F.pmod(F.xxhash64("match", "before"), F.lit(4)).alias("fold")
+    examples = examples.groupBy("kind", "label", fold, *FEATURES).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    return common.stage(examples, "examples")
+
+
+def train(candidates: DataFrame) -> tuple[GBTClassificationModel, dict[str, float]] | None:
+    """The trees, and each kind's threshold; None if there are too few examples of either sort."""
+    examples = examples_of(candidates)
+    counts = {r.label: r.n for r in examples.groupBy("label").agg(F.sum("n").alias("n")).collect()}
     if min(counts.get(0.0, 0), counts.get(1.0, 0)) < 20:
         return None
-    share = min(1.0, TRAINING / sum(counts.values()))
-    hashed = F.pmod(F.xxhash64("match", "before"), F.lit(1_000_003))
-    examples = examples.filter(hashed < share * 1_000_003).withColumn("fold", F.pmod(hashed, F.lit(4)))
-    examples = common.stage(VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(examples).select(
-        "kind", "label", "fold", "x"), "examples")
-    model = GBTClassifier(featuresCol="x", labelCol="label", maxIter=ROUNDS, maxDepth=DEPTH, seed=7).fit(
+    examples = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(examples).drop(*FEATURES)
+    model = GBTClassifier(featuresCol="x", labelCol="label", weightCol="n", maxIter=ROUNDS, maxDepth=DEPTH, seed=7).fit(
         examples.filter("fold > 0")
     )
     held = model.transform(examples.filter("fold = 0"))
-    held = held.select("kind", "label", F.floor(vector_to_array("probability")[1] * 100).cast("int").alias("score"))
+    score = F.floor(vector_to_array("probability")[1] * 100).cast("int").alias("score")
+    held = held.select("kind", F.expr("label * n").alias("good"), "n", score)
     thresholds = {}
-    rows = held.groupBy("kind", "score").agg(F.sum("label").alias("good"), F.count(F.lit(1)).alias("n")).collect()
+    rows = held.groupBy("kind", "score").agg(F.sum("good").alias("good"), F.sum("n").alias("n")).collect()
     for kind in LOOSE:  # at most 101 rows for each kind
         own = sorted(((r.score, r.good, r.n) for r in rows if r.kind == kind), reverse=True)
         good = n = 0

@@ -98,3 +98,21 @@ def test_odd_rows(table, odd_rows):
 def test_no_python_in_the_plan(spark, name):
     plan = queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_every_example_counts(table, spark):
+    """Many examples of one form, and a few of another kind that only a whole reading is sure to see."""
+    text = " ".join(f"call +1 555 {i:03d} {i * 7 % 10_000:04d} or order {1_000_000 + i}" for i in range(500))
+    docs = table([(i, text) for i in range(60)] + [(60, "write to a@b.c")])
+    found = personal.matches(docs, "doc_id", "text")
+    spots = personal.placed(found)
+    base = spots.filter("base = 1").filter(personal.is_base(spots["kind"], spots["match"]))
+    candidates = common.stage(personal.with_features(personal.touching(spots.filter("base = 0"), base)), "candidates")
+    rows = personal.examples_of(candidates)
+    own = candidates.filter("same or not touches")
+    assert own.count() > 50_000
+    assert rows.selectExpr("sum(n)").first()[0] == own.count() + personal.without_marks(
+        own.withColumn("label", own["same"].cast("double")).filter("same")
+    ).count()
+    assert rows.count() < own.count() / 20
+    assert rows.filter("kind = 'email' and label = 1").selectExpr("sum(n)").first()[0] == 2
