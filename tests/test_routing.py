@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from sheafline import fixed_values as fv
@@ -37,3 +38,20 @@ def test_equals_the_rules_as_a_column(spark):
     out = routing.route(rows, spark.createDataFrame(rules, "rule_no int, prefix string, agent_id string"))
     want = rows.withColumn("agent_id", paths.agent(F.col("doc_path")))
     assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
+
+
+def test_rows_and_paths_are_not_multiplied(spark):
+    """Only folders are taken apart, of which there are far fewer than paths."""
+    rows = spark.range(20_000).selectExpr("id", "concat('a>', id % 10, '>', id) doc_path")
+    rules = spark.createDataFrame([(3, "a>7", "seven"), (1, "a>7>17", "own"), (9, "a>7>27", "late")], "rule_no int, prefix string, agent_id string")
+    out = routing.route(rows, rules).collect()
+    want = lambda n: ("own" if n == 17 else "seven") if n % 10 == 7 else fv.DEFAULT_AGENT
+    assert sorted((r.id, r.agent_id) for r in out) == [(n, want(n)) for n in range(20_000)]
+    exploded = routing.with_parents
+    made = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(routing, "with_parents", lambda path: made.append(str(path)) or exploded(path))
+        routing.route(rows, rules)
+    assert made == ["Column<'_in'>"]
+    levels = spark.createDataFrame([("a>b>c",), ("a",), (">a",), ("a>",), ("",), (None,)], "p string")
+    assert [r[0] for r in levels.select(routing.parent(F.col("p"))).collect()] == ["a>b", "", "", "a", "", None]
