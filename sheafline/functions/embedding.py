@@ -65,7 +65,7 @@ def _as_lists(vectors: list) -> pa.Array:
     sizes = [0 if v is None else len(v) for v in vectors]
     flat = [v for v in vectors if v is not None]
     values = np.concatenate(flat) if flat else np.empty(0, dtype=np.float32)
-    missing = np.array([v is None for v in vectors])
+    missing = np.array([v is None for v in vectors], dtype=bool)
     return pa.ListArray.from_arrays(
         pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)),
         pa.array(values),
@@ -81,11 +81,12 @@ def embed(text: Column, embedder: Embedder, batch: int = fv.EMBED_BATCH, halve:
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            texts = [t or "" for t in texts.to_pylist()]
-            vectors = []
-            for at in range(0, len(texts), batch):
-                vectors += (_halved if halve else _vectors)(embedder, texts[at : at + batch])
-            yield _as_lists(vectors)
+            # A sub-batch at a time is taken out of Arrow, and its vectors go back to it: one at least, for no texts.
+            made = []
+            for at in range(0, max(1, len(texts)), batch):
+                part = [t or "" for t in texts.slice(at, batch).to_pylist()]
+                made.append(_as_lists((_halved if halve else _vectors)(embedder, part)))
+            yield pa.concat_arrays(made) if len(made) > 1 else made[0]
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     udf = F.arrow_udf(run, ArrayType(FloatType()))

@@ -21,7 +21,7 @@ from sheafline.functions.embedding import Embedder, embed
 
 MAX_QUERIES = 4096
 MAX_QUERY_VALUES = 8_000_000
-MAX_SCORES = 4_000_000
+MAX_SCORES = 1_000_000
 BUCKET_ROWS = 200_000
 MAX_TASKS = 32_000
 

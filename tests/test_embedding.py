@@ -52,3 +52,30 @@ def test_health(spark):
     df = spark.createDataFrame([(1, [1.0, 2.0]), (2, None), (3, [1.0]), (4, [])], "chunk_id int, embedding array<float>")
     assert tuple(checks.embedding_health(df, 2).first()) == (4, 1, 2, 1)
     assert [r.chunk_id for r in checks.to_embed_again(df, 2).collect()] == [2, 3, 4]
+
+
+def test_only_a_sub_batch_of_texts_is_taken_out_of_arrow(spark, monkeypatch):
+    """A worker holds the texts of one sub-batch as strings, not those of the Arrow batch."""
+    import pyarrow as pa
+
+    udf = {}
+    monkeypatch.setattr(F, "arrow_udf", lambda run, kind, f=F.arrow_udf: udf.update(run=run) or f(run, kind))
+    embed(F.lit("a"), CharacterCounts(4), 3)
+
+    class Texts:
+        def __init__(self, texts):
+            self.texts = texts
+
+        def __len__(self):
+            return len(self.texts)
+
+        def slice(self, at, n):
+            return Texts(self.texts[at : at + n])
+
+        def to_pylist(self):
+            assert len(self) <= 3
+            return self.texts
+
+    ten, none = udf["run"](iter([Texts(["a", None, "bb"] * 3 + ["c"]), Texts([])]))
+    assert ten.to_pylist() == [CharacterCounts(4)([t])[0].tolist() for t in ["a", "", "bb"] * 3 + ["c"]]
+    assert len(none) == 0 and none.type == ten.type == pa.list_(pa.float32())
