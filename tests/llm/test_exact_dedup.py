@@ -1,5 +1,6 @@
 import hashlib
 from collections import defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -58,6 +59,23 @@ def test_stream_goes_on_from_its_state(spark, table):
     assert arrive([(4, "b")]) == {a: (5, 3), b: (4, 2)}
 
 
+def test_state_has_few_files_and_one_batch_is_not_written_again(spark, table):
+    source, state = common.new_path(spark, "in"), common.new_path(spark, "state")
+    arriving = exact_dedup.arrivals(
+        exact_dedup.located(table([(1, "a"), (2, "b"), (3, "a")])), "doc_id", "text", exact_dedup.sha256
+    )
+    arriving.write.parquet(source)
+    before = {k: spark.conf.get(k, None) for k in exact_dedup.STATE}
+    groups = exact_dedup.run_stream(spark, source, arriving.schema, state)
+    assert sorted((r.keep.doc_id, r.n) for r in groups.collect()) == [(2, 1), (3, 2)]
+    assert all("/out/batch=0/" in f for f in groups.inputFiles())
+    assert {k: spark.conf.get(k, None) for k in exact_dedup.STATE} == before
+    made = [p.name for p in Path(state.removeprefix("file:"), "checkpoint").rglob("*") if p.is_file()]
+    # Beside Hadoop's own, which are hidden, no checksum of a file.
+    assert any(n.endswith(".zip") for n in made)
+    assert not [n for n in made if n.endswith(".crc") and not n.startswith(".")]
+
+
 @pytest.mark.parametrize("from_files", [False, True])
 def test_columns_with_inner_names(spark, table, odd_rows, from_files):
     names = ["_metadata", "__file", "__row", "c0", "keep", "digest", "a b", "x.y"]
